@@ -55,12 +55,15 @@ def passing_quality(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("is_invalid_hl") & ~F.col("is_negative_volume") & ~F.col("is_zero_price"))
 
 
-def stg_raw_ohlcv(raw: DataFrame) -> DataFrame:
-    """The 16-column staging model (time columns + flags, clean rows only)."""
+def stg_raw_ohlcv(raw: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """The 16-column staging model (time columns + flags, clean rows only).
+
+    ``extra`` raw columns (e.g. tie-break columns) are carried after the 16.
+    """
     staged = with_quality_flags(with_time_columns(raw.select(
         "id", "symbol", "exchange", "timestamp_ms", "open", "high", "low", "close",
-        "volume", "ingested_at")))
-    return passing_quality(staged).select(*STAGING_COLUMNS)
+        "volume", "ingested_at", *extra)))
+    return passing_quality(staged).select(*STAGING_COLUMNS, *extra)
 
 
 def register_staging_view(raw: DataFrame, name: str = "stg_raw_ohlcv") -> DataFrame:

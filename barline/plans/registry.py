@@ -2,7 +2,7 @@
 
 Each entry takes ``(spark, sf_dir)``, reads the driver's test tables (through
 the candle views of :mod:`barline.sources.candle_views`) and returns a
-DataFrame. Floating outputs are rounded to 6 decimals *here only*, so that the
+DataFrame. Floating outputs are snapped to a binary grid of 2^-20 *here only*, so that the
 comparison with an independent SQL engine does not depend on the order of
 floating-point additions; the library functions themselves return full
 precision.
@@ -30,8 +30,16 @@ def query(name: str):
     return deco
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*[F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+GRID = float(2 ** 20)
+
+
+def snap(c: str):
+    """Snap a double to a binary grid of 2^-20 (about 1e-6); -0.0 becomes 0.0."""
+    return F.round(F.col(c) * F.lit(GRID)) / F.lit(GRID) + F.lit(0.0)
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[snap(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType)
                        else F.col(f.name) for f in df.schema.fields])
 
 
@@ -49,3 +57,227 @@ def a02(spark, sf):
 @query("a02_daily_candles_long")
 def a02l(spark, sf):
     return rounded(C.daily_candles(raw_l(spark, sf), L_ORDER))
+
+
+@query("a03_vwap")
+def a03(spark, sf):
+    h = C.hourly_candles(raw_e(spark, sf), E_ORDER)
+    return rounded(h.select("symbol", "exchange", "hour_start", "volume", "vwap"))
+
+
+@query("a04_first_last_value")
+def a04(spark, sf):
+    raw = raw_l(spark, sf)
+    month = F.date_trunc("month", F.timestamp_millis("timestamp_ms")).alias("month")
+    return rounded(raw.groupBy("symbol", month).agg(
+        C.first_value("open", L_ORDER).alias("first_open"),
+        C.last_value("close", L_ORDER).alias("last_close")))
+
+
+def staged_e(spark, sf):
+    return S.stg_raw_ohlcv(raw_e(spark, sf))
+
+
+@query("a05_int_ohlcv_daily")
+def a05(spark, sf):
+    return rounded(C.int_ohlcv_daily(staged_e(spark, sf), E_ORDER))
+
+
+@query("j01_candles_rank_join")
+def j01(spark, sf):
+    return rounded(C.candles_rank_join(raw_e(spark, sf), "hour", E_ORDER))
+
+
+@query("w12_first_last_rows")
+def w12(spark, sf):
+    raw = raw_e(spark, sf).withColumn("date", F.to_date(F.timestamp_millis("timestamp_ms")))
+    keys = ["symbol", "exchange", "date"]
+    first = C.first_last_rows(raw, keys, E_ORDER, "first").withColumn("which", F.lit("first"))
+    last = C.first_last_rows(raw, keys, E_ORDER, "last").withColumn("which", F.lit("last"))
+    return rounded(first.unionByName(last).select("which", "symbol", "exchange", "date", "id",
+                                                  "open", "close"))
+
+
+# ---------------------------------------------------------------- staging
+@query("p01_time_columns")
+def p01(spark, sf):
+    return S.with_time_columns(raw_e(spark, sf)).select(
+        "id", "timestamp_ms", "candle_time", "hour_bucket", "date_bucket")
+
+
+@query("p02_quality_flags")
+def p02(spark, sf):
+    return S.with_quality_flags(raw_e(spark, sf)).select("id", *S.QUALITY_FLAGS)
+
+
+@query("p03_quality_filter")
+def p03(spark, sf):
+    return rounded(S.passing_quality(S.with_quality_flags(raw_e(spark, sf)))
+                   .select("id", "symbol", "exchange", "timestamp_ms", "open", "high", "low",
+                           "close", "volume"))
+
+
+@query("p04_stg_raw_ohlcv")
+def p04(spark, sf):
+    return rounded(S.register_staging_view(raw_e(spark, sf), "stg_raw_ohlcv"))
+
+
+@query("p05_select_rename")
+def p05(spark, sf):
+    return rounded(S.select_columns(raw_e(spark, sf), ["id", "symbol", "open", "close"],
+                                    {"open": "open_price", "close": "close_price"}))
+
+
+# ---------------------------------------------------------------- indicators
+from barline.functions import series as SR  # noqa: E402
+from barline.operators import indicators as IND  # noqa: E402
+from barline.operators import marts as M  # noqa: E402
+from barline.operators.ema import with_ema  # noqa: E402
+
+LONG_SYMBOL = "A/F"     # the series the dashboard queries read (K01-K03)
+
+
+def daily_l(spark, sf):
+    """Daily candles of view L: one exchange, six long daily series."""
+    return C.daily_candles(raw_l(spark, sf), L_ORDER)
+
+
+def indicators_l(spark, sf):
+    return IND.compute_all_indicators(daily_l(spark, sf))
+
+
+@query("w01_sma")
+def w01(spark, sf):
+    s = IND.Series()
+    return rounded(daily_l(spark, sf).select(
+        "symbol", "date", *[IND.sma_col(s, "close", n).alias(f"sma_{n}") for n in (7, 25, 99)]))
+
+
+@query("w02_sma_macro")
+def w02(spark, sf):
+    d = C.daily_candles(raw_e(spark, sf), E_ORDER)
+    return rounded(d.select("symbol", "exchange", "date",
+                            SR.sma("close", 5, ("symbol", "exchange"), "date").alias("sma_5")))
+
+
+@query("w03_pct_change")
+def w03(spark, sf):
+    return rounded(daily_l(spark, sf).select(
+        "symbol", "date", SR.pct_change("close", 1).alias("pct_1"),
+        SR.pct_change("close", 7).alias("pct_7")))
+
+
+@query("w04_rolling_std")
+def w04(spark, sf):
+    return rounded(daily_l(spark, sf).select(
+        "symbol", "date", SR.rolling_std("close", 20).alias("std_20")))
+
+
+@query("w05_ema")
+def w05(spark, sf):
+    d = daily_l(spark, sf).select("symbol", "date", "close")
+    return rounded(with_ema(with_ema(d, "close", 12), "close", 26))
+
+
+@query("w06_rsi")
+def w06(spark, sf):
+    return rounded(IND.compute_rsi(daily_l(spark, sf)).select("symbol", "date", "rsi_14"))
+
+
+@query("w07_macd")
+def w07(spark, sf):
+    return rounded(indicators_l(spark, sf).select("symbol", "date", "macd", "macd_signal",
+                                                  "macd_histogram"))
+
+
+@query("w08_bollinger")
+def w08(spark, sf):
+    return rounded(IND.compute_bollinger_bands(daily_l(spark, sf))
+                   .select("symbol", "date", "bb_upper", "bb_middle", "bb_lower"))
+
+
+@query("w09_atr")
+def w09(spark, sf):
+    return rounded(IND.compute_atr(daily_l(spark, sf)).select("symbol", "date", "atr_14"))
+
+
+@query("w10_obv")
+def w10(spark, sf):
+    return rounded(IND.compute_obv(daily_l(spark, sf)).select("symbol", "date", "obv"))
+
+
+@query("w11_all_indicators")
+def w11(spark, sf):
+    return rounded(indicators_l(spark, sf))
+
+
+@query("w13_lag")
+def w13(spark, sf):
+    return rounded(daily_l(spark, sf).select(
+        "symbol", "date", "close", SR.lag_col("close", 1).alias("close_lag_1"),
+        SR.lag_col("close", 5).alias("close_lag_5")))
+
+
+# ---------------------------------------------------------------- marts
+def int_daily_l(spark, sf):
+    return C.int_ohlcv_daily(S.stg_raw_ohlcv(raw_l(spark, sf), extra=("line", "part")), L_ORDER)
+
+
+def fct_l(spark, sf):
+    return M.fct_market_daily(int_daily_l(spark, sf), indicators_l(spark, sf))
+
+
+@query("m01_fct_market_daily")
+def m01(spark, sf):
+    return rounded(fct_l(spark, sf))
+
+
+@query("m01_fct_market_daily_by_exchange")
+def m01x(spark, sf):
+    """X1 resolved: series per (symbol, exchange) and the join on both."""
+    ind = IND.compute_all_indicators(C.daily_candles(raw_e(spark, sf), E_ORDER),
+                                     partition_by=("symbol", "exchange"))
+    return rounded(M.fct_market_daily(C.int_ohlcv_daily(staged_e(spark, sf), E_ORDER), ind,
+                                      ("symbol", "exchange", "date")))
+
+
+@query("j02_daily_left_join_indicators")
+def j02(spark, sf):
+    j = M.join_indicators(int_daily_l(spark, sf), indicators_l(spark, sf))
+    return rounded(j.select("symbol", "date", "close", "sma_7", "ema_12", "rsi_14", "obv"))
+
+
+@query("p06_rsi_signal")
+def p06(spark, sf):
+    return rounded(fct_l(spark, sf).select("symbol", "date", "rsi_14", "rsi_signal"))
+
+
+@query("p07_macd_direction")
+def p07(spark, sf):
+    return fct_l(spark, sf).select("symbol", "date", "macd_signal_direction")
+
+
+@query("p08_band_position")
+def p08(spark, sf):
+    return fct_l(spark, sf).select("symbol", "date", "bb_position")
+
+
+@query("a06_pair_stats")
+def a06(spark, sf):
+    return rounded(M.pair_stats(C.int_ohlcv_daily(staged_e(spark, sf), E_ORDER)))
+
+
+@query("a07_risk_ratios")
+def a07(spark, sf):
+    d = M.dim_trading_pairs(C.int_ohlcv_daily(staged_e(spark, sf), E_ORDER))
+    return rounded(d.select("symbol", "exchange", "annualized_volatility", "sharpe_ratio"))
+
+
+@query("m02_dim_trading_pairs")
+def m02(spark, sf):
+    return rounded(M.dim_trading_pairs(C.int_ohlcv_daily(staged_e(spark, sf), E_ORDER)))
+
+
+@query("m02_dim_trading_pairs_long")
+def m02l(spark, sf):
+    return rounded(M.dim_trading_pairs(int_daily_l(spark, sf)))

@@ -83,3 +83,90 @@ def raw_e(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candles_from_lineitem(read_test_table(spark, sf_dir, "lineitem"))
+
+
+# Planted faults of the message view (checked in this order).
+TOMBSTONE_EVERY = 89
+BAD_UTF8_EVERY = 43
+BAD_JSON_EVERY = 37
+MISSING_FIELD_EVERY = 41
+BAD_TYPE_EVERY = 47
+MESSAGE_PARTITIONS = 3
+TOPIC = "raw_ohlcv"
+
+
+def messages_from_events(events: DataFrame) -> DataFrame:
+    """Message envelope view M over ``events``: one candle message per event
+    (the record of view E as JSON), ``partition = user_id % 3``,
+    ``offset = event_id``, with planted tombstones and bad payloads."""
+    e = candles_from_events(events).join(
+        events.select(F.col("event_id").alias("id"), "user_id"), "id")
+    eid = F.col("id")
+    fields = [F.col(c) for c in ("symbol", "exchange")] + [F.lit("1m").alias("timeframe")] + \
+        [F.col(c) for c in ("timestamp_ms", "open", "high", "low", "close", "volume")] + \
+        [F.date_format("ingested_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("fetched_at")]
+    good = F.to_json(F.struct(*fields))
+    no_volume = F.to_json(F.struct(*[f for f in fields if "volume" not in str(f)]))
+    bad_type = F.to_json(F.struct(*[F.lit("abc").alias("open") if "open" in str(f) else f
+                                    for f in fields]))
+    text = (F.when(eid % BAD_JSON_EVERY == 0, F.expr("substring(_good, 1, length(_good) - 1)"))
+            .when(eid % MISSING_FIELD_EVERY == 0, no_volume)
+            .when(eid % BAD_TYPE_EVERY == 0, bad_type)
+            .otherwise(F.col("_good")))
+    value = (F.when(eid % TOMBSTONE_EVERY == 0, F.lit(None).cast("binary"))
+             .when(eid % BAD_UTF8_EVERY == 0, F.concat(F.unhex(F.lit("FFFE")), F.encode(good, "UTF-8")))
+             .otherwise(F.encode(text, "UTF-8")))
+    return e.withColumn("_good", good).select(
+        F.encode(F.concat_ws(":", "symbol", F.col("timestamp_ms").cast("string")), "UTF-8").alias("key"),
+        value.alias("value"),
+        F.lit(TOPIC).alias("topic"),
+        (F.col("user_id") % MESSAGE_PARTITIONS).cast("int").alias("partition"),
+        eid.alias("offset"),
+        F.col("ingested_at").alias("timestamp"),
+    )
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages_from_events(read_test_table(spark, sf_dir, "events"))
+
+
+# Key faults of the quality-check copy of view E.
+NULL_SYMBOL_EVERY = 211
+DUPLICATE_ID_EVERY = 199
+
+
+def with_key_faults(raw: DataFrame) -> DataFrame:
+    """Copy of a raw view with NULL symbols and duplicated ids planted, for
+    the not_null / unique checks (clean data would give nothing to find)."""
+    return raw.select(
+        F.when(F.col("id") % DUPLICATE_ID_EVERY == 0, F.col("id") - 1).otherwise(F.col("id")).alias("id"),
+        F.when(F.col("id") % NULL_SYMBOL_EVERY == 0, F.lit(None).cast("string"))
+        .otherwise(F.col("symbol")).alias("symbol"),
+        *[c for c in raw.columns if c not in ("id", "symbol")]).select(*raw.columns)
+
+
+# The run-log view (one run per day of events).
+DAG_ID = "candles_daily"
+FAILED_REJECTS = 10
+
+
+def runs_from_raw(raw: DataFrame) -> DataFrame:
+    """One pipeline run per day of a raw view: start/end = first/last ingest
+    time, rows = clean rows, ``failed`` when more than 10 rows were rejected;
+    the latest day's run has not finished (``status`` NULL)."""
+    from barline.operators.staging import with_quality_flags
+    flagged = with_quality_flags(raw).withColumn("day", F.to_date("ingested_at"))
+    bad = F.col("is_invalid_hl") | F.col("is_negative_volume") | F.col("is_zero_price")
+    per_day = flagged.groupBy("day").agg(
+        F.min("ingested_at").alias("started_at"), F.max("ingested_at").alias("finished_at"),
+        F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("rejected"))
+    last_day = per_day.agg(F.max("day")).scalar()   # scalar subquery, one value
+    failed = F.col("rejected") > FAILED_REJECTS
+    return per_day.select(
+        F.concat(F.lit("run_"), F.date_format("day", "yyyyMMdd")).alias("run_id"),
+        "started_at", "finished_at",
+        F.when(F.col("day") == last_day, F.lit(None).cast("string"))
+        .when(failed, "failed").otherwise("success").alias("status"),
+        (F.col("n") - F.col("rejected")).alias("rows_processed"),
+        F.when(failed, F.concat(F.lit("rejected "), F.col("rejected").cast("string"), F.lit(" rows")))
+        .alias("error_message"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 RAW_E = """raw_e AS (
   SELECT event_id AS id, event_type AS symbol,
          CASE WHEN user_id % 2 = 0 THEN 'ex_a' ELSE 'ex_b' END AS exchange,
-         epoch_ms(ts) AS timestamp_ms,
+         epoch_us(ts) // 1000 AS timestamp_ms,
          CASE WHEN event_id % 103 = 0 THEN 0.0::DOUBLE ELSE value END AS open,
          CASE WHEN event_id % 97 = 0 THEN least(value, bc) - 0.5 ELSE greatest(value, bc) + 0.5 END AS high,
          CASE WHEN event_id % 97 = 0 THEN greatest(value, bc) + 0.5 ELSE least(value, bc) - 0.5 END AS low,
@@ -23,7 +23,7 @@ RAW_E = """raw_e AS (
 
 RAW_L = """raw_l AS (
   SELECT l_orderkey AS id, l_returnflag || '/' || l_linestatus AS symbol, 'x' AS exchange,
-         epoch_ms(l_shipdate) AS timestamp_ms,
+         epoch_us(l_shipdate) // 1000 AS timestamp_ms,
          l_extendedprice / l_quantity AS open,
          l_extendedprice / l_quantity + 0.5 AS high,
          l_extendedprice / l_quantity - 0.5 AS low,
@@ -33,6 +33,7 @@ RAW_L = """raw_l AS (
   FROM lineitem)"""
 
 ORACLE: dict[str, str] = {}
+GRID = "CAST(1048576 AS DOUBLE)"
 
 
 def with_views(body: str) -> str:
@@ -42,7 +43,9 @@ def with_views(body: str) -> str:
 def rnd(sql: str, doubles: list[str] | tuple[str, ...]) -> str:
     if not doubles:
         return sql
-    rep = ", ".join(f"round({c}, 6) AS {c}" for c in doubles)
+    # Snap to a binary grid of 2^-20 (about 1e-6): decimal ties (x.xxxxxx5,
+    # common when dividing by powers of two) cannot flip the comparison.
+    rep = ", ".join(f"round({c} * {GRID}) / {GRID} + CAST(0 AS DOUBLE) AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS q"
 
 
@@ -68,3 +71,207 @@ ORACLE["a02_daily_candles"] = with_views(
     "c AS (" + candle_sql("raw_e", "day", E_ORD) + ")\n" + rnd("SELECT * FROM c", CANDLE_DOUBLES))
 ORACLE["a02_daily_candles_long"] = with_views(
     "c AS (" + candle_sql("raw_l", "day", L_ORD) + ")\n" + rnd("SELECT * FROM c", CANDLE_DOUBLES))
+
+
+def with_views_rec(body: str) -> str:
+    return f"WITH RECURSIVE {RAW_E},\n{RAW_L},\n{body}"
+
+
+def dbl(x: float) -> str:
+    """A double literal that parses to exactly ``x``."""
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def stg_sql(src: str, extra: str = "") -> str:
+    """P01-P04 over a raw view."""
+    ct = "make_timestamp((timestamp_ms // 1000) * 1000000)"
+    return f"""SELECT * FROM (
+  SELECT id, symbol, exchange, timestamp_ms, {ct} AS candle_time,
+         date_trunc('hour', {ct}) AS hour_bucket, CAST({ct} AS DATE) AS date_bucket,
+         open, high, low, close, volume, ingested_at,
+         CASE WHEN high < low THEN true ELSE false END AS is_invalid_hl,
+         CASE WHEN volume < 0 THEN true ELSE false END AS is_negative_volume,
+         CASE WHEN open <= 0 OR close <= 0 THEN true ELSE false END AS is_zero_price{extra}
+  FROM {src}) s
+WHERE NOT is_invalid_hl AND NOT is_negative_volume AND NOT is_zero_price"""
+
+
+def int_daily_sql(src: str, order: str) -> str:
+    """A05 over a staged view."""
+    fo = f"first(open ORDER BY {order})"
+    lc = f"last(close ORDER BY {order})"
+    return f"""SELECT symbol, exchange, date_bucket AS date, {fo} AS open, max(high) AS high,
+       min(low) AS low, {lc} AS close, sum(volume) AS volume, count(*) AS candle_count,
+       CASE WHEN sum(volume) > 0 THEN sum(close * volume) / sum(volume) END AS vwap,
+       CASE WHEN {fo} > 0 THEN {lc} / {fo} - 1 END AS daily_return
+FROM {src} GROUP BY symbol, exchange, date_bucket"""
+
+
+def ema_consts(span: int) -> tuple[str, str]:
+    a = 2.0 / (span + 1.0)
+    return dbl(a), dbl(1.0 - a)
+
+
+def indicators_sql(src: str, part: str = "symbol") -> str:
+    """W01, W05-W11 over a daily view; defines CTEs ib, i1, ema, ind."""
+    pcols = [p.strip() for p in part.split(",")]
+    on = " AND ".join(f"b.{p} = e.{p}" for p in pcols)
+    sel = ", ".join(f"b.{p}" for p in pcols)
+    a12, r12 = ema_consts(12)
+    a26, r26 = ema_consts(26)
+
+    def rows(n):
+        return f"(PARTITION BY {part} ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    return f"""ib AS (
+  SELECT {part}, date, high, low, close, volume,
+         lag(close) OVER (PARTITION BY {part} ORDER BY date) AS prev,
+         close - lag(close) OVER (PARTITION BY {part} ORDER BY date) AS chg,
+         row_number() OVER (PARTITION BY {part} ORDER BY date) AS rn
+  FROM {src}),
+i1 AS (
+  SELECT {part}, date, close, rn,
+         avg(close) OVER {rows(7)} AS sma_7,
+         avg(close) OVER {rows(25)} AS sma_25,
+         avg(close) OVER {rows(99)} AS sma_99,
+         avg(CASE WHEN chg > 0 THEN chg ELSE 0.0 END) OVER {rows(14)} AS ag,
+         avg(CASE WHEN chg < 0 THEN abs(chg) ELSE 0.0 END) OVER {rows(14)} AS al,
+         avg(close) OVER {rows(20)} AS bb_middle,
+         stddev_samp(close) OVER {rows(20)} AS sd20,
+         avg(greatest(high - low, abs(high - prev), abs(low - prev))) OVER {rows(14)} AS atr_14,
+         sum(CASE WHEN close > prev THEN volume WHEN close < prev THEN -volume ELSE 0.0 END)
+           OVER (PARTITION BY {part} ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS obv
+  FROM ib),
+ema AS (
+  SELECT {part}, rn, close AS ema_12, close AS ema_26 FROM ib WHERE rn = 1
+  UNION ALL
+  SELECT {sel}, b.rn, {a12} * b.close + {r12} * e.ema_12, {a26} * b.close + {r26} * e.ema_26
+  FROM ema e JOIN ib b ON {on} AND b.rn = e.rn + 1),
+i2 AS (
+  SELECT i1.*, ema.ema_12, ema.ema_26, ema.ema_12 - ema.ema_26 AS macd
+  FROM i1 JOIN ema USING ({part}, rn)),
+ind AS (
+  SELECT {part}, date, sma_7, sma_25, sma_99, ema_12, ema_26,
+         CASE WHEN al = 0 THEN 100.0 ELSE 100.0 - 100.0 / (1.0 + ag / al) END AS rsi_14,
+         macd, avg(macd) OVER {rows(9)} AS macd_signal,
+         macd - avg(macd) OVER {rows(9)} AS macd_histogram,
+         bb_middle + 2.0 * sd20 AS bb_upper, bb_middle, bb_middle - 2.0 * sd20 AS bb_lower,
+         atr_14, obv
+  FROM i2)"""
+
+
+IND_COLS = ["sma_7", "sma_25", "sma_99", "ema_12", "ema_26", "rsi_14", "macd", "macd_signal",
+            "macd_histogram", "bb_upper", "bb_middle", "bb_lower", "atr_14", "obv"]
+DL = "dl AS (" + candle_sql("raw_l", "day", L_ORD) + ")"
+DE = "de AS (" + candle_sql("raw_e", "day", E_ORD) + ")"
+STG_E = "stg_e AS (" + stg_sql("raw_e") + ")"
+STG_L = "stg_l AS (" + stg_sql("raw_l", ", line, part") + ")"
+INT_E = "int_e AS (" + int_daily_sql("stg_e", E_ORD) + ")"
+INT_L = "int_l AS (" + int_daily_sql("stg_l", L_ORD) + ")"
+
+
+def q(body_ctes: list[str], select: str, doubles=(), recursive=False) -> str:
+    w = with_views_rec if recursive else with_views
+    return w(",\n".join(body_ctes) + "\n" + rnd(select, list(doubles)))
+
+
+ORACLE["a03_vwap"] = q(["c AS (" + candle_sql("raw_e", "hour", E_ORD) + ")"],
+                       "SELECT symbol, exchange, hour_start, volume, vwap FROM c", ["volume", "vwap"])
+ORACLE["a04_first_last_value"] = q([], f"""SELECT symbol, date_trunc('month', epoch_ms(timestamp_ms)) AS month,
+  first(open ORDER BY {L_ORD}) AS first_open, last(close ORDER BY {L_ORD}) AS last_close
+FROM raw_l GROUP BY 1, 2""".replace("\nFROM raw_l", "\nFROM raw_l"), ["first_open", "last_close"])
+ORACLE["a05_int_ohlcv_daily"] = q([STG_E, INT_E], "SELECT * FROM int_e",
+                                  ["open", "high", "low", "close", "volume", "vwap", "daily_return"])
+ORACLE["j01_candles_rank_join"] = ORACLE["a01_hourly_candles"]
+ORACLE["w12_first_last_rows"] = q(["r AS (SELECT *, CAST(epoch_ms(timestamp_ms) AS DATE) AS date, "
+                                   "row_number() OVER (PARTITION BY symbol, exchange, CAST(epoch_ms(timestamp_ms) AS DATE) ORDER BY timestamp_ms, id) AS rf, "
+                                   "row_number() OVER (PARTITION BY symbol, exchange, CAST(epoch_ms(timestamp_ms) AS DATE) ORDER BY timestamp_ms DESC, id DESC) AS rl FROM raw_e)"],
+                                  "SELECT 'first' AS which, symbol, exchange, date, id, open, close FROM r WHERE rf = 1 "
+                                  "UNION ALL SELECT 'last', symbol, exchange, date, id, open, close FROM r WHERE rl = 1",
+                                  ["open", "close"])
+CT = "make_timestamp((timestamp_ms // 1000) * 1000000)"
+ORACLE["p01_time_columns"] = q([], f"""SELECT id, timestamp_ms, {CT} AS candle_time,
+  date_trunc('hour', {CT}) AS hour_bucket, CAST({CT} AS DATE) AS date_bucket FROM raw_e""")
+ORACLE["p02_quality_flags"] = q([], """SELECT id,
+  CASE WHEN high < low THEN true ELSE false END AS is_invalid_hl,
+  CASE WHEN volume < 0 THEN true ELSE false END AS is_negative_volume,
+  CASE WHEN open <= 0 OR close <= 0 THEN true ELSE false END AS is_zero_price FROM raw_e""")
+ORACLE["p03_quality_filter"] = q([STG_E], "SELECT id, symbol, exchange, timestamp_ms, open, high, low, close, volume FROM stg_e",
+                                 ["open", "high", "low", "close", "volume"])
+ORACLE["p04_stg_raw_ohlcv"] = q([STG_E], "SELECT * FROM stg_e", ["open", "high", "low", "close", "volume"])
+ORACLE["p05_select_rename"] = q([], "SELECT id, symbol, open AS open_price, close AS close_price FROM raw_e",
+                                ["open_price", "close_price"])
+
+ORACLE["w01_sma"] = q([DL], """SELECT symbol, date,
+  avg(close) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS sma_7,
+  avg(close) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 24 PRECEDING AND CURRENT ROW) AS sma_25,
+  avg(close) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 98 PRECEDING AND CURRENT ROW) AS sma_99
+FROM dl""", ["sma_7", "sma_25", "sma_99"])
+ORACLE["w02_sma_macro"] = q([DE], """SELECT symbol, exchange, date,
+  avg(close) OVER (PARTITION BY symbol, exchange ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS sma_5
+FROM de""", ["sma_5"])
+ORACLE["w03_pct_change"] = q([DL], """SELECT symbol, date,
+  (close - lag(close, 1) OVER w) / nullif(lag(close, 1) OVER w, 0) AS pct_1,
+  (close - lag(close, 7) OVER w) / nullif(lag(close, 7) OVER w, 0) AS pct_7
+FROM dl WINDOW w AS (PARTITION BY symbol ORDER BY date)""", ["pct_1", "pct_7"])
+ORACLE["w04_rolling_std"] = q([DL], """SELECT symbol, date,
+  stddev_samp(close) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS std_20
+FROM dl""", ["std_20"])
+ORACLE["w05_ema"] = q([DL, indicators_sql("dl")], "SELECT d.symbol, d.date, d.close, ind.ema_12, ind.ema_26 "
+                      "FROM dl d JOIN ind USING (symbol, date)", ["close", "ema_12", "ema_26"], True)
+ORACLE["w06_rsi"] = q([DL, indicators_sql("dl")], "SELECT symbol, date, rsi_14 FROM ind", ["rsi_14"], True)
+ORACLE["w07_macd"] = q([DL, indicators_sql("dl")], "SELECT symbol, date, macd, macd_signal, macd_histogram FROM ind",
+                       ["macd", "macd_signal", "macd_histogram"], True)
+ORACLE["w08_bollinger"] = q([DL, indicators_sql("dl")], "SELECT symbol, date, bb_upper, bb_middle, bb_lower FROM ind",
+                            ["bb_upper", "bb_middle", "bb_lower"], True)
+ORACLE["w09_atr"] = q([DL, indicators_sql("dl")], "SELECT symbol, date, atr_14 FROM ind", ["atr_14"], True)
+ORACLE["w10_obv"] = q([DL, indicators_sql("dl")], "SELECT symbol, date, obv FROM ind", ["obv"], True)
+ORACLE["w11_all_indicators"] = q([DL, indicators_sql("dl")], "SELECT * FROM ind", IND_COLS, True)
+ORACLE["w13_lag"] = q([DL], """SELECT symbol, date, close,
+  lag(close, 1) OVER (PARTITION BY symbol ORDER BY date) AS close_lag_1,
+  lag(close, 5) OVER (PARTITION BY symbol ORDER BY date) AS close_lag_5 FROM dl""",
+                      ["close", "close_lag_1", "close_lag_5"])
+
+FCT_SELECT = """SELECT d.symbol, d.exchange, d.date, d.open, d.high, d.low, d.close, d.volume,
+  d.candle_count, d.vwap, d.daily_return, i.sma_7, i.sma_25, i.sma_99, i.ema_12, i.ema_26,
+  i.rsi_14, i.macd, i.macd_signal, i.macd_histogram, i.bb_upper, i.bb_middle, i.bb_lower,
+  i.atr_14, i.obv,
+  CASE WHEN i.rsi_14 < 30 THEN 'oversold' WHEN i.rsi_14 > 70 THEN 'overbought' ELSE 'neutral' END AS rsi_signal,
+  CASE WHEN i.macd > i.macd_signal THEN 'bullish' WHEN i.macd < i.macd_signal THEN 'bearish' ELSE 'neutral' END AS macd_signal_direction,
+  CASE WHEN d.close > i.bb_upper THEN 'above_upper' WHEN d.close < i.bb_lower THEN 'below_lower' ELSE 'within_bands' END AS bb_position
+FROM {daily} d LEFT JOIN ind i ON {on}"""
+FCT_DOUBLES = ["open", "high", "low", "close", "volume", "vwap", "daily_return", *IND_COLS]
+FCT_L = "fct AS (" + FCT_SELECT.format(daily="int_l", on="d.symbol = i.symbol AND d.date = i.date") + ")"
+ORACLE["m01_fct_market_daily"] = q([DL, STG_L, INT_L, indicators_sql("dl"), FCT_L], "SELECT * FROM fct",
+                                   FCT_DOUBLES, True)
+ORACLE["m01_fct_market_daily_by_exchange"] = q(
+    [DE, STG_E, INT_E, indicators_sql("de", "symbol, exchange"),
+     "fct AS (" + FCT_SELECT.format(daily="int_e", on="d.symbol = i.symbol AND d.exchange = i.exchange AND d.date = i.date") + ")"],
+    "SELECT * FROM fct", FCT_DOUBLES, True)
+ORACLE["j02_daily_left_join_indicators"] = q(
+    [DL, STG_L, INT_L, indicators_sql("dl")],
+    "SELECT d.symbol, d.date, d.close, i.sma_7, i.ema_12, i.rsi_14, i.obv FROM int_l d LEFT JOIN ind i "
+    "ON d.symbol = i.symbol AND d.date = i.date", ["close", "sma_7", "ema_12", "rsi_14", "obv"], True)
+ORACLE["p06_rsi_signal"] = q([DL, STG_L, INT_L, indicators_sql("dl"), FCT_L],
+                             "SELECT symbol, date, rsi_14, rsi_signal FROM fct", ["rsi_14"], True)
+ORACLE["p07_macd_direction"] = q([DL, STG_L, INT_L, indicators_sql("dl"), FCT_L],
+                                 "SELECT symbol, date, macd_signal_direction FROM fct", [], True)
+ORACLE["p08_band_position"] = q([DL, STG_L, INT_L, indicators_sql("dl"), FCT_L],
+                                "SELECT symbol, date, bb_position FROM fct", [], True)
+
+PAIR_STATS = """SELECT symbol, exchange, min(date) AS first_date, max(date) AS last_date,
+  count(*) AS total_days, avg(volume) AS avg_daily_volume, avg(daily_return) AS avg_daily_return,
+  stddev_samp(daily_return) AS volatility, min(low) AS all_time_low, max(high) AS all_time_high
+FROM {src} GROUP BY symbol, exchange"""
+DIM = """SELECT *, volatility * sqrt(365.0) AS annualized_volatility,
+  CASE WHEN volatility > 0 THEN (avg_daily_return * 365.0) / (volatility * sqrt(365.0)) END AS sharpe_ratio
+FROM ps"""
+PS_DOUBLES = ["avg_daily_volume", "avg_daily_return", "volatility", "all_time_low", "all_time_high"]
+ORACLE["a06_pair_stats"] = q([STG_E, INT_E, "ps AS (" + PAIR_STATS.format(src="int_e") + ")"],
+                             "SELECT * FROM ps", PS_DOUBLES)
+ORACLE["a07_risk_ratios"] = q([STG_E, INT_E, "ps AS (" + PAIR_STATS.format(src="int_e") + ")", "dim AS (" + DIM + ")"],
+                              "SELECT symbol, exchange, annualized_volatility, sharpe_ratio FROM dim",
+                              ["annualized_volatility", "sharpe_ratio"])
+ORACLE["m02_dim_trading_pairs"] = q([STG_E, INT_E, "ps AS (" + PAIR_STATS.format(src="int_e") + ")", "dim AS (" + DIM + ")"],
+                                    "SELECT * FROM dim", PS_DOUBLES + ["annualized_volatility", "sharpe_ratio"])
+ORACLE["m02_dim_trading_pairs_long"] = q([STG_L, INT_L, "ps AS (" + PAIR_STATS.format(src="int_l") + ")", "dim AS (" + DIM + ")"],
+                                         "SELECT * FROM dim", PS_DOUBLES + ["annualized_volatility", "sharpe_ratio"])
