@@ -82,7 +82,9 @@ def with_ema(df: DataFrame, column: str, span: int, out: str | None = None,
     carry = F.aggregate(F.collect_list(s).over(recent), F.lit(0.0),
                         lambda acc, v: acc * F.lit(big_r) + v)
     carries = ends.select(*pb, (F.col(c) + 1).alias(c), carry.alias(f"{tag}_carry"))
-    joined = base.join(carries, [*pb, c], "left")
+    # Null-safe on the series key: a NULL symbol is still one series.
+    cond = [base[col].eqNullSafe(carries[col]) for col in pb] + [base[c] == carries[c]]
+    joined = base.join(carries, cond, "left").select(base["*"], carries[f"{tag}_carry"])
     y = F.col(s) + F.pow(F.lit(r), kk + 1) * F.coalesce(F.col(f"{tag}_carry"), F.lit(0.0))
     return joined.withColumn(out, y).drop(i, c, k, s, f"{tag}_carry").select(*df.columns, out)
 

@@ -281,3 +281,360 @@ def m02(spark, sf):
 @query("m02_dim_trading_pairs_long")
 def m02l(spark, sf):
     return rounded(M.dim_trading_pairs(int_daily_l(spark, sf)))
+
+
+# ---------------------------------------------------------------- quality
+from barline.functions.signals import BAND_POSITIONS, RSI_SIGNALS, run_status_code  # noqa: E402
+from barline.plans import monitoring as MON  # noqa: E402
+from barline.plans import quality as Q  # noqa: E402
+from barline.plans import runlog as RL  # noqa: E402
+from barline.sources import candle_views as V  # noqa: E402
+from barline.sources import messages as MSG  # noqa: E402
+
+NOW = "2024-01-30 12:00:00"   # the dashboards' "now", fixed so results are testable
+
+
+def now_col():
+    return F.to_timestamp(F.lit(NOW))
+
+
+def staged_faulty(spark, sf):
+    return S.stg_raw_ohlcv(V.with_key_faults(raw_e(spark, sf)))
+
+
+@query("q01_not_null")
+def q01(spark, sf):
+    return Q.not_null_failures(staged_faulty(spark, sf), "symbol").select("id", "timestamp_ms")
+
+
+@query("q02_unique")
+def q02(spark, sf):
+    return Q.unique_failures(staged_faulty(spark, sf), "id")
+
+
+@query("q03_accepted_values")
+def q03(spark, sf):
+    # 'neutral' is left out of the list on purpose, so the check has failures to report.
+    return Q.accepted_values_failures(fct_l(spark, sf), "rsi_signal", ["oversold", "overbought"]) \
+        .select("symbol", "date", "rsi_signal")
+
+
+@query("q04_negative_volume")
+def q04(spark, sf):
+    # Daily sums of view E never go negative, so the singular test runs on the
+    # unfiltered rows (with their date) where the planted negative volumes are.
+    raw = raw_e(spark, sf).withColumn("date", F.to_date(F.timestamp_millis("timestamp_ms")))
+    return rounded(Q.negative_volume(raw))
+
+
+def fct_e_faulty(spark, sf):
+    raw = V.with_key_faults(raw_e(spark, sf))
+    ind = IND.compute_all_indicators(C.daily_candles(raw, E_ORDER), partition_by=("symbol", "exchange"))
+    inter = C.int_ohlcv_daily(S.stg_raw_ohlcv(raw), E_ORDER)
+    return inter, M.fct_market_daily(inter, ind, ("symbol", "exchange", "date"))
+
+
+@query("q05_check_report")
+def q05(spark, sf):
+    staged = staged_faulty(spark, sf)
+    inter, fct = fct_e_faulty(spark, sf)
+    return Q.check_report([
+        Q.TableChecks("stg_raw_ohlcv", staged, not_null=("id", "symbol", "timestamp_ms", "volume"),
+                      unique=("id",)),
+        Q.TableChecks("int_ohlcv_daily", inter, not_null=("symbol", "date", "volume")),
+        Q.TableChecks("fct_market_daily", fct, not_null=("symbol", "date", "close"),
+                      accepted={"rsi_signal": RSI_SIGNALS, "bb_position": BAND_POSITIONS},
+                      custom={"assert_positive_volume": F.col("volume") < 0}),
+    ])
+
+
+def parsed_messages(spark, sf):
+    return MSG.parse_messages(V.messages(spark, sf).filter(F.col("value").isNotNull()))
+
+
+@query("q06_freshness")
+def q06(spark, sf):
+    return Q.freshness(staged_e(spark, sf), MSG.dead_letters(parsed_messages(spark, sf)), now_col(),
+                       max_age="1 hour", reject_window="5 minutes")
+
+
+# ---------------------------------------------------------------- monitoring
+def run_events(spark, sf):
+    runs = V.runs_from_raw(raw_e(spark, sf))
+    ends = RL.end_events(runs.filter(F.col("status").isNotNull()), V.DAG_ID)
+    return RL.start_events(runs, V.DAG_ID).unionByName(ends)
+
+
+@query("a08_table_counts")
+def a08(spark, sf):
+    raw = raw_e(spark, sf)
+    daily = C.daily_candles(raw, E_ORDER)
+    return MON.table_counts({
+        "raw_ohlcv": raw, "ohlcv_hourly": C.hourly_candles(raw, E_ORDER), "ohlcv_daily": daily,
+        "technical_indicators": IND.compute_all_indicators(daily, partition_by=("symbol", "exchange")),
+        "pipeline_runs": RL.current_runs(run_events(spark, sf))})
+
+
+@query("a09_high_water_mark")
+def a09(spark, sf):
+    raw = raw_e(spark, sf)
+    from barline.operators.dedupe import high_water_mark, high_water_marks
+    return high_water_marks(raw).unionByName(high_water_mark(raw, "UNKNOWN/PAIR"))
+
+
+@query("a10_ingest_rate")
+def a10(spark, sf):
+    return MON.ingest_rate(raw_e(spark, sf), now_col(), 24)
+
+
+@query("a11_message_throughput")
+def a11(spark, sf):
+    return rounded(MON.message_throughput(V.messages(spark, sf), 5))
+
+
+@query("a11_dead_letter_counts")
+def a11b(spark, sf):
+    return MON.dead_letter_counts(MSG.dead_letters(parsed_messages(spark, sf)))
+
+
+@query("k01_latest_closes")
+def k01(spark, sf):
+    return rounded(MON.latest_closes(daily_l(spark, sf), LONG_SYMBOL))
+
+
+@query("k02_latest_moving_averages")
+def k02(spark, sf):
+    return rounded(MON.latest_moving_averages(indicators_l(spark, sf), LONG_SYMBOL))
+
+
+@query("k03_latest_rsi")
+def k03(spark, sf):
+    return rounded(MON.latest_rsi(indicators_l(spark, sf), LONG_SYMBOL))
+
+
+@query("k04_latest_runs")
+def k04(spark, sf):
+    return rounded(MON.latest_runs(RL.current_runs(run_events(spark, sf))))
+
+
+@query("p09_run_status_code")
+def p09(spark, sf):
+    runs = RL.current_runs(run_events(spark, sf))
+    return rounded(runs.select("run_id", "status", run_status_code().alias("status_code")))
+
+
+@query("p10_predicates")
+def p10(spark, sf):
+    rows = MON.within_hours(staged_e(spark, sf), "candle_time", now_col(), 24)
+    return rounded(MON.symbol_rows(rows, "click").select("id", "symbol", "candle_time", "close"))
+
+
+@query("r01_run_start")
+def r01(spark, sf):
+    return RL.start_events(V.runs_from_raw(raw_e(spark, sf)), V.DAG_ID)
+
+
+@query("r02_run_state")
+def r02(spark, sf):
+    return RL.current_runs(run_events(spark, sf))
+
+
+@query("r03_daily_run")
+def r03(spark, sf):
+    from barline.plans.daily_run import daily_run
+    from barline.session import work_path
+    fixed = __import__("datetime").datetime(2024, 2, 1)
+    return daily_run(spark, raw_l(spark, sf), work_path(spark, "r03"), "r03", order_by=L_ORDER,
+                     series=("symbol",), extra=("line", "part"), clock=lambda: fixed)
+
+
+# ---------------------------------------------------------------- sources
+from barline.operators import dedupe as D  # noqa: E402
+from barline.sources.tables import read_table, write_table  # noqa: E402
+
+RAW_OUT = ("id", "symbol", "exchange", "timestamp_ms", "open", "high", "low", "close", "volume")
+TARGET_BEFORE_L = "1998-01-01"      # yesterday's table vs today's batch (S07, J03)
+BATCH_FROM_L = "1997-01-01"
+TARGET_BEFORE_E = "2024-01-20"      # S10
+
+
+@query("s01_read_table")
+def s01(spark, sf):
+    li = read_table(spark, f"{sf.rstrip('/')}/lineitem.parquet",
+                    columns=["l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
+                             "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"])
+    return rounded(V.candles_from_lineitem(li).select(*RAW_OUT, "line", "part"))
+
+
+@query("s02_write_table")
+def s02(spark, sf):
+    from barline.session import work_path
+    path = work_path(spark, "s02")
+    raw = raw_e(spark, sf).withColumn("candle_date", F.to_date(F.timestamp_millis("timestamp_ms")))
+    for _ in range(2):   # a re-run replaces its partitions instead of appending twice
+        write_table(raw, path, mode="overwrite", partition_by=["candle_date"])
+    return rounded(read_table(spark, path).select(*RAW_OUT, "candle_date"))
+
+
+@query("s05_decode_messages")
+def s05(spark, sf):
+    v = MSG.valid_records(parsed_messages(spark, sf))
+    return rounded(v.select("offset", "symbol", "exchange", "timeframe", "timestamp_ms", "open",
+                            "high", "low", "close", "volume"))
+
+
+@query("s06_dead_letters")
+def s06(spark, sf):
+    return MSG.dead_letters(parsed_messages(spark, sf)).select(
+        "offset", "partition", "error_reason", "reason_detail",
+        F.col("headers")[0]["key"].alias("header_key"))
+
+
+@query("s07_insert_ignore")
+def s07(spark, sf):
+    raw = raw_l(spark, sf)
+    day = F.to_date(F.timestamp_millis("timestamp_ms"))
+    target = D.new_rows(raw.filter(day < F.lit(TARGET_BEFORE_L).cast("date")), None, order_by=L_ORDER)
+    batch = raw.filter(day >= F.lit(BATCH_FROM_L).cast("date"))
+    return rounded(D.new_rows(batch, target, order_by=L_ORDER).select(*RAW_OUT, "line", "part"))
+
+
+@query("j03_anti_join")
+def j03(spark, sf):
+    raw = raw_l(spark, sf)
+    day = F.to_date(F.timestamp_millis("timestamp_ms"))
+    target = raw.filter(day < F.lit(TARGET_BEFORE_L).cast("date"))
+    return rounded(D.anti_join(raw, target).select(*RAW_OUT, "line", "part"))
+
+
+@query("s08_encode_messages")
+def s08(spark, sf):
+    recs = raw_e(spark, sf).withColumn("timeframe", F.lit("1m"))
+    enc = MSG.encode_messages(recs)
+    back = F.from_json(F.decode("value", "UTF-8"), MSG.CANDLE_MESSAGE)
+    return rounded(enc.select(F.decode("key", "UTF-8").alias("key"), back.alias("r"))
+                   .select("key", "r.symbol", "r.exchange", "r.timeframe", "r.timestamp_ms",
+                           "r.open", "r.high", "r.low", "r.close", "r.volume"))
+
+
+@query("s09_normalise_records")
+def s09(spark, sf):
+    raw = V.candles_from_events(V.read_test_table(spark, sf, "events"), keep=("user_id",))
+    strings = raw.select(
+        "id", *[F.col(c).cast("string").alias(c) for c in ("symbol", "exchange", "timestamp_ms",
+                                                          "open", "high", "low", "close", "volume")],
+        F.when(F.col("user_id") % 3 == 0, F.lit(None)).otherwise(F.lit("5m")).alias("timeframe"),
+        F.when(F.col("user_id") % 5 == 0, F.lit(None))
+        .otherwise(F.date_format("ingested_at", "yyyy-MM-dd'T'HH:mm:ss")).alias("fetched_at"))
+    return rounded(MSG.normalise_records(strings))
+
+
+@query("s10_newer_than_last")
+def s10(spark, sf):
+    raw = raw_e(spark, sf)
+    target = raw.filter(F.col("ingested_at") < F.to_timestamp(F.lit(TARGET_BEFORE_E)))
+    return D.newer_than_last(raw, target).select("id", "symbol", "timestamp_ms")
+
+
+@query("s11_historical_load")
+def s11(spark, sf):
+    from barline.session import work_path
+    path = work_path(spark, "s11")
+    e = raw_e(spark, sf).select(*RAW_OUT, "ingested_at", F.lit(0).cast("long").alias("line"),
+                                F.lit(0).cast("long").alias("part"))
+    write_table(e, path, mode="overwrite")
+    staging = read_table(spark, path)
+    files = raw_l(spark, sf).select(*RAW_OUT, "ingested_at", "line", "part")
+    batch = files.unionByName(e)                      # the bulk files plus a replay of staging
+    fresh = D.new_rows(batch, staging, order_by=L_ORDER)
+    write_table(fresh, path, mode="append")
+    return rounded(read_table(spark, path).select(*RAW_OUT))
+
+
+@query("s12_array_to_record")
+def s12(spark, sf):
+    raw = raw_e(spark, sf)
+    arr = raw.select("symbol", "exchange", F.array(
+        F.col("timestamp_ms").cast("double"), "open", "high", "low", "close", "volume").alias("candle"))
+    recs = MSG.records_from_arrays(arr, "symbol", "exchange", "1m",
+                                   fetched_at=F.lit("2024-02-01T00:00:00+00:00"))
+    return rounded(recs)
+
+
+# ---------------------------------------------------------------- streaming
+from barline.streaming import ingest as ING  # noqa: E402
+
+MESSAGE_FILES = 4
+
+
+def message_files(spark, sf) -> str:
+    """Write the message view as a few Parquet files: the stream's source."""
+    from barline.session import work_path
+    path = work_path(spark, "messages")
+    V.messages(spark, sf).repartition(MESSAGE_FILES, "partition", "offset").write.parquet(path)
+    return path
+
+
+def _ingest_paths(spark, name):
+    from barline.session import work_path
+    base = work_path(spark, name)
+    return f"{base}/checkpoint", f"{base}/staging", f"{base}/dead_letters", base
+
+
+STAGED_OUT = (*RAW_OUT, "ingested_at")
+
+
+@query("s03_message_source")
+def s03(spark, sf):
+    from barline.session import work_path
+    src = message_files(spark, sf)
+    out, ck = work_path(spark, "s03-out"), work_path(spark, "s03-ck")
+    stream = ING.drop_tombstones(spark.readStream.schema(ING.MESSAGE_ENVELOPE).parquet(src))
+    q = (stream.select("topic", "partition", "offset").writeStream.format("parquet")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query("s04_micro_batch_ingest")
+def s04(spark, sf):
+    src = message_files(spark, sf)
+    ck, staging, dlq, _ = _ingest_paths(spark, "s04")
+    ING.drain(spark, src, ck, staging, dlq, source_options={"maxFilesPerTrigger": "1"},
+              ingested_at="timestamp")
+    return rounded(spark.read.parquet(staging).select(*STAGED_OUT))
+
+
+@query("t01_stream_dead_letters")
+def t01(spark, sf):
+    src = message_files(spark, sf)
+    ck, staging, dlq, _ = _ingest_paths(spark, "t01")
+    ING.drain(spark, src, ck, staging, dlq, source_options={"maxFilesPerTrigger": "1"},
+              ingested_at="timestamp")
+    return spark.read.parquet(dlq).select("offset", "partition", "error_reason", "reason_detail")
+
+
+@query("t02_bounded_drain_replay")
+def t02(spark, sf):
+    src = message_files(spark, sf)
+    ck, staging, dlq, base = _ingest_paths(spark, "t02")
+    ING.drain(spark, src, ck, staging, dlq, ingested_at="timestamp")
+    # A full redelivery (new checkpoint = offsets lost) must not change either table.
+    ING.drain(spark, src, f"{base}/checkpoint2", staging, dlq,
+              source_options={"maxFilesPerTrigger": "2"}, ingested_at="timestamp")
+    return rounded(spark.read.parquet(staging).select(*STAGED_OUT))
+
+
+@query("t03_failed_flush_restart")
+def t03(spark, sf):
+    src = message_files(spark, sf)
+    ck, staging, dlq, base = _ingest_paths(spark, "t03")
+    marker = f"{base}-failed-once"
+    opts = {"maxFilesPerTrigger": "1"}
+    try:
+        ING.drain(spark, src, ck, staging, dlq, source_options=opts, ingested_at="timestamp",
+                  fail_on_batch=1, failure_marker=marker)
+    except Exception:  # noqa: BLE001 - the injected failure stops the query
+        pass
+    ING.drain(spark, src, ck, staging, dlq, source_options=opts, ingested_at="timestamp")
+    return rounded(spark.read.parquet(staging).select(*STAGED_OUT))

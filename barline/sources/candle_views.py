@@ -33,8 +33,10 @@ def read_test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def candles_from_events(events: DataFrame) -> DataFrame:
-    """View E: one raw candle per event (unfiltered, faults included)."""
+def candles_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """View E: one raw candle per event (unfiltered, faults included).
+
+    ``keep`` passes further ``events`` columns through (no join needed)."""
     eid = F.col("event_id")
     base_open = F.col("value")
     base_close = F.col("value") + ((eid % 11) - 5).cast("double") * F.lit(0.25)
@@ -54,6 +56,7 @@ def candles_from_events(events: DataFrame) -> DataFrame:
         base_close.alias("close"),
         F.when(eid % NEGATE_VOLUME_EVERY == 0, -vol).otherwise(vol).alias("volume"),
         ts.alias("ingested_at"),
+        *keep,
     )
 
 
@@ -99,8 +102,7 @@ def messages_from_events(events: DataFrame) -> DataFrame:
     """Message envelope view M over ``events``: one candle message per event
     (the record of view E as JSON), ``partition = user_id % 3``,
     ``offset = event_id``, with planted tombstones and bad payloads."""
-    e = candles_from_events(events).join(
-        events.select(F.col("event_id").alias("id"), "user_id"), "id")
+    e = candles_from_events(events, keep=("user_id",))
     eid = F.col("id")
     fields = [F.col(c) for c in ("symbol", "exchange")] + [F.lit("1m").alias("timeframe")] + \
         [F.col(c) for c in ("timestamp_ms", "open", "high", "low", "close", "volume")] + \

@@ -78,7 +78,8 @@ def valid_records(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reason").isNull())
 
 
-def dead_letters(parsed: DataFrame, keep: Sequence[str] = ("topic", "partition", "offset")) -> DataFrame:
+def dead_letters(parsed: DataFrame,
+                 keep: Sequence[str] = ("topic", "partition", "offset", "timestamp")) -> DataFrame:
     """Rejects with the original bytes and the ``error_reason`` header.
 
     The header carries the reference's single reason; ``reason_detail`` the

@@ -115,7 +115,8 @@ def ema_consts(span: int) -> tuple[str, str]:
 def indicators_sql(src: str, part: str = "symbol") -> str:
     """W01, W05-W11 over a daily view; defines CTEs ib, i1, ema, ind."""
     pcols = [p.strip() for p in part.split(",")]
-    on = " AND ".join(f"b.{p} = e.{p}" for p in pcols)
+    on = " AND ".join(f"b.{p} IS NOT DISTINCT FROM e.{p}" for p in pcols)
+    on_i = " AND ".join(f"i1.{p} IS NOT DISTINCT FROM ema.{p}" for p in pcols)
     sel = ", ".join(f"b.{p}" for p in pcols)
     a12, r12 = ema_consts(12)
     a26, r26 = ema_consts(26)
@@ -148,7 +149,7 @@ ema AS (
   FROM ema e JOIN ib b ON {on} AND b.rn = e.rn + 1),
 i2 AS (
   SELECT i1.*, ema.ema_12, ema.ema_26, ema.ema_12 - ema.ema_26 AS macd
-  FROM i1 JOIN ema USING ({part}, rn)),
+  FROM i1 JOIN ema ON {on_i} AND i1.rn = ema.rn),
 ind AS (
   SELECT {part}, date, sma_7, sma_25, sma_99, ema_12, ema_26,
          CASE WHEN al = 0 THEN 100.0 ELSE 100.0 - 100.0 / (1.0 + ag / al) END AS rsi_14,
@@ -275,3 +276,167 @@ ORACLE["m02_dim_trading_pairs"] = q([STG_E, INT_E, "ps AS (" + PAIR_STATS.format
                                     "SELECT * FROM dim", PS_DOUBLES + ["annualized_volatility", "sharpe_ratio"])
 ORACLE["m02_dim_trading_pairs_long"] = q([STG_L, INT_L, "ps AS (" + PAIR_STATS.format(src="int_l") + ")", "dim AS (" + DIM + ")"],
                                          "SELECT * FROM dim", PS_DOUBLES + ["annualized_volatility", "sharpe_ratio"])
+
+
+# ---------------------------------------------------------------- quality
+RAW_EF = """raw_ef AS (
+  SELECT CASE WHEN id % 199 = 0 THEN id - 1 ELSE id END AS id,
+         CASE WHEN id % 211 = 0 THEN NULL ELSE symbol END AS symbol,
+         exchange, timestamp_ms, open, high, low, close, volume, ingested_at FROM raw_e)"""
+STG_EF = "stg_ef AS (" + stg_sql("raw_ef") + ")"
+ORACLE["q01_not_null"] = q([RAW_EF, STG_EF], "SELECT id, timestamp_ms FROM stg_ef WHERE symbol IS NULL")
+ORACLE["q02_unique"] = q([RAW_EF, STG_EF], "SELECT id, count(*) AS n_records FROM stg_ef WHERE id IS NOT NULL "
+                                           "GROUP BY id HAVING count(*) > 1")
+ORACLE["q03_accepted_values"] = q([DL, STG_L, INT_L, indicators_sql("dl"), FCT_L],
+                                  "SELECT symbol, date, rsi_signal FROM fct WHERE rsi_signal IS NOT NULL "
+                                  "AND rsi_signal NOT IN ('oversold', 'overbought')", [], True)
+ORACLE["q04_negative_volume"] = q([], "SELECT CAST(epoch_ms(timestamp_ms) AS DATE) AS date, symbol, volume "
+                                     "FROM raw_e WHERE volume < 0", ["volume"])
+
+DEF = "def AS (" + candle_sql("raw_ef", "day", E_ORD) + ")"
+INT_EF = "int_ef AS (" + int_daily_sql("stg_ef", E_ORD) + ")"
+FCT_EF = "fct AS (" + FCT_SELECT.format(
+    daily="int_ef", on="d.symbol = i.symbol AND d.exchange = i.exchange AND d.date = i.date") + ")"
+
+
+def nn(table: str, src: str, col: str) -> str:
+    return (f"SELECT 'not_null' AS check_name, '{table}' AS table_name, '{col}' AS column_name, "
+            f"count(*) FILTER (WHERE {col} IS NULL) AS failures FROM {src}")
+
+
+REPORT = " UNION ALL ".join(
+    [nn("stg_raw_ohlcv", "stg_ef", c) for c in ("id", "symbol", "timestamp_ms", "volume")]
+    + ["SELECT 'unique', 'stg_raw_ohlcv', 'id', (SELECT count(*) FROM (SELECT id FROM stg_ef "
+       "WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1) u)"]
+    + [nn("int_ohlcv_daily", "int_ef", c) for c in ("symbol", "date", "volume")]
+    + [nn("fct_market_daily", "fct", c) for c in ("symbol", "date", "close")]
+    + ["SELECT 'accepted_values', 'fct_market_daily', 'rsi_signal', count(*) FILTER (WHERE rsi_signal "
+       "IS NOT NULL AND rsi_signal NOT IN ('oversold', 'overbought', 'neutral')) FROM fct",
+       "SELECT 'accepted_values', 'fct_market_daily', 'bb_position', count(*) FILTER (WHERE bb_position "
+       "IS NOT NULL AND bb_position NOT IN ('above_upper', 'below_lower', 'within_bands')) FROM fct",
+       "SELECT 'assert_positive_volume', 'fct_market_daily', NULL, count(*) FILTER (WHERE volume < 0) FROM fct"])
+ORACLE["q05_check_report"] = q([RAW_EF, STG_EF, DEF, INT_EF, indicators_sql("def", "symbol, exchange"), FCT_EF,
+                                "rep AS (" + REPORT + ")"],
+                               "SELECT check_name, table_name, column_name, failures, failures = 0 AS passed FROM rep",
+                               [], True)
+
+NOW = "TIMESTAMP '2024-01-30 12:00:00'"
+BAD_MSG = "(event_id % 43 = 0 OR event_id % 37 = 0 OR event_id % 41 = 0 OR event_id % 47 = 0)"
+DLQ = f"""dlq AS (
+  SELECT 'raw_ohlcv' AS topic, CAST(user_id % 3 AS INTEGER) AS partition, event_id AS offset, ts AS timestamp,
+         'parse_error' AS error_reason,
+         CASE WHEN event_id % 43 = 0 THEN 'bad_encoding' WHEN event_id % 37 = 0 THEN 'invalid_json'
+              WHEN event_id % 41 = 0 THEN 'missing_fields' ELSE 'bad_type' END AS reason_detail
+  FROM events WHERE event_id % 89 != 0 AND {BAD_MSG})"""
+ORACLE["q06_freshness"] = q([STG_E, DLQ], f"""
+SELECT 'staging_stale' AS check_name, CAST(CASE WHEN max(ingested_at) IS NULL OR max(ingested_at) < {NOW} - INTERVAL 1 HOUR
+       THEN 1 ELSE 0 END AS BIGINT) AS failures FROM stg_e
+UNION ALL SELECT 'recent_rejects', count(*) FILTER (WHERE timestamp > {NOW} - INTERVAL 5 MINUTE AND timestamp <= {NOW}) FROM dlq
+""".strip().replace("\n", " ").join(["SELECT check_name, failures, failures = 0 AS passed FROM (", ") f"]))
+
+# ---------------------------------------------------------------- run log / monitoring
+RUNS = """days AS (
+  SELECT CAST(ingested_at AS DATE) AS day, min(ingested_at) AS started_at, max(ingested_at) AS finished_at,
+         count(*) AS n,
+         count(*) FILTER (WHERE high < low OR volume < 0 OR open <= 0 OR close <= 0) AS rejected
+  FROM raw_e GROUP BY 1),
+runs AS (
+  SELECT 'run_' || strftime(day, '%Y%m%d') AS run_id, started_at, finished_at,
+         CASE WHEN day = (SELECT max(day) FROM days) THEN NULL WHEN rejected > 10 THEN 'failed' ELSE 'success' END AS status,
+         n - rejected AS rows_processed,
+         CASE WHEN rejected > 10 THEN 'rejected ' || CAST(rejected AS VARCHAR) || ' rows' END AS error_message
+  FROM days),
+cur AS (
+  SELECT 'candles_daily' AS dag_id, run_id, coalesce(status, 'running') AS status, started_at,
+         CASE WHEN status IS NULL THEN NULL ELSE finished_at END AS finished_at,
+         CASE WHEN status IS NULL THEN 0 ELSE rows_processed END AS rows_processed,
+         CASE WHEN status IS NULL THEN NULL ELSE error_message END AS error_message
+  FROM runs)"""
+ORACLE["r01_run_start"] = q([RUNS], """SELECT 'candles_daily' AS dag_id, run_id, 'running' AS status,
+  started_at AS event_at, started_at, CAST(NULL AS TIMESTAMP) AS finished_at, CAST(0 AS BIGINT) AS rows_processed,
+  CAST(NULL AS VARCHAR) AS error_message FROM runs""")
+ORACLE["r02_run_state"] = q([RUNS], "SELECT * FROM cur")
+ORACLE["p09_run_status_code"] = q([RUNS], """SELECT run_id, status,
+  CASE status WHEN 'success' THEN 1.0 WHEN 'running' THEN 0.5 ELSE 0.0 END::DOUBLE AS status_code FROM cur""",
+                                  ["status_code"])
+ORACLE["k04_latest_runs"] = q([RUNS], """SELECT started_at AS time, run_id,
+  CASE status WHEN 'success' THEN 1.0 WHEN 'running' THEN 0.5 ELSE 0.0 END::DOUBLE AS status
+FROM cur ORDER BY started_at DESC, run_id DESC LIMIT 10""", ["status"])
+
+ORACLE["a08_table_counts"] = q([RUNS], """
+SELECT 'raw_ohlcv' AS table_name, count(*) AS row_count FROM raw_e
+UNION ALL SELECT 'ohlcv_hourly', count(*) FROM (SELECT DISTINCT symbol, exchange, date_trunc('hour', epoch_ms(timestamp_ms)) FROM raw_e) h
+UNION ALL SELECT 'ohlcv_daily', count(*) FROM (SELECT DISTINCT symbol, exchange, CAST(epoch_ms(timestamp_ms) AS DATE) FROM raw_e) d
+UNION ALL SELECT 'technical_indicators', count(*) FROM (SELECT DISTINCT symbol, exchange, CAST(epoch_ms(timestamp_ms) AS DATE) FROM raw_e) i
+UNION ALL SELECT 'pipeline_runs', count(*) FROM cur""")
+ORACLE["a09_high_water_mark"] = q([], """SELECT symbol, max(timestamp_ms) AS last_timestamp_ms FROM raw_e GROUP BY symbol
+UNION ALL SELECT 'UNKNOWN/PAIR', max(timestamp_ms) FROM raw_e WHERE symbol = 'UNKNOWN/PAIR'""")
+ORACLE["a10_ingest_rate"] = q([], f"""SELECT date_trunc('hour', ingested_at) AS time, count(*) AS rows_ingested
+FROM raw_e WHERE ingested_at > {NOW} - INTERVAL 24 HOUR GROUP BY 1""")
+W5 = "make_timestamp(epoch_us(ts) // 300000000 * 300000000)"
+ORACLE["a11_message_throughput"] = q([], f"""SELECT {W5} AS window_start, {W5} + INTERVAL 5 MINUTE AS window_end,
+  CAST(user_id % 3 AS INTEGER) AS partition, count(*) AS messages, count(*) / 300.0 AS messages_per_sec
+FROM events GROUP BY 1, 2, 3""", ["messages_per_sec"])
+ORACLE["a11_dead_letter_counts"] = q([DLQ], "SELECT error_reason, reason_detail, count(*) AS messages FROM dlq GROUP BY 1, 2")
+ORACLE["k01_latest_closes"] = q([DL], "SELECT date AS time, exchange, close FROM dl WHERE symbol = 'A/F' "
+                                      "ORDER BY date DESC, exchange LIMIT 90", ["close"])
+ORACLE["k02_latest_moving_averages"] = q([DL, indicators_sql("dl")],
+                                         "SELECT date AS time, sma_7, sma_25, ema_12, ema_26 FROM ind WHERE symbol = 'A/F' "
+                                         "ORDER BY date DESC LIMIT 90", ["sma_7", "sma_25", "ema_12", "ema_26"], True)
+ORACLE["k03_latest_rsi"] = q([DL, indicators_sql("dl")],
+                             "SELECT date AS time, rsi_14 FROM ind WHERE symbol = 'A/F' ORDER BY date DESC LIMIT 90",
+                             ["rsi_14"], True)
+ORACLE["p10_predicates"] = q([STG_E], f"SELECT id, symbol, candle_time, close FROM stg_e "
+                                      f"WHERE candle_time > {NOW} - INTERVAL 24 HOUR AND symbol = 'click'", ["close"])
+ORACLE["r03_daily_run"] = q([], """
+SELECT 'raw_ohlcv' AS table_name, count(*) AS row_count FROM raw_l
+UNION ALL SELECT 'ohlcv_hourly', count(*) FROM (SELECT DISTINCT symbol, exchange, date_trunc('hour', epoch_ms(timestamp_ms)) FROM raw_l) h
+UNION ALL SELECT 'ohlcv_daily', count(*) FROM (SELECT DISTINCT symbol, exchange, CAST(epoch_ms(timestamp_ms) AS DATE) FROM raw_l) d
+UNION ALL SELECT 'technical_indicators', count(*) FROM (SELECT DISTINCT symbol, CAST(epoch_ms(timestamp_ms) AS DATE) FROM raw_l) i
+UNION ALL SELECT 'pipeline_runs', CAST(1 AS BIGINT)""")
+
+# ---------------------------------------------------------------- sources
+RAW_OUT = "id, symbol, exchange, timestamp_ms, open, high, low, close, volume"
+RAW_DBL = ["open", "high", "low", "close", "volume"]
+GOOD = f"event_id % 89 != 0 AND NOT {BAD_MSG}"
+ORACLE["s01_read_table"] = q([], f"SELECT {RAW_OUT}, line, part FROM raw_l", RAW_DBL)
+ORACLE["s02_write_table"] = q([], f"SELECT {RAW_OUT}, CAST(epoch_ms(timestamp_ms) AS DATE) AS candle_date FROM raw_e",
+                              RAW_DBL)
+ORACLE["s03_message_source"] = q([], "SELECT 'raw_ohlcv' AS topic, CAST(user_id % 3 AS INTEGER) AS partition, "
+                                     "event_id AS offset FROM events WHERE event_id % 89 != 0")
+STAGED_SQL = f"SELECT {RAW_OUT}, ingested_at FROM raw_e WHERE id IN (SELECT event_id FROM events WHERE {GOOD})"
+ORACLE["s04_micro_batch_ingest"] = q([], STAGED_SQL, RAW_DBL)
+ORACLE["t02_bounded_drain_replay"] = ORACLE["s04_micro_batch_ingest"]
+ORACLE["t03_failed_flush_restart"] = ORACLE["s04_micro_batch_ingest"]
+ORACLE["t01_stream_dead_letters"] = q([DLQ], 'SELECT "offset", "partition", error_reason, reason_detail FROM dlq')
+ORACLE["s05_decode_messages"] = q([], f"""SELECT id AS offset, symbol, exchange, '1m' AS timeframe, timestamp_ms,
+  open, high, low, close, volume FROM raw_e WHERE id IN (SELECT event_id FROM events WHERE {GOOD})""", RAW_DBL)
+ORACLE["s06_dead_letters"] = q([DLQ], 'SELECT "offset", "partition", error_reason, reason_detail, '
+                                      "'error_reason' AS header_key FROM dlq")
+LF = "lf AS (SELECT *, CAST(epoch_ms(timestamp_ms) AS DATE) AS day FROM raw_l)"
+ORACLE["s07_insert_ignore"] = q([LF, "tgt AS (SELECT DISTINCT symbol, exchange, timestamp_ms FROM lf WHERE day < DATE '1998-01-01')",
+                                 "b AS (SELECT *, row_number() OVER (PARTITION BY symbol, exchange, timestamp_ms "
+                                 "ORDER BY timestamp_ms, id, line, part) AS rn FROM lf WHERE day >= DATE '1997-01-01')"],
+                                f"SELECT {RAW_OUT}, line, part FROM b WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM tgt t "
+                                "WHERE t.symbol = b.symbol AND t.exchange = b.exchange AND t.timestamp_ms = b.timestamp_ms)",
+                                RAW_DBL)
+ORACLE["j03_anti_join"] = q([LF, "tgt AS (SELECT DISTINCT symbol, exchange, timestamp_ms FROM lf WHERE day < DATE '1998-01-01')"],
+                            f"SELECT {RAW_OUT}, line, part FROM lf b WHERE NOT EXISTS (SELECT 1 FROM tgt t "
+                            "WHERE t.symbol = b.symbol AND t.exchange = b.exchange AND t.timestamp_ms = b.timestamp_ms)",
+                            RAW_DBL)
+ORACLE["s08_encode_messages"] = q([], """SELECT symbol || ':' || CAST(timestamp_ms AS VARCHAR) AS key, symbol, exchange,
+  '1m' AS timeframe, timestamp_ms, open, high, low, close, volume FROM raw_e""", RAW_DBL)
+ORACLE["s09_normalise_records"] = q([], """SELECT r.symbol, r.exchange,
+  CASE WHEN e.user_id % 3 = 0 THEN '1m' ELSE '5m' END AS timeframe, r.timestamp_ms, r.open, r.high, r.low,
+  r.close, r.volume,
+  CASE WHEN e.user_id % 5 = 0 THEN '' ELSE strftime(r.ingested_at, '%Y-%m-%dT%H:%M:%S') END AS fetched_at
+FROM raw_e r JOIN events e ON e.event_id = r.id""", RAW_DBL)
+ORACLE["s10_newer_than_last"] = q([f"hw AS (SELECT symbol, max(timestamp_ms) AS m FROM raw_e WHERE ingested_at < "
+                                   f"TIMESTAMP '2024-01-20 00:00:00' GROUP BY symbol)"],
+                                  "SELECT r.id, r.symbol, r.timestamp_ms FROM raw_e r LEFT JOIN hw ON hw.symbol = r.symbol "
+                                  "WHERE hw.m IS NULL OR r.timestamp_ms > hw.m")
+ORACLE["s11_historical_load"] = q(["b AS (SELECT *, row_number() OVER (PARTITION BY symbol, exchange, timestamp_ms "
+                                   "ORDER BY timestamp_ms, id, line, part) AS rn FROM raw_l)"],
+                                  f"SELECT {RAW_OUT} FROM raw_e UNION ALL SELECT {RAW_OUT} FROM b WHERE rn = 1", RAW_DBL)
+ORACLE["s12_array_to_record"] = q([], """SELECT symbol, exchange, '1m' AS timeframe, timestamp_ms, open, high, low,
+  close, volume, '2024-02-01T00:00:00+00:00' AS fetched_at FROM raw_e""", RAW_DBL)
