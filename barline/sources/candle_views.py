@@ -116,9 +116,10 @@ def messages_from_events(events: DataFrame) -> DataFrame:
             .when(eid % BAD_TYPE_EVERY == 0, bad_type)
             .otherwise(F.col("_good")))
     value = (F.when(eid % TOMBSTONE_EVERY == 0, F.lit(None).cast("binary"))
-             .when(eid % BAD_UTF8_EVERY == 0, F.concat(F.unhex(F.lit("FFFE")), F.encode(good, "UTF-8")))
+             .when(eid % BAD_UTF8_EVERY == 0, F.concat(F.unhex(F.lit("FFFE")), F.encode("_good", "UTF-8")))
              .otherwise(F.encode(text, "UTF-8")))
-    return e.withColumn("_good", good).select(
+    # Each JSON text is built in its own projection, then referenced by name.
+    return e.select("*", good.alias("_good")).select(
         F.encode(F.concat_ws(":", "symbol", F.col("timestamp_ms").cast("string")), "UTF-8").alias("key"),
         value.alias("value"),
         F.lit(TOPIC).alias("topic"),

@@ -52,13 +52,12 @@ def drop_tombstones(envelope: DataFrame) -> DataFrame:
 
 
 def ingest_batch(batch: DataFrame, staging_path: str, dlq_path: str,
-                 ingested_at: str | None = None) -> tuple[int, int]:
-    """Process one micro-batch (S04 body). Returns nothing the driver must hold:
-    the two appends are Spark jobs; the counts come from ``observe``."""
+                 ingested_at: str | None = None) -> None:
+    """Process one micro-batch (S04 body): two idempotent appends, no collect."""
     spark = batch.sparkSession
-    batch = batch.persist()
+    # Both outputs read the same parse: cache it for the life of the batch.
+    parsed = parse_messages(drop_tombstones(batch)).persist()
     try:
-        parsed = parse_messages(drop_tombstones(batch))
         ing = F.col(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()
         rows = to_raw_rows(valid_records(parsed), "offset", ing)
         rows = rows.withColumn(PARTITION_COLUMN, F.to_date(F.timestamp_millis("timestamp_ms")))
@@ -72,8 +71,7 @@ def ingest_batch(batch: DataFrame, staging_path: str, dlq_path: str,
             rejects = anti_join(rejects, old, DLQ_KEY)
         rejects.write.mode("append").parquet(dlq_path)
     finally:
-        batch.unpersist()
-    return 0, 0
+        parsed.unpersist()
 
 
 def start_ingest(spark: SparkSession, source: str, checkpoint: str, staging_path: str,
