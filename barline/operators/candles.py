@@ -31,6 +31,14 @@ def _bucket_expr(bucket: str) -> Column:
     raise ValueError(f"unknown bucket {bucket!r}; use 'hour' or 'day'")
 
 
+def _present(df: DataFrame, order_by: Sequence[str]) -> list[str]:
+    """Order columns that exist (a table without ``id`` orders by time only)."""
+    cols = [c for c in order_by if c in df.columns]
+    if not cols:
+        raise ValueError(f"none of the order columns {list(order_by)} exist")
+    return cols
+
+
 def vwap(num: Column, den: Column) -> Column:
     """sum(close*volume)/sum(volume) when sum(volume) > 0, else NULL."""
     return F.when(den > 0, num / den)
@@ -57,6 +65,7 @@ def candles(raw: DataFrame, bucket: str = "hour", order_by: Sequence[str] = DEFA
     """
     if timeframe is not None:
         raw = raw.filter(F.col("timeframe") == timeframe)
+    order_by = _present(raw, order_by)
     bcol = BUCKETS[bucket]
     agg = raw.groupBy(*keys, _bucket_expr(bucket)).agg(
         first_value("open", order_by).alias("open"),
@@ -85,6 +94,7 @@ def int_ohlcv_daily(staged: DataFrame, order_by: Sequence[str] = DEFAULT_ORDER)
     """Daily candles of the *staged* rows with ``candle_count`` and
     ``daily_return`` = last close / first open - 1 (NULL when first open <= 0)."""
     pre = staged if "date" in staged.columns else staged.withColumnRenamed("date_bucket", "date")
+    order_by = _present(pre, order_by)
     agg = pre.groupBy("symbol", "exchange", "date").agg(
         first_value("open", order_by).alias("open"),
         F.max("high").alias("high"),
@@ -127,6 +137,7 @@ def candles_rank_join(raw: DataFrame, bucket: str = "hour",
     """
     bcol = BUCKETS[bucket]
     keys = ["symbol", "exchange", bcol]
+    order_by = _present(raw, order_by)
     b = raw.select("*", _bucket_expr(bucket))
     w_asc = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order_by])
     w_desc = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order_by])
