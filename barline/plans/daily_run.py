@@ -38,6 +38,7 @@ def _write(df: DataFrame, path: str, name: str, partition_by: Sequence[str] = ()
 def daily_run(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str,
               dag_id: str = "candles_daily", order_by: Sequence[str] = ("timestamp_ms", "id"),
               series: Sequence[str] = ("symbol", "exchange"), extra: Sequence[str] = (),
+              order_bits: dict | None = None,
               clock=lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) -> DataFrame:
     """Run every stage over ``raw``; returns ``(table_name, row_count)`` of the outputs."""
     runs_path = f"{out_dir}/pipeline_runs"
@@ -49,14 +50,14 @@ def daily_run(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str,
         else:
             rows = _write(raw, f"{out_dir}/raw_ohlcv", "raw")
             stored = spark.read.parquet(f"{out_dir}/raw_ohlcv")
-            _write(hourly_candles(stored, order_by), f"{out_dir}/ohlcv_hourly", "hourly")
-            _write(daily_candles(stored, order_by), f"{out_dir}/ohlcv_daily", "daily")
+            _write(hourly_candles(stored, order_by, order_bits), f"{out_dir}/ohlcv_hourly", "hourly")
+            _write(daily_candles(stored, order_by, order_bits), f"{out_dir}/ohlcv_daily", "daily")
             daily = spark.read.parquet(f"{out_dir}/ohlcv_daily")
             _write(compute_all_indicators(daily, partition_by=series),
                    f"{out_dir}/technical_indicators", "indicators")
             ind = spark.read.parquet(f"{out_dir}/technical_indicators")
             staged = stg_raw_ohlcv(stored, extra=extra)
-            _write(int_ohlcv_daily(staged, order_by), f"{out_dir}/int_ohlcv_daily", "int")
+            _write(int_ohlcv_daily(staged, order_by, order_bits), f"{out_dir}/int_ohlcv_daily", "int")
             inter = spark.read.parquet(f"{out_dir}/int_ohlcv_daily")
             keys = ("symbol", "exchange", "date") if "exchange" in series else ("symbol", "date")
             _write(fct_market_daily(inter, ind, keys), f"{out_dir}/fct_market_daily", "fct")

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from barline.operators import candles as C
 from barline.operators import staging as S
-from barline.sources.candle_views import E_ORDER, L_ORDER, raw_e, raw_l
+from barline.sources.candle_views import E_ORDER, L_BITS, L_ORDER, raw_e, raw_l
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -56,7 +56,7 @@ def a02(spark, sf):
 
 @query("a02_daily_candles_long")
 def a02l(spark, sf):
-    return rounded(C.daily_candles(raw_l(spark, sf), L_ORDER))
+    return rounded(C.daily_candles(raw_l(spark, sf), L_ORDER, L_BITS))
 
 
 @query("a03_vwap")
@@ -69,9 +69,10 @@ def a03(spark, sf):
 def a04(spark, sf):
     raw = raw_l(spark, sf)
     month = F.date_trunc("month", F.timestamp_millis("timestamp_ms")).alias("month")
+    raw = raw.select("*", C.order_key(raw, L_ORDER, L_BITS).alias("_ord"))
     return rounded(raw.groupBy("symbol", month).agg(
-        C.first_value("open", L_ORDER).alias("first_open"),
-        C.last_value("close", L_ORDER).alias("last_close")))
+        C.first_value("open", F.col("_ord")).alias("first_open"),
+        C.last_value("close", F.col("_ord")).alias("last_close")))
 
 
 def staged_e(spark, sf):
@@ -139,7 +140,7 @@ LONG_SYMBOL = "A/F"     # the series the dashboard queries read (K01-K03)
 
 def daily_l(spark, sf):
     """Daily candles of view L: one exchange, six long daily series."""
-    return C.daily_candles(raw_l(spark, sf), L_ORDER)
+    return C.daily_candles(raw_l(spark, sf), L_ORDER, L_BITS)
 
 
 def indicators_l(spark, sf):
@@ -220,7 +221,7 @@ def w13(spark, sf):
 
 # ---------------------------------------------------------------- marts
 def int_daily_l(spark, sf):
-    return C.int_ohlcv_daily(S.stg_raw_ohlcv(raw_l(spark, sf), extra=("line", "part")), L_ORDER)
+    return C.int_ohlcv_daily(S.stg_raw_ohlcv(raw_l(spark, sf), extra=("line", "part")), L_ORDER, L_BITS)
 
 
 def fct_l(spark, sf):
@@ -445,7 +446,8 @@ def r03(spark, sf):
     from barline.session import work_path
     fixed = __import__("datetime").datetime(2024, 2, 1)
     return daily_run(spark, raw_l(spark, sf), work_path(spark, "r03"), "r03", order_by=L_ORDER,
-                     series=("symbol",), extra=("line", "part"), clock=lambda: fixed)
+                     series=("symbol",), extra=("line", "part"), order_bits=L_BITS,
+                     clock=lambda: fixed)
 
 
 # ---------------------------------------------------------------- sources

@@ -27,6 +27,8 @@ EXCHANGE_L = "x"
 
 E_ORDER = ("timestamp_ms", "id")
 L_ORDER = ("timestamp_ms", "id", "line", "part")
+# Declared widths of L's order columns, so the four pack into one 126-bit key.
+L_BITS = {"timestamp_ms": 44, "id": 40, "line": 8, "part": 34}
 
 
 def read_test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

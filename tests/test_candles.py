@@ -68,3 +68,31 @@ def test_first_last_rows(minute3):
     first = C.first_last_rows(minute3, ["symbol"], ["timestamp_ms", "id"], "first").collect()[0]
     last = C.first_last_rows(minute3, ["symbol"], ["timestamp_ms", "id"], "last").collect()[0]
     assert first["id"] == 1 and last["id"] == 3
+
+
+def test_hash_aggregate_plan(minute3):
+    plan = C.hourly_candles(minute3)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_packed_order_key_orders_like_struct(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(rnd.randint(-2 ** 43, 2 ** 43 - 1), rnd.choice([-2 ** 63, 2 ** 63 - 1, rnd.randint(-9, 9)]))
+            for _ in range(300)]
+    df = spark.createDataFrame(rows, "timestamp_ms long, id long")
+    k = df.select("timestamp_ms", "id", C.order_key(df, ["timestamp_ms", "id"]).alias("k"))
+    assert "decimal" in k.schema["k"].dataType.simpleString()
+    got = [(r[0], r[1]) for r in k.orderBy("k").collect()]
+    assert got == sorted(rows)
+
+
+def test_packed_order_key_out_of_range_raises(spark):
+    df = spark.createDataFrame([(2 ** 50, 1)], "timestamp_ms long, id long")
+    with pytest.raises(Exception):
+        df.select(C.order_key(df, ["timestamp_ms", "id"])).collect()
+
+
+def test_wide_order_falls_back_to_struct(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a long, b long, c long")
+    assert df.select(C.order_key(df, ["a", "b", "c"]).alias("k")).schema["k"].dataType.typeName() == "struct"
