@@ -139,8 +139,10 @@ LONG_SYMBOL = "A/F"     # the series the dashboard queries read (K01-K03)
 
 
 def daily_l(spark, sf):
-    """Daily candles of view L: one exchange, six long daily series."""
-    return C.daily_candles(raw_l(spark, sf), L_ORDER, L_BITS)
+    """Daily candles of view L (one exchange, six long daily series), stored
+    as a table as the daily job does: the indicator branches re-scan it."""
+    from barline.session import stored
+    return stored(C.daily_candles(raw_l(spark, sf), L_ORDER, L_BITS), "ohlcv_daily_l")
 
 
 def indicators_l(spark, sf):

@@ -75,3 +75,17 @@ def ensure_rdd_checkpoint_dir(spark: SparkSession) -> None:
     root = checkpoint_root(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
+
+
+def stored(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage where several branches of one plan read the same input
+    (the EMA block-end branch, the fact join): they re-scan a small stored
+    table instead of re-running the aggregation that produced it. A reliable
+    write, not ``localCheckpoint``, so a lost executor loses nothing.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
