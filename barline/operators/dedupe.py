@@ -28,12 +28,14 @@ def new_rows(batch: DataFrame, target: DataFrame | None,
     first = first_last_rows(batch, list(key), list(order_by), "first")
     if target is None:
         return first
-    tgt = target.select(*key, *([prune_on] if prune_on and prune_on not in key else []))
+    tgt = target
     if prune_on:
-        bounds = first.agg(F.min(prune_on).alias("lo"), F.max(prune_on).alias("hi"))
-        tgt = tgt.join(F.broadcast(bounds),  # one row: size is fixed
-                       (F.col(prune_on) >= F.col("lo")) & (F.col(prune_on) <= F.col("hi")),
-                       "left_semi")
+        # Two scalar subqueries over the raw batch (partial aggregation, one
+        # value each) become a range filter on the target's partition column,
+        # so only the batch's partitions are listed and read.
+        lo = batch.agg(F.min(prune_on)).scalar()
+        hi = batch.agg(F.max(prune_on)).scalar()
+        tgt = tgt.filter((F.col(prune_on) >= lo) & (F.col(prune_on) <= hi))
     return first.join(tgt.select(*key), list(key), "left_anti")
 
 
