@@ -49,6 +49,12 @@ def ema_plan(span: int) -> tuple[float, float, int, int]:
     return alpha, r, block, k
 
 
+def _decay_step(big_r: float):
+    def step(acc, v):
+        return acc * F.lit(big_r) + v
+    return step
+
+
 def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
@@ -57,36 +63,59 @@ def with_ema(df: DataFrame, column: str, span: int, out: str | None = None,
              partition_by: str | Sequence[str] = "symbol",
              order_by: str | Sequence[str] = "date") -> DataFrame:
     """Add ``out`` (default ``ema_<span>``) = EMA of ``column`` per series."""
-    out = out or f"ema_{span}"
+    return with_emas(df, column, [span], [out] if out else None, partition_by, order_by)
+
+
+def with_emas(df: DataFrame, column: str, spans: Sequence[int],
+              outs: Sequence[str] | None = None,
+              partition_by: str | Sequence[str] = "symbol",
+              order_by: str | Sequence[str] = "date") -> DataFrame:
+    """Add one EMA column per span (default names ``ema_<span>``).
+
+    The spans share one row index; each span's block-end branch reads only
+    that shared base, so adding a span adds one join, not a nested copy of
+    the previous spans' plans.
+    """
+    outs = list(outs) if outs else [f"ema_{n}" for n in spans]
     pb, ob = _cols(partition_by), _cols(order_by)
-    alpha, r, block, fold = ema_plan(span)
-    if r <= 0.0:
-        return df.withColumn(out, F.col(column).cast("double"))
-    tag = f"_e{span}"
-    i, c, k, s = f"{tag}_i", f"{tag}_c", f"{tag}_k", f"{tag}_s"
-    series = Window.partitionBy(*pb).orderBy(*ob)
-    base = df.withColumn(i, F.row_number().over(series) - 1)
-    base = base.withColumn(c, F.floor(F.col(i) / block)).withColumn(k, F.col(i) % block)
     x = F.col(column).cast("double")
-    w = F.when(F.col(i) == 0, x).otherwise(F.lit(alpha) * x)
-    kk = F.col(k).cast("double")
-    in_block = (Window.partitionBy(*pb, c).orderBy(k)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    scaled = F.sum(w * F.pow(F.lit(r), -kk)).over(in_block)
-    base = base.withColumn(s, F.pow(F.lit(r), kk) * scaled)
-
-    # Block ends -> the EMA entering the next block (fold of the last K ends).
-    big_r = r ** block
-    ends = base.filter(F.col(k) == block - 1).select(*pb, c, s)
-    recent = Window.partitionBy(*pb).orderBy(c).rowsBetween(-(fold - 1), Window.currentRow)
-    carry = F.aggregate(F.collect_list(s).over(recent), F.lit(0.0),
-                        lambda acc, v: acc * F.lit(big_r) + v)
-    carries = ends.select(*pb, (F.col(c) + 1).alias(c), carry.alias(f"{tag}_carry"))
-    # Null-safe on the series key: a NULL symbol is still one series.
-    cond = [base[col].eqNullSafe(carries[col]) for col in pb] + [base[c] == carries[c]]
-    joined = base.join(carries, cond, "left").select(base["*"], carries[f"{tag}_carry"])
-    y = F.col(s) + F.pow(F.lit(r), kk + 1) * F.coalesce(F.col(f"{tag}_carry"), F.lit(0.0))
-    return joined.withColumn(out, y).drop(i, c, k, s, f"{tag}_carry").select(*df.columns, out)
+    i = "_ema_i"
+    base = df.withColumn(i, F.row_number().over(Window.partitionBy(*pb).orderBy(*ob)) - 1)
+    plans = []
+    for span, out in zip(spans, outs):
+        alpha, r, block, fold = ema_plan(span)
+        if r <= 0.0:
+            plans.append((out, None))
+            continue
+        tag = f"_e{span}"
+        c, k, s = f"{tag}_c", f"{tag}_k", f"{tag}_s"
+        base = base.withColumn(c, F.floor(F.col(i) / block)).withColumn(k, F.col(i) % block)
+        w = F.when(F.col(i) == 0, x).otherwise(F.lit(alpha) * x)
+        kk = F.col(k).cast("double")
+        in_block = (Window.partitionBy(*pb, c).orderBy(k)
+                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        base = base.withColumn(s, F.pow(F.lit(r), kk) * F.sum(w * F.pow(F.lit(r), -kk)).over(in_block))
+        plans.append((out, (tag, r, block, fold)))
+
+    out_df = base
+    for out, plan in plans:
+        if plan is None:
+            out_df = out_df.withColumn(out, x)
+            continue
+        tag, r, block, fold = plan
+        c, k, s, carry = f"{tag}_c", f"{tag}_k", f"{tag}_s", f"{tag}_carry"
+        # Block ends -> the EMA entering the next block (fold of the last K ends).
+        ends = base.filter(F.col(k) == block - 1).select(*pb, c, s)
+        recent = Window.partitionBy(*pb).orderBy(c).rowsBetween(-(fold - 1), Window.currentRow)
+        folded = F.aggregate(F.collect_list(s).over(recent), F.lit(0.0), _decay_step(r ** block))
+        carries = ends.select(*pb, (F.col(c) + 1).alias(c), folded.alias(carry))
+        # Null-safe on the series key: a NULL symbol is still one series.
+        cond = [out_df[p].eqNullSafe(carries[p]) for p in pb] + [out_df[c] == carries[c]]
+        out_df = out_df.join(carries, cond, "left").select(out_df["*"], carries[carry])
+        kk = F.col(k).cast("double")
+        y = F.col(s) + F.pow(F.lit(r), kk + 1) * F.coalesce(F.col(carry), F.lit(0.0))
+        out_df = out_df.withColumn(out, y)
+    return out_df.select(*df.columns, *outs)
 
 
 def with_ema_pandas(df: DataFrame, column: str, span: int, out: str | None = None,

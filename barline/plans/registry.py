@@ -133,7 +133,7 @@ def p05(spark, sf):
 from barline.functions import series as SR  # noqa: E402
 from barline.operators import indicators as IND  # noqa: E402
 from barline.operators import marts as M  # noqa: E402
-from barline.operators.ema import with_ema  # noqa: E402
+from barline.operators.ema import with_emas  # noqa: E402
 
 LONG_SYMBOL = "A/F"     # the series the dashboard queries read (K01-K03)
 
@@ -179,7 +179,7 @@ def w04(spark, sf):
 @query("w05_ema")
 def w05(spark, sf):
     d = daily_l(spark, sf).select("symbol", "date", "close")
-    return rounded(with_ema(with_ema(d, "close", 12), "close", 26))
+    return rounded(with_emas(d, "close", [12, 26]))
 
 
 @query("w06_rsi")
