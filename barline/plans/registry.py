@@ -10,6 +10,7 @@ precision.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,19 @@ def w12(spark, sf):
                                                   "open", "close"))
 
 
+@query("f01_f06_time_functions")
+def f01(spark, sf):
+    """Epoch ms -> exact and whole-second timestamps, hour, date, ISO text."""
+    from barline.functions import timecols as TC
+    raw = raw_e(spark, sf)
+    exact = TC.candle_time_exact("timestamp_ms")
+    return raw.select(
+        "id", "timestamp_ms", exact.alias("ts_exact"),
+        TC.candle_time_seconds("timestamp_ms").alias("ts_seconds"),
+        TC.ms_to_hour("timestamp_ms").alias("hour_start"), TC.ms_to_date("timestamp_ms").alias("date"),
+        F.date_format(exact, "yyyy-MM-dd'T'HH:mm:ss.SSS'+00:00'").alias("iso"))
+
+
 # ---------------------------------------------------------------- staging
 @query("p01_time_columns")
 def p01(spark, sf):
@@ -446,7 +460,7 @@ def r02(spark, sf):
 def r03(spark, sf):
     from barline.plans.daily_run import daily_run
     from barline.session import work_path
-    fixed = __import__("datetime").datetime(2024, 2, 1)
+    fixed = datetime.datetime(2024, 2, 1)
     return daily_run(spark, raw_l(spark, sf), work_path(spark, "r03"), "r03", order_by=L_ORDER,
                      series=("symbol",), extra=("line", "part"), order_bits=L_BITS,
                      clock=lambda: fixed)

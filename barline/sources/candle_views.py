@@ -15,7 +15,7 @@ same expressions in SQL):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the derivation (shared with the oracle SQL).
@@ -106,13 +106,17 @@ def messages_from_events(events: DataFrame) -> DataFrame:
     ``offset = event_id``, with planted tombstones and bad payloads."""
     e = candles_from_events(events, keep=("user_id",))
     eid = F.col("id")
-    fields = [F.col(c) for c in ("symbol", "exchange")] + [F.lit("1m").alias("timeframe")] + \
-        [F.col(c) for c in ("timestamp_ms", "open", "high", "low", "close", "volume")] + \
-        [F.date_format("ingested_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("fetched_at")]
-    good = F.to_json(F.struct(*fields))
-    no_volume = F.to_json(F.struct(*[f for f in fields if "volume" not in str(f)]))
-    bad_type = F.to_json(F.struct(*[F.lit("abc").alias("open") if "open" in str(f) else f
-                                    for f in fields]))
+    fields = {"symbol": F.col("symbol"), "exchange": F.col("exchange"),
+              "timeframe": F.lit("1m"),
+              **{c: F.col(c) for c in ("timestamp_ms", "open", "high", "low", "close", "volume")},
+              "fetched_at": F.date_format("ingested_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")}
+
+    def record(overrides: dict, drop: tuple = ()) -> Column:
+        return F.to_json(F.struct(*[overrides.get(n, c).alias(n) for n, c in fields.items()
+                                    if n not in drop]))
+    good = record({})
+    no_volume = record({}, drop=("volume",))
+    bad_type = record({"open": F.lit("abc")})
     text = (F.when(eid % BAD_JSON_EVERY == 0, F.expr("substring(_good, 1, length(_good) - 1)"))
             .when(eid % MISSING_FIELD_EVERY == 0, no_volume)
             .when(eid % BAD_TYPE_EVERY == 0, bad_type)
