@@ -26,8 +26,11 @@ from barline.plans.runlog import current_runs, single_event
 from barline.functions.signals import BAND_POSITIONS, RSI_SIGNALS
 
 
-def _write(df: DataFrame, path: str, name: str, partition_by: Sequence[str] = ()) -> int:
+def _write(df: DataFrame, path: str, name: str, partition_by: Sequence[str] = (),
+           sort_by: Sequence[str] = ()) -> int:
     obs = Observation(name)
+    if sort_by:   # clustered files: row-group min/max statistics then prune reads
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -38,7 +41,7 @@ def _write(df: DataFrame, path: str, name: str, partition_by: Sequence[str] = ()
 def daily_run(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str,
               dag_id: str = "candles_daily", order_by: Sequence[str] = ("timestamp_ms", "id"),
               series: Sequence[str] = ("symbol", "exchange"), extra: Sequence[str] = (),
-              order_bits: dict | None = None,
+              order_bits: dict | None = None, raw_grain: str = "month",
               clock=lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) -> DataFrame:
     """Run every stage over ``raw``; returns ``(table_name, row_count)`` of the outputs."""
     runs_path = f"{out_dir}/pipeline_runs"
@@ -48,8 +51,16 @@ def daily_run(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str,
         if raw.isEmpty():                      # empty input stops early
             rows = 0
         else:
-            rows = _write(raw, f"{out_dir}/raw_ohlcv", "raw")
-            stored = spark.read.parquet(f"{out_dir}/raw_ohlcv")
+            # The raw table is stored by period (``raw_grain``: day, month or
+            # year) and clustered by series and time inside each file, so time
+            # predicates prune directories and symbol/time predicates prune row
+            # groups. Pick the grain so one directory holds at least a few
+            # hundred MB.
+            period = F.date_trunc(raw_grain, F.timestamp_millis("timestamp_ms")).cast("date")
+            dated = raw.withColumn("candle_period", period)
+            rows = _write(dated, f"{out_dir}/raw_ohlcv", "raw", ("candle_period",),
+                          ("symbol", "timestamp_ms"))
+            stored = spark.read.parquet(f"{out_dir}/raw_ohlcv").drop("candle_period")
             _write(hourly_candles(stored, order_by, order_bits), f"{out_dir}/ohlcv_hourly", "hourly")
             _write(daily_candles(stored, order_by, order_bits), f"{out_dir}/ohlcv_daily", "daily")
             daily = spark.read.parquet(f"{out_dir}/ohlcv_daily")

@@ -21,6 +21,21 @@ BASE_CONF = {
 }
 
 
+# Settings for a large cluster (pass ``extra=CLUSTER_CONF``): start with many
+# shuffle partitions and let AQE coalesce them to ~256 MB each, split scans
+# at 256 MB, and let AQE split skewed join partitions and partial-aggregate
+# before every shuffle.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "barline", extra: dict | None = None) -> SparkSession:
     """Get or create a session with the library's base settings.
