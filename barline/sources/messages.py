@@ -42,38 +42,36 @@ def encode_messages(records: DataFrame, topic: str = "raw_ohlcv",
         F.lit(topic).alias("topic"))
 
 
-def _decode(value: Column) -> tuple[Column, Column]:
-    """(text, map): text is NULL for invalid UTF-8; map is NULL for bad JSON."""
-    text = F.try_validate_utf8(value.cast("string"))
-    m = F.from_json(text, "map<string,string>")
-    return text, m
+_AS_TEXT = "struct<" + ",".join(f"{f}:string" for f in _TYPES) + ">"
 
 
 def parse_messages(envelope: DataFrame, value: str = "value") -> DataFrame:
     """S05 + S06 in one projection.
 
     Adds ``reason`` (NULL for a good message) and the typed record fields.
-    Presence, not non-NULL-ness, of the eight required fields is checked, as
-    the reference does; on top, a present value that does not cast to its
-    type is ``bad_type`` (X7) instead of failing the whole insert later.
-    Tombstones (NULL value) are not messages and must be filtered first (S03).
+    The value must be UTF-8 and a JSON object carrying the eight required
+    keys: presence, not non-NULL-ness, is checked, as the reference does. A
+    repeated key keeps its last value (as a JSON object decoder does). On top,
+    a present value that does not cast to its type is ``bad_type`` (X7)
+    instead of failing the whole insert later. Tombstones (NULL value) are
+    not messages and must be filtered first (S03).
     """
-    # Parse once: text and map are their own projections, so every field
-    # lookup below reads the map column instead of re-parsing the JSON.
-    text, m = _decode(F.col(value))
-    step = envelope.select("*", text.alias("_text")).select("*", F.from_json(
-        F.col("_text"), "map<string,string>").alias("_m"))
-    m = F.col("_m")
+    # Parse once: text, keys and fields are their own projections, so the
+    # checks below read columns instead of re-parsing the JSON.
+    text = F.try_validate_utf8(F.col(value).cast("string"))
+    step = (envelope.select("*", text.alias("_text"))
+            .select("*", F.json_object_keys("_text").alias("_keys"),
+                    F.from_json("_text", _AS_TEXT).alias("_v")))
+    keys = F.col("_keys")
     required = F.array(*[F.lit(f) for f in REQUIRED_FIELDS])
-    missing = F.size(F.array_except(required, F.map_keys(m))) > 0
-    raw_vals = step.select("*", *[m[f].alias(f"_v_{f}") for f in _TYPES])
-    typed = {f: F.col(f"_v_{f}").try_cast(_TYPES[f]) if f in _NUMERIC else F.col(f"_v_{f}")
-             for f in _TYPES}
+    missing = F.size(F.array_except(required, keys)) > 0
+    raw = {f: F.col("_v")[f] for f in _TYPES}
+    typed = {f: raw[f].try_cast(_TYPES[f]) if f in _NUMERIC else raw[f] for f in _TYPES}
     bad_type = F.lit(False)
     for f in _NUMERIC:
-        bad_type = bad_type | (F.col(f"_v_{f}").isNotNull() & typed[f].isNull())
+        bad_type = bad_type | (raw[f].isNotNull() & typed[f].isNull())
     reason = (F.when(F.col("_text").isNull(), REASON_ENCODING)
-              .when(m.isNull(), REASON_JSON)
+              .when(keys.isNull(), REASON_JSON)
               .when(missing, REASON_MISSING)
               .when(bad_type, REASON_TYPE))
     # The parse result leaves through a one-element ``inline`` generator: a
@@ -81,7 +79,7 @@ def parse_messages(envelope: DataFrame, value: str = "value") -> DataFrame:
     # generator, so Catalyst does not re-inline the whole decode into the scan
     # predicate (which parsed every message twice, in an interpreted Filter).
     result = F.struct(reason.alias("reason"), *[typed[f].alias(f) for f in _TYPES])
-    return raw_vals.select(*envelope.columns, F.inline(F.array(result)))
+    return step.select(*envelope.columns, F.inline(F.array(result)))
 
 
 def valid_records(parsed: DataFrame) -> DataFrame:

@@ -56,3 +56,10 @@ def test_records_from_arrays(spark):
     df = spark.createDataFrame([([1704067200000.0, 1.0, 2.0, 0.5, 1.5, 10.0],)], "candle array<double>")
     r = MSG.records_from_arrays(df, "BTC/USDT", "binance", fetched_at=F.lit("t")).collect()[0]
     assert (r["symbol"], r["timestamp_ms"], r["low"], r["volume"]) == ("BTC/USDT", 1704067200000, 0.5, 10.0)
+
+
+def test_repeated_key_keeps_last_and_arrays_are_invalid(spark):
+    dup = b'{"symbol":"A","symbol":"B","exchange":"x","timestamp_ms":1,"open":1,"high":1,"low":1,"close":1,"volume":1}'
+    p = MSG.parse_messages(envelope(spark, [dup, b"[1, 2]", b"null"])).orderBy("offset").collect()
+    assert p[0]["reason"] is None and p[0]["symbol"] == "B"
+    assert [r["reason"] for r in p[1:]] == ["invalid_json", "invalid_json"]
