@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from barline.operators import candles as C
 from barline.operators import staging as S
+from barline.sources import candle_views as V
 from barline.sources.candle_views import E_ORDER, L_BITS, L_ORDER, raw_e, raw_l
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +114,29 @@ def f01(spark, sf):
         F.date_format(exact, "yyyy-MM-dd'T'HH:mm:ss.SSS'+00:00'").alias("iso"))
 
 
+@query("f07_f12_scalar_functions")
+def f07(spark, sf):
+    """Arithmetic, greatest, sqrt, nullif/coalesce/CASE, key concat,
+    JSON decode of ``events.props``, array element access, casts."""
+    ev = V.read_test_table(spark, sf, "events")
+    raw = V.candles_from_events(ev, keep=("props",))
+    arr = F.array("open", "high", "low", "close")
+    return rounded(raw.select(
+        "id",
+        F.abs(F.col("close") - F.col("open")).alias("abs_move"),
+        F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("close"))).alias("range_max"),
+        F.sqrt(F.abs("volume")).alias("sqrt_volume"),
+        (-F.col("volume")).alias("neg_volume"),
+        (F.col("close") / F.nullif(F.col("open"), F.lit(0.0))).alias("close_over_open"),
+        F.coalesce(F.nullif(F.col("open"), F.lit(0.0)), F.col("close")).alias("open_or_close"),
+        F.when(F.col("close") >= F.col("open"), "up").otherwise("down").alias("direction"),
+        F.concat_ws(":", "symbol", F.col("timestamp_ms").cast("string")).alias("msg_key"),
+        F.from_json("props", "struct<k:bigint>")["k"].alias("prop_k"),
+        F.element_at(arr, 1).alias("first_price"), arr[3].alias("last_price"),
+        F.col("volume").cast("long").alias("volume_long"),
+        F.col("ingested_at").cast("date").alias("ingest_date")))
+
+
 # ---------------------------------------------------------------- staging
 @query("p01_time_columns")
 def p01(spark, sf):
@@ -305,7 +329,6 @@ from barline.functions.signals import BAND_POSITIONS, RSI_SIGNALS, run_status_co
 from barline.plans import monitoring as MON  # noqa: E402
 from barline.plans import quality as Q  # noqa: E402
 from barline.plans import runlog as RL  # noqa: E402
-from barline.sources import candle_views as V  # noqa: E402
 from barline.sources import messages as MSG  # noqa: E402
 
 NOW = "2024-01-30 12:00:00"   # the dashboards' "now", fixed so results are testable

@@ -445,3 +445,15 @@ ORACLE["f01_f06_time_functions"] = q([], f"""SELECT id, timestamp_ms, epoch_ms(t
   {CT} AS ts_seconds, date_trunc('hour', epoch_ms(timestamp_ms)) AS hour_start,
   CAST(epoch_ms(timestamp_ms) AS DATE) AS date,
   strftime(epoch_ms(timestamp_ms), '%Y-%m-%dT%H:%M:%S.%g+00:00') AS iso FROM raw_e""")
+ORACLE["f07_f12_scalar_functions"] = q([], """SELECT r.id, abs(r.close - r.open) AS abs_move,
+  greatest(r.high - r.low, abs(r.high - r.close)) AS range_max, sqrt(abs(r.volume)) AS sqrt_volume,
+  -r.volume AS neg_volume, r.close / nullif(r.open, 0.0) AS close_over_open,
+  coalesce(nullif(r.open, 0.0), r.close) AS open_or_close,
+  CASE WHEN r.close >= r.open THEN 'up' ELSE 'down' END AS direction,
+  r.symbol || ':' || CAST(r.timestamp_ms AS VARCHAR) AS msg_key,
+  CAST(json_extract(e.props, '$.k') AS BIGINT) AS prop_k,
+  r.open AS first_price, r.close AS last_price, CAST(r.volume AS BIGINT) AS volume_long,
+  CAST(r.ingested_at AS DATE) AS ingest_date
+FROM raw_e r JOIN events e ON e.event_id = r.id""", ["abs_move", "range_max", "sqrt_volume", "neg_volume",
+                                                     "close_over_open", "open_or_close", "first_price",
+                                                     "last_price"])
