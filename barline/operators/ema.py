@@ -11,7 +11,9 @@ of ``B`` rows with ``r^-B <= e^40``:
    ``(series, c)`` gives ``s_k = r^k * sum_(j<=k) w_j r^-j`` -- the EMA of the
    block alone, all terms bounded;
 2. the EMA entering block ``c`` is ``carry_c = sum_(m>=1) R^(m-1) s_end(c-m)``
-   with ``R = r^B <= e^-40``: a fold over the previous block ends. Terms with
+   with ``R = r^B <= e^-40``: a fold over the previous block ends, where a
+   block end ``s_end = sum_k w_k r^(B-1-k)`` is a plain per-block aggregate
+   (partial aggregation, weights <= 1). Terms with
    ``R^m < 2^-1074`` are below the smallest double, so the fold reads only the
    last ``K = ceil(1074 ln2 / 40) = 19`` block ends (a bounded ROWS frame on
    the small block-end table) and is exact in double precision;
@@ -95,17 +97,23 @@ def with_emas(df: DataFrame, column: str, spans: Sequence[int],
         in_block = (Window.partitionBy(*pb, c).orderBy(k)
                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         base = base.withColumn(s, F.pow(F.lit(r), kk) * F.sum(w * F.pow(F.lit(r), -kk)).over(in_block))
-        plans.append((out, (tag, r, block, fold)))
+        plans.append((out, (tag, alpha, r, block, fold)))
 
     out_df = base
     for out, plan in plans:
         if plan is None:
             out_df = out_df.withColumn(out, x)
             continue
-        tag, r, block, fold = plan
+        tag, alpha, r, block, fold = plan
         c, k, s, carry = f"{tag}_c", f"{tag}_k", f"{tag}_s", f"{tag}_carry"
         # Block ends -> the EMA entering the next block (fold of the last K ends).
-        ends = base.filter(F.col(k) == block - 1).select(*pb, c, s)
+        # A block's end value is a plain aggregate, sum(w * r^(B-1-k)) with
+        # weights <= 1; only complete blocks have a successor.
+        w = F.when(F.col(i) == 0, x).otherwise(F.lit(alpha) * x)
+        ends = (base.groupBy(*pb, c)
+                .agg(F.sum(w * F.pow(F.lit(r), F.lit(float(block - 1)) - F.col(k).cast("double")))
+                     .alias(s), F.count(F.lit(1)).alias("_n"))
+                .filter(F.col("_n") == block).select(*pb, c, s))
         recent = Window.partitionBy(*pb).orderBy(c).rowsBetween(-(fold - 1), Window.currentRow)
         folded = F.aggregate(F.collect_list(s).over(recent), F.lit(0.0), _decay_step(r ** block))
         carries = ends.select(*pb, (F.col(c) + 1).alias(c), folded.alias(carry))
