@@ -44,14 +44,16 @@ def write_table(df: DataFrame, target: str, format: str = "parquet",  # noqa: A0
                 partition_by: Sequence[str] | None = None) -> None:
     """Write ``df`` with any save mode (default ``append``, as the reference).
 
-    With ``mode="overwrite"`` and ``partition_by`` the session's dynamic
-    partition-overwrite mode replaces only the partitions present in ``df``,
-    which makes a re-run of one day's job idempotent. For ``jdbc`` the target
+    With ``mode="overwrite"`` and ``partition_by`` only the partitions present
+    in ``df`` are replaced (dynamic partition overwrite, set on the write), which
+    makes a re-run of one day's job idempotent. For ``jdbc`` the target
     is the table name.
     """
     w = df.write.format(format).mode(mode).options(**dict(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
+        if mode == "overwrite":   # replace only the partitions present in df
+            w = w.option("partitionOverwriteMode", "dynamic")
     if format == "jdbc":
         w.option("dbtable", target).save()
     else:

@@ -457,3 +457,4 @@ ORACLE["f07_f12_scalar_functions"] = q([], """SELECT r.id, abs(r.close - r.open)
 FROM raw_e r JOIN events e ON e.event_id = r.id""", ["abs_move", "range_max", "sqrt_volume", "neg_volume",
                                                      "close_over_open", "open_or_close", "first_price",
                                                      "last_price"])
+ORACLE["a02_daily_candles_incremental"] = ORACLE["a02_daily_candles"]
