@@ -179,7 +179,7 @@ ORACLE["a03_vwap"] = q(["c AS (" + candle_sql("raw_e", "hour", E_ORD) + ")"],
                        "SELECT symbol, exchange, hour_start, volume, vwap FROM c", ["volume", "vwap"])
 ORACLE["a04_first_last_value"] = q([], f"""SELECT symbol, date_trunc('month', epoch_ms(timestamp_ms)) AS month,
   first(open ORDER BY {L_ORD}) AS first_open, last(close ORDER BY {L_ORD}) AS last_close
-FROM raw_l GROUP BY 1, 2""".replace("\nFROM raw_l", "\nFROM raw_l"), ["first_open", "last_close"])
+FROM raw_l GROUP BY 1, 2""", ["first_open", "last_close"])
 ORACLE["a05_int_ohlcv_daily"] = q([STG_E, INT_E], "SELECT * FROM int_e",
                                   ["open", "high", "low", "close", "volume", "vwap", "daily_return"])
 ORACLE["j01_candles_rank_join"] = ORACLE["a01_hourly_candles"]
