@@ -65,8 +65,10 @@ def order_key(df: DataFrame, order_by: Sequence[str],
             ok = ok & (v >= F.lit(-half)) & (v < F.lit(half))
         shifted = v.cast(_DEC) + F.lit(Decimal(half)).cast(_DEC)
         key = shifted if key is None else key * F.lit(Decimal(2 ** b)).cast(_DEC) + shifted
-    return F.when(ok, key).otherwise(
-        F.raise_error(F.lit(f"order columns {list(order_by)} exceed their declared bit widths")))
+    # A NULL order value gives a NULL key (min_by/max_by skip that row); only a
+    # non-NULL value outside its width is an error.
+    return F.when(~ok, F.raise_error(
+        F.lit(f"order columns {list(order_by)} exceed their declared bit widths"))).otherwise(key)
 
 
 def _bucket_expr(bucket: str) -> Column:

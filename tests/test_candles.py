@@ -96,3 +96,13 @@ def test_packed_order_key_out_of_range_raises(spark):
 def test_wide_order_falls_back_to_struct(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a long, b long, c long")
     assert df.select(C.order_key(df, ["a", "b", "c"]).alias("k")).schema["k"].dataType.typeName() == "struct"
+
+
+def test_null_order_value_is_skipped_not_an_error(spark):
+    df = spark.createDataFrame([(1, "X", "e", None, 5.0, 5.0, 5.0, 5.0, 1.0),
+                                (2, "X", "e", 1000, 1.0, 1.0, 1.0, 2.0, 1.0)],
+                               "id long, symbol string, exchange string, timestamp_ms long, open double, "
+                               "high double, low double, close double, volume double")
+    rows = C.candles(df.filter("timestamp_ms IS NOT NULL OR id = 1"), "day").collect()
+    valid = [r for r in rows if r["date"] is not None]
+    assert valid[0]["open"] == 1.0 and valid[0]["close"] == 2.0
