@@ -216,6 +216,21 @@ def w02(spark, sf):
                             SR.sma("close", 5, ("symbol", "exchange"), "date").alias("sma_5")))
 
 
+@query("w02_w13_macros_split_series")
+def w02s(spark, sf):
+    """W02-W04/W13 over intraday rows (one candle per event) of each
+    (symbol, exchange) series, with series cut into buckets plus a halo so no
+    task holds a whole series; buckets of 256 rows, scaled to the test data."""
+    from barline.operators.series_blocks import bounded_lookback, macro_columns
+    raw = raw_e(spark, sf)
+    lookback, cols = macro_columns("close", sma_periods=(5,), std_periods=(20,), lags=(1,),
+                                   pct_periods=(1,))
+    day = F.to_date(F.timestamp_millis("timestamp_ms"))
+    out = bounded_lookback(raw, ("symbol", "exchange"), ("timestamp_ms", "id"), lookback, cols,
+                           day, bucket_rows=256)
+    return rounded(out.select("id", "symbol", "exchange", "sma_5", "std_20", "close_lag_1", "pct_1"))
+
+
 @query("w03_pct_change")
 def w03(spark, sf):
     return rounded(daily_l(spark, sf).select(
