@@ -15,13 +15,16 @@ of ``B`` rows with ``r^-B <= e^40``:
    block end ``s_end = sum_k w_k r^(B-1-k)`` is a plain per-block aggregate
    (partial aggregation, weights <= 1). Terms with
    ``R^m < 2^-1074`` are below the smallest double, so the fold reads only the
-   last ``K = ceil(1074 ln2 / 40) = 19`` block ends (a bounded ROWS frame on
-   the small block-end table) and is exact in double precision;
+   last ``K = ceil(1074 ln2 / 40) = 19`` block ends and is exact in double
+   precision. Each block end is sent to the next K block ids and grouped by
+   ``(series, block)``: groups of at most K values, no per-series window;
 3. ``y = s_k + r^(k+1) * carry_c``, joined back on ``(series, c)``.
 
-No step holds a whole series: the block-end table has one row per ``B`` rows,
-its frame is bounded, and the join back lets AQE broadcast it when its
-measured size is small. ``x`` must be non-NULL (closes are NOT NULL).
+Apart from the row index (a whole-series ``row_number``, or the split-series
+position with ``position_block``) no step holds a series: blocks hold ``B``
+rows, carry groups ``K`` values, and the join back lets AQE broadcast the
+block table when its measured size is small. ``x`` must be non-NULL (closes
+are NOT NULL).
 """
 
 from __future__ import annotations
@@ -71,18 +74,27 @@ def with_ema(df: DataFrame, column: str, span: int, out: str | None = None,
 def with_emas(df: DataFrame, column: str, spans: Sequence[int],
               outs: Sequence[str] | None = None,
               partition_by: str | Sequence[str] = "symbol",
-              order_by: str | Sequence[str] = "date") -> DataFrame:
+              order_by: str | Sequence[str] = "date",
+              position_block: Column | None = None) -> DataFrame:
     """Add one EMA column per span (default names ``ema_<span>``).
 
     The spans share one row index; each span's block-end branch reads only
     that shared base, so adding a span adds one join, not a nested copy of
-    the previous spans' plans.
+    the previous spans' plans. With ``position_block`` (a coarse time bucket
+    such as the day) the row index comes from
+    :func:`barline.operators.series_blocks.with_series_position` instead of a
+    whole-series ``row_number``, and no step holds a whole series: use it for
+    intraday or hot series.
     """
     outs = list(outs) if outs else [f"ema_{n}" for n in spans]
     pb, ob = _cols(partition_by), _cols(order_by)
     x = F.col(column).cast("double")
     i = "_ema_i"
-    base = df.withColumn(i, F.row_number().over(Window.partitionBy(*pb).orderBy(*ob)) - 1)
+    if position_block is None:
+        base = df.withColumn(i, F.row_number().over(Window.partitionBy(*pb).orderBy(*ob)) - 1)
+    else:
+        from barline.operators.series_blocks import with_series_position
+        base = with_series_position(df, pb, ob, position_block, i)
     plans = []
     for span, out in zip(spans, outs):
         alpha, r, block, fold = ema_plan(span)
@@ -114,9 +126,15 @@ def with_emas(df: DataFrame, column: str, spans: Sequence[int],
                 .agg(F.sum(w * F.pow(F.lit(r), F.lit(float(block - 1)) - F.col(k).cast("double")))
                      .alias(s), F.count(F.lit(1)).alias("_n"))
                 .filter(F.col("_n") == block).select(*pb, c, s))
-        recent = Window.partitionBy(*pb).orderBy(c).rowsBetween(-(fold - 1), Window.currentRow)
-        folded = F.aggregate(F.collect_list(s).over(recent), F.lit(0.0), _decay_step(r ** block))
-        carries = ends.select(*pb, (F.col(c) + 1).alias(c), folded.alias(carry))
+        # Each block end is sent to the next ``fold`` blocks; a block's carry is
+        # the fold over the (at most ``fold``) ends it received, oldest first.
+        # Groups are (series, block): bounded, and spread over all tasks.
+        sent = ends.select(*pb, s, F.explode(F.sequence(F.col(c) + 1, F.col(c) + fold)).alias("_to"),
+                           F.col(c).alias("_from"))
+        got = sent.groupBy(*pb, "_to").agg(
+            F.array_sort(F.collect_list(F.struct("_from", s))).alias("_ends"))
+        carries = got.select(*pb, F.col("_to").alias(c), F.aggregate(
+            F.transform("_ends", lambda e: e[s]), F.lit(0.0), _decay_step(r ** block)).alias(carry))
         # Null-safe on the series key: a NULL symbol is still one series.
         cond = [out_df[p].eqNullSafe(carries[p]) for p in pb] + [out_df[c] == carries[c]]
         out_df = out_df.join(carries, cond, "left").select(out_df["*"], carries[carry])

@@ -75,3 +75,17 @@ def test_series_by_exchange(spark, daily30):
     out = IND.compute_all_indicators(two, partition_by=("symbol", "exchange"))
     assert out.count() == 60
     assert out.filter("exchange = 'other'").agg(F.min("sma_7")).collect()[0][0] == 2 * 42050.0
+
+
+@pytest.mark.parametrize("span", [2, 26])
+def test_ema_split_series_position_matches_pandas(spark, span):
+    from barline.operators.ema import with_emas
+    rng = np.random.default_rng(5)
+    n = 4000
+    pdf = pd.DataFrame({"symbol": ["HOT"] * n, "t": np.arange(n) * 7,
+                        "close": 50 + rng.standard_normal(n).cumsum()})
+    df = spark.createDataFrame(pdf)
+    got = with_emas(df, "close", [span], partition_by="symbol", order_by="t",
+                    position_block=F.floor(F.col("t") / 1000)).toPandas().sort_values("t")
+    want = pdf["close"].ewm(span=span, adjust=False).mean()
+    assert np.allclose(got[f"ema_{span}"].to_numpy(), want.to_numpy(), rtol=1e-11, atol=1e-11)
