@@ -11,9 +11,8 @@ of ``B`` rows with ``r^-B <= e^40``:
    ``(series, c)`` gives ``s_k = r^k * sum_(j<=k) w_j r^-j`` -- the EMA of the
    block alone, all terms bounded;
 2. the EMA entering block ``c`` is ``carry_c = sum_(m>=1) R^(m-1) s_end(c-m)``
-   with ``R = r^B <= e^-40``: a fold over the previous block ends, where a
-   block end ``s_end = sum_k w_k r^(B-1-k)`` is a plain per-block aggregate
-   (partial aggregation, weights <= 1). Terms with
+   with ``R = r^B <= e^-40``: a fold over the previous block ends (the
+   running value at ``k = B-1``). Terms with
    ``R^m < 2^-1074`` are below the smallest double, so the fold reads only the
    last ``K = ceil(1074 ln2 / 40) = 19`` block ends and is exact in double
    precision. Each block end is sent to the next K block ids and grouped by
@@ -119,13 +118,10 @@ def with_emas(df: DataFrame, column: str, spans: Sequence[int],
         tag, alpha, r, block, fold = plan
         c, k, s, carry = f"{tag}_c", f"{tag}_k", f"{tag}_s", f"{tag}_carry"
         # Block ends -> the EMA entering the next block (fold of the last K ends).
-        # A block's end value is a plain aggregate, sum(w * r^(B-1-k)) with
-        # weights <= 1; only complete blocks have a successor.
-        w = F.when(F.col(i) == 0, x).otherwise(F.lit(alpha) * x)
-        ends = (base.groupBy(*pb, c)
-                .agg(F.sum(w * F.pow(F.lit(r), F.lit(float(block - 1)) - F.col(k).cast("double")))
-                     .alias(s), F.count(F.lit(1)).alias("_n"))
-                .filter(F.col("_n") == block).select(*pb, c, s))
+        # The end of a block is its running value at k = B-1: computed in order
+        # inside one window partition, so it is deterministic (a grouped float
+        # sum would depend on the order partial sums arrive in).
+        ends = base.filter(F.col(k) == block - 1).select(*pb, c, s)
         # Each block end is sent to the next ``fold`` blocks; a block's carry is
         # the fold over the (at most ``fold``) ends it received, oldest first.
         # Groups are (series, block): bounded, and spread over all tasks.

@@ -100,3 +100,23 @@ def macro_columns(column: str, sma_periods: Sequence[int] = (), std_periods: Seq
             out.append(((F.col(column) - prev) / F.nullif(prev, F.lit(0.0))).alias(f"pct_{k}"))
         return out
     return lookback, cols
+
+
+def with_running_sum(df: DataFrame, partition_by, order_by, value: str, block: Column,
+                     out: str) -> DataFrame:
+    """``out`` = running sum of ``value`` over the whole series (unbounded
+    preceding .. current row), without a whole-series window: a running sum
+    inside ``(series, block)`` plus the sum of all earlier blocks (a running
+    sum over the small per-block totals table)."""
+    pb, ob = _cols(partition_by), _cols(order_by)
+    b = df.withColumn("_blk", block)
+    totals = b.groupBy(*pb, "_blk").agg(F.sum(value).alias("_t"))
+    before = Window.partitionBy(*pb).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*pb, "_blk", F.coalesce(F.sum("_t").over(before), F.lit(0.0))
+                            .alias("_o"))
+    upto = Window.partitionBy(*pb, "_blk").orderBy(*ob) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = b.withColumn("_local", F.sum(value).over(upto))
+    joined = rows.join(offsets, _on(rows, offsets, [*pb, "_blk"]), "inner") \
+        .select(rows["*"], offsets["_o"])
+    return joined.withColumn(out, F.col("_o") + F.col("_local")).drop("_blk", "_local", "_o")

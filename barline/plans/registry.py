@@ -282,6 +282,14 @@ def w11(spark, sf):
     return rounded(indicators_l(spark, sf))
 
 
+@query("w11_all_indicators_split_series")
+def w11s(spark, sf):
+    """W11 with no whole-series step (buckets of 256 rows plus halo, split
+    row index and OBV running sum): the form for series too large for a task."""
+    return rounded(IND.compute_all_indicators(daily_l(spark, sf), position_block=F.year("date"),
+                                              bucket_rows=256))
+
+
 @query("w13_lag")
 def w13(spark, sf):
     return rounded(daily_l(spark, sf).select(

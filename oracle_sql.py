@@ -465,3 +465,4 @@ ORACLE["w02_w13_macros_split_series"] = q([], """SELECT id, symbol, exchange,
   (close - lag(close, 1) OVER (PARTITION BY symbol, exchange ORDER BY timestamp_ms, id))
     / nullif(lag(close, 1) OVER (PARTITION BY symbol, exchange ORDER BY timestamp_ms, id), 0) AS pct_1
 FROM raw_e""", ["sma_5", "std_20", "close_lag_1", "pct_1"])
+ORACLE["w11_all_indicators_split_series"] = ORACLE["w11_all_indicators"]

@@ -89,3 +89,17 @@ def test_ema_split_series_position_matches_pandas(spark, span):
                     position_block=F.floor(F.col("t") / 1000)).toPandas().sort_values("t")
     want = pdf["close"].ewm(span=span, adjust=False).mean()
     assert np.allclose(got[f"ema_{span}"].to_numpy(), want.to_numpy(), rtol=1e-11, atol=1e-11)
+
+
+@pytest.mark.parametrize("bucket_rows", [40, 1000])
+def test_split_series_indicators_equal_per_series(spark, bucket_rows):
+    from barline.operators.candles import daily_candles
+    from barline.sources.candle_views import L_BITS, L_ORDER, raw_l
+    daily = daily_candles(raw_l(spark, "/root/testdata/sf0.001"), L_ORDER, L_BITS).cache()
+    a = IND.compute_all_indicators(daily).toPandas().sort_values(["symbol", "date"])
+    b = IND.compute_all_indicators(daily, position_block=F.year("date"),
+                                   bucket_rows=bucket_rows).toPandas().sort_values(["symbol", "date"])
+    assert len(a) == len(b) > 0
+    for c in INDICATOR_COLUMNS:
+        assert np.allclose(a[c].to_numpy(dtype=float), b[c].to_numpy(dtype=float),
+                           rtol=1e-9, atol=1e-7, equal_nan=True), c
