@@ -74,7 +74,8 @@ def with_emas(df: DataFrame, column: str, spans: Sequence[int],
               outs: Sequence[str] | None = None,
               partition_by: str | Sequence[str] = "symbol",
               order_by: str | Sequence[str] = "date",
-              position_block: Column | None = None) -> DataFrame:
+              position_block: Column | None = None,
+              position: str | None = None) -> DataFrame:
     """Add one EMA column per span (default names ``ema_<span>``).
 
     The spans share one row index; each span's block-end branch reads only
@@ -89,7 +90,9 @@ def with_emas(df: DataFrame, column: str, spans: Sequence[int],
     pb, ob = _cols(partition_by), _cols(order_by)
     x = F.col(column).cast("double")
     i = "_ema_i"
-    if position_block is None:
+    if position is not None:        # an existing 0-based series position column
+        base = df.withColumn(i, F.col(position))
+    elif position_block is None:
         base = df.withColumn(i, F.row_number().over(Window.partitionBy(*pb).orderBy(*ob)) - 1)
     else:
         from barline.operators.series_blocks import with_series_position

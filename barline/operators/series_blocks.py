@@ -63,17 +63,22 @@ def with_series_position(df: DataFrame, partition_by, order_by, block: Column,
 
 
 def bounded_lookback(df: DataFrame, partition_by, order_by, lookback: int,
-                     columns: Callable[[WindowSpec], list[Column]], block: Column,
-                     bucket_rows: int = 1 << 20) -> DataFrame:
+                     columns: Callable[[WindowSpec], list[Column]], block: Column | None,
+                     bucket_rows: int = 1 << 20, position: str | None = None) -> DataFrame:
     """Add the window ``columns`` computed as if partitioned by the whole series.
 
     ``columns(w)`` receives ``w = partition by (series, bucket) order by
     position`` and returns aliased columns whose frames reach at most
-    ``lookback`` rows back.
+    ``lookback`` rows back. ``position`` names an existing series-position
+    column (from :func:`with_series_position`); otherwise it is computed
+    from ``block``.
     """
     pb = _cols(partition_by)
     m = max(int(bucket_rows), int(lookback), 1)
-    pos = with_series_position(df, partition_by, order_by, block, "_g")
+    if position is None:
+        pos = with_series_position(df, partition_by, order_by, block, "_g")
+    else:
+        pos = df.withColumn("_g", F.col(position))
     own = F.floor(F.col("_g") / m)
     halo = (own + 1) * m - lookback
     buckets = F.when((F.lit(lookback) > 0) & (F.col("_g") >= halo), F.array(own, own + 1)) \
@@ -81,7 +86,7 @@ def bounded_lookback(df: DataFrame, partition_by, order_by, lookback: int,
     spread = pos.withColumn("_bk", F.explode(buckets))
     w = Window.partitionBy(*pb, "_bk").orderBy("_g")
     out = spread.select("*", *columns(w)).filter(F.col("_bk") == own)
-    return out.drop("_g", "_bk")
+    return out.drop("_bk") if position == "_g" else out.drop("_g", "_bk")
 
 
 def macro_columns(column: str, sma_periods: Sequence[int] = (), std_periods: Sequence[int] = (),
