@@ -17,10 +17,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barline.functions import series as SR
+from barline.functions.signals import BAND_POSITIONS, RSI_SIGNALS, run_status_code
 from barline.operators import candles as C
+from barline.operators import dedupe as D
+from barline.operators import indicators as IND
+from barline.operators import marts as M
 from barline.operators import staging as S
+from barline.operators.ema import with_emas
+from barline.plans import monitoring as MON
+from barline.plans import quality as Q
+from barline.plans import runlog as RL
 from barline.sources import candle_views as V
+from barline.sources import messages as MSG
 from barline.sources.candle_views import E_ORDER, L_BITS, L_ORDER, raw_e, raw_l
+from barline.sources.tables import read_table, write_table
+from barline.streaming import ingest as ING
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TARGET_BEFORE_E = "2024-01-20"      # yesterday's table vs today's rows (S10, incremental A02)
@@ -183,10 +195,6 @@ def p05(spark, sf):
 
 
 # ---------------------------------------------------------------- indicators
-from barline.functions import series as SR  # noqa: E402
-from barline.operators import indicators as IND  # noqa: E402
-from barline.operators import marts as M  # noqa: E402
-from barline.operators.ema import with_emas  # noqa: E402
 
 LONG_SYMBOL = "A/F"     # the series the dashboard queries read (K01-K03)
 
@@ -363,11 +371,6 @@ def m02l(spark, sf):
 
 
 # ---------------------------------------------------------------- quality
-from barline.functions.signals import BAND_POSITIONS, RSI_SIGNALS, run_status_code  # noqa: E402
-from barline.plans import monitoring as MON  # noqa: E402
-from barline.plans import quality as Q  # noqa: E402
-from barline.plans import runlog as RL  # noqa: E402
-from barline.sources import messages as MSG  # noqa: E402
 
 NOW = "2024-01-30 12:00:00"   # the dashboards' "now", fixed so results are testable
 
@@ -528,8 +531,6 @@ def r03(spark, sf):
 
 
 # ---------------------------------------------------------------- sources
-from barline.operators import dedupe as D  # noqa: E402
-from barline.sources.tables import read_table, write_table  # noqa: E402
 
 RAW_OUT = ("id", "symbol", "exchange", "timestamp_ms", "open", "high", "low", "close", "volume")
 TARGET_BEFORE_L = "1998-01-01"      # yesterday's table vs today's batch (S07, J03)
@@ -641,7 +642,6 @@ def s12(spark, sf):
 
 
 # ---------------------------------------------------------------- streaming
-from barline.streaming import ingest as ING  # noqa: E402
 
 MESSAGE_FILES = 4
 
