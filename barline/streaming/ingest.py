@@ -34,6 +34,10 @@ from barline.sources.messages import dead_letters, parse_messages, to_raw_rows,
 PARTITION_COLUMN = "candle_date"
 DLQ_KEY = ("topic", "partition", "offset")
 
+# The consumer flushes a batch at 500 records or every 5 seconds.
+BATCH_RECORDS = 500
+FLUSH_INTERVAL = "5 seconds"
+
 
 class InjectedFailure(RuntimeError):
     """Raised by the failure hook of the tests."""
@@ -113,3 +117,22 @@ def drain(spark: SparkSession, source: str, checkpoint: str, staging_path: str,
     """Run the query until everything available is processed, then stop."""
     q = start_ingest(spark, source, checkpoint, staging_path, dlq_path, trigger="availableNow", **kw)
     q.awaitTermination()
+
+
+def start_consumer(spark: SparkSession, staging_path: str, dlq_path: str, checkpoint: str,
+                   source_format: str = "kafka", source: str = "",
+                   source_options: dict | None = None, records_per_batch: int = BATCH_RECORDS,
+                   interval: str = FLUSH_INTERVAL, ingested_at: str | None = None):
+    """T01 as the always-on consumer: a micro-batch every ``interval``, at most
+    ``records_per_batch`` records each (``maxOffsetsPerTrigger`` for Kafka,
+    ``maxFilesPerTrigger`` = 1 for a file source). For Kafka pass
+    ``kafka.bootstrap.servers`` and ``subscribe`` in ``source_options``;
+    reading starts from the earliest offsets, as the reference's consumer."""
+    opts = dict(source_options or {})
+    if source_format == "kafka":
+        opts.setdefault("startingOffsets", "earliest")
+        opts.setdefault("maxOffsetsPerTrigger", str(records_per_batch))
+    else:
+        opts.setdefault("maxFilesPerTrigger", "1")
+    return start_ingest(spark, source, checkpoint, staging_path, dlq_path, source_format, opts,
+                        trigger=interval, ingested_at=ingested_at)

@@ -14,3 +14,20 @@ def test_replay_and_restart_give_the_same_table(spark):
         assert once.exceptAll(other).count() == 0
     keys = once.groupBy("symbol", "exchange", "timestamp_ms").count().filter("count > 1")
     assert keys.count() == 0
+
+
+def test_continuous_consumer_on_file_source(spark):
+    from barline.plans.registry import message_files
+    from barline.session import work_path
+    from barline.streaming.ingest import start_consumer
+    src = message_files(spark, SF)
+    base = work_path(spark, "consumer")
+    q = start_consumer(spark, f"{base}/staging", f"{base}/dlq", f"{base}/ck", source_format="parquet",
+                       source=src, interval="1 second", ingested_at="timestamp")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    once = QUERIES["s04_micro_batch_ingest"](spark, SF)
+    got = spark.read.parquet(f"{base}/staging").select(*once.columns)
+    assert got.count() == once.count() > 0
