@@ -21,7 +21,7 @@ from barline.operators.indicators import compute_all_indicators
 from barline.operators.marts import dim_trading_pairs, fct_market_daily
 from barline.operators.staging import stg_raw_ohlcv
 from barline.plans.monitoring import table_counts
-from barline.plans.quality import TableChecks, check_report
+from barline.plans.quality import TableChecks, check_report, run_passed
 from barline.plans.runlog import current_runs, single_event
 from barline.functions.signals import BAND_POSITIONS, RSI_SIGNALS
 
@@ -42,8 +42,14 @@ def daily_run(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str,
               dag_id: str = "candles_daily", order_by: Sequence[str] = ("timestamp_ms", "id"),
               series: Sequence[str] = ("symbol", "exchange"), extra: Sequence[str] = (),
               order_bits: dict | None = None, raw_grain: str = "month",
+              fail_on_checks: bool = False,
               clock=lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) -> DataFrame:
-    """Run every stage over ``raw``; returns ``(table_name, row_count)`` of the outputs."""
+    """Run every stage over ``raw``; returns ``(table_name, row_count)`` of the outputs.
+
+    With ``fail_on_checks`` a failed data-quality check fails the run (it is
+    recorded as ``failed`` with the number of failed checks); otherwise the
+    check report is written and the run succeeds.
+    """
     runs_path = f"{out_dir}/pipeline_runs"
     single_event(spark, dag_id, run_id, "running", clock(), started=True) \
         .write.mode("append").parquet(runs_path)
@@ -83,6 +89,10 @@ def daily_run(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str,
                             custom={"assert_positive_volume": F.col("volume") < 0}),
             ])
             _write(report, f"{out_dir}/check_report", "report")
+            if fail_on_checks:
+                verdict = run_passed(spark.read.parquet(f"{out_dir}/check_report")).first()
+                if not verdict["all_passed"]:   # one row: the verdict, not the data
+                    raise RuntimeError(f"{verdict['failed_checks']} data-quality checks failed")
     except Exception as exc:
         single_event(spark, dag_id, run_id, "failed", clock(), 0, str(exc)[:1000]) \
             .write.mode("append").parquet(runs_path)

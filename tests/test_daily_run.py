@@ -37,3 +37,16 @@ def test_timeframe_filter(spark):
                                "high double, low double, close double, volume double, timeframe string")
     r = candles(df, "day", timeframe="1m").collect()[0]
     assert r["trade_count"] == 1 and r["close"] == 1.0
+
+
+def test_failed_checks_fail_the_run_when_asked(spark):
+    t = dt.datetime(2024, 1, 1)
+    dup = spark.createDataFrame([(1, "A", "x", 0, 1.0, 1.0, 1.0, 1.0, 1.0, t),
+                                 (1, "A", "x", 60000, 1.0, 1.0, 1.0, 1.0, 1.0, t)], COLS)
+    out = work_path(spark, "run-checks")
+    with pytest.raises(RuntimeError, match="checks failed"):
+        daily_run(spark, dup, out, "r-checks", clock=lambda: t, fail_on_checks=True)
+    events = spark.read.parquet(f"{out}/pipeline_runs").orderBy("status").collect()
+    assert events[0]["status"] == "failed" and "1 data-quality checks failed" in events[0]["error_message"]
+    ok = work_path(spark, "run-checks-off")
+    assert daily_run(spark, dup, ok, "r-ok", clock=lambda: t).count() == 5
