@@ -56,23 +56,27 @@ def parse_messages(envelope: DataFrame, value: str = "value") -> DataFrame:
     instead of failing the whole insert later. Tombstones (NULL value) are
     not messages and must be filtered first (S03).
     """
-    # Parse once: text, keys and fields are their own projections, so the
-    # checks below read columns instead of re-parsing the JSON.
+    # Parse once: text and fields are their own projections, so the checks
+    # below read columns instead of re-parsing the JSON. The key listing (a
+    # second parse) is needed only when a required field came back NULL --
+    # absent, JSON null, or not an object at all -- and CASE evaluates it
+    # lazily, so a good message is parsed once.
     text = F.try_validate_utf8(F.col(value).cast("string"))
     step = (envelope.select("*", text.alias("_text"))
-            .select("*", F.json_object_keys("_text").alias("_keys"),
-                    F.from_json("_text", _AS_TEXT).alias("_v")))
-    keys = F.col("_keys")
-    required = F.array(*[F.lit(f) for f in REQUIRED_FIELDS])
-    missing = F.size(F.array_except(required, keys)) > 0
+            .select("*", F.from_json("_text", _AS_TEXT).alias("_v")))
     raw = {f: F.col("_v")[f] for f in _TYPES}
+    some_null = F.lit(False)
+    for f in REQUIRED_FIELDS:
+        some_null = some_null | raw[f].isNull()
+    keys = F.json_object_keys("_text")
+    required = F.array(*[F.lit(f) for f in REQUIRED_FIELDS])
     typed = {f: raw[f].try_cast(_TYPES[f]) if f in _NUMERIC else raw[f] for f in _TYPES}
     bad_type = F.lit(False)
     for f in _NUMERIC:
         bad_type = bad_type | (raw[f].isNotNull() & typed[f].isNull())
     reason = (F.when(F.col("_text").isNull(), REASON_ENCODING)
-              .when(keys.isNull(), REASON_JSON)
-              .when(missing, REASON_MISSING)
+              .when(some_null & keys.isNull(), REASON_JSON)
+              .when(some_null & (F.size(F.array_except(required, keys)) > 0), REASON_MISSING)
               .when(bad_type, REASON_TYPE))
     # The parse result leaves through a one-element ``inline`` generator: a
     # filter on its columns (good vs rejected) cannot be pushed below a
