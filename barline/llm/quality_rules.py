@@ -80,13 +80,19 @@ def repeat_words(words: Column, size: int = 8) -> Column:
     return F.when(F.size(words) > size, let(hashes, count)).otherwise(F.lit(0).cast("long"))
 
 
+def echoes(words: Column) -> Column:
+    """Words equal to the word before."""
+    pairs = F.sequence(F.lit(1), F.size(words) - 1)
+    return F.when(F.size(words) > 1, F.size(F.filter(pairs, lambda i: F.get(words, i) == F.get(words, i - 1))).cast("long")).otherwise(F.lit(0).cast("long"))
+
+
 def features(text: Column, words: Column) -> dict[str, Column]:
     """The statistics that rules read, as expressions over a text and its words (neither null)."""
     return {
         "n_words": F.size(words).cast("long"), "word_chars": word_chars(text), "n_symbols": count_of(text, SYMBOLS),
         "n_dup_lines": let(lines_with_words(text), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
         "n_repeat_words": repeat_words(words), "n_lines": F.size(lines_with_words(text)).cast("long"),
-        "n_capitals": count_of(text, CAPITALS),
+        "n_capitals": count_of(text, CAPITALS), "n_echoes": echoes(words),
     }
 
 
@@ -100,7 +106,8 @@ def rules(f: dict[str, Column]) -> list[Rule]:
         *base_rules(f),
         Rule("word_length", (f["word_chars"] < f["n_words"] * 2) | (f["word_chars"] > f["n_words"] * 15)),
         Rule("symbols", f["n_symbols"] * 10 > f["n_words"]),
-        Rule("repeated_lines", f["n_dup_lines"] * 10 > f["n_lines"] * 3),
+        Rule("repeated_lines", (f["n_dup_lines"] >= 5) & (f["n_dup_lines"] * 10 > f["n_lines"] * 3)),
+        Rule("echoes", f["n_echoes"] * 10 > f["n_words"] * 3),
         Rule("capitals", f["n_capitals"] * 2 > f["word_chars"]),
     ]
 

@@ -52,11 +52,12 @@ hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(
 f AS (SELECT w.doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(coalesce(text, ''), '{SPACE}', '', 'g'))::BIGINT AS word_chars,
   (length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(hit.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
-  length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[A-Z]', '', 'g')) AS n_capitals
+  length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[A-Z]', '', 'g')) AS n_capitals,
+  len(list_filter(range(1, len(words)), lambda i: words[i] = words[i + 1])) AS n_echoes
   FROM w LEFT JOIN hit USING (doc_id)),
 judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-  word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
-    OR 2 * n_capitals > word_chars AS failed FROM f)
+  word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > n_words OR n_dup_lines >= 5 AND 10 * n_dup_lines > 3 * n_lines
+    OR 10 * n_echoes > 3 * n_words OR 2 * n_capitals > word_chars AS failed FROM f)
 """
 
 RULES = f"""
