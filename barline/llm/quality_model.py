@@ -162,19 +162,18 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_tr
     return fit(x, y)
 
 
-def score(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def score(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text", whole_rows: bool = False) -> DataFrame:
     """doc_id, score (0 to 1) and predicted (1 from 0.5 on), one row per input row.
-    With ``keep``, those columns of ``docs`` instead of doc_id."""
+    With ``whole_rows`` a struct ``row`` of all columns in place of doc_id."""
     ship(docs.sparkSession)
-    df = docs.select(*keep, F.col(text_col).alias("__text")) if keep else narrow(docs, doc_id=id_col, __text=text_col)
-    own = [f.name for f in df.schema.fields[:-1]]
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if whole_rows else F.col(f"`{id_col}`")
+    df = docs.select(own.alias("row"), F.col(f"`{text_col}`").alias("text"))
 
     def emit(batches):
-        for batch, texts in slices(batches, "__text"):
+        for batch, texts in slices(batches):
             s = trees.score(np.array([statistics(t) for t in texts]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(own))), pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
-                                             [*own, "__score", "__predicted"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["row", "score", "predicted"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-1])
-    out = df.mapInArrow(emit, f"{fields}, __score double, __predicted int")
-    return out if keep else out.withColumnsRenamed({"__score": "score", "__predicted": "predicted"})
+    kind = df.schema["row"].dataType.simpleString()
+    out = df.mapInArrow(emit, f"row {kind}, score double, predicted int")
+    return out if whole_rows else out.withColumnRenamed("row", "doc_id")

@@ -163,9 +163,10 @@ def computed_once(df: DataFrame, keep: list[str], value: Column) -> DataFrame:
 def kept_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows that no rule rejects, with their own columns. Statistics are
     computed inside the cascade, so a rejected row skips those it does not need."""
-    order = ordered(sampled(docs.select(F.col(f"`{text_col}`").alias("text"))))
-    verdict = on_text(text_col, lambda t, w: F.struct(first_failed(rules(features(t, w)), order).alias("__failed")))
-    return computed_once(docs, docs.columns, verdict).filter("__failed is null").select(*[F.col(f"`{c}`") for c in docs.columns])
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    order = ordered(sampled(df.select("text")))
+    verdict = on_text("text", lambda t, w: F.struct(first_failed(rules(features(t, w)), order).alias("failed")))
+    return computed_once(df, ["row"], verdict).filter("failed is null").select("row.*")
 
 
 def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

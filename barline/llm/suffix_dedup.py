@@ -268,7 +268,7 @@ def _prepared(docs: DataFrame, size: int, id_col: str, text_col: str, max_width_
 
 
 def remove_repeats(docs: DataFrame, size: int = 200, id_col: str = "doc_id", text_col: str = "text",
-                   max_width_bits: int = 28, heavy_at: int = 20_000, keep_text: bool = False,
+                   max_width_bits: int = 28, heavy_at: int = 2_000, keep_text: bool = False,
                    extra: list[str] | None = None) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256,
     and with ``keep_text`` also kept_text, in which a character goes if any of

@@ -27,8 +27,7 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier predicts to be good. The trees learn
     from the labelled rows of the stage's own documents."""
     trees = quality_model.train(docs, table(spark, sf_dir, "labels"))
-    scored = quality_model.score(docs, trees, keep=[f"`{c}`" for c in docs.columns])
-    return scored.filter("__predicted = 1").select(*_own(docs))
+    return quality_model.score(docs, trees, whole_rows=True).filter("predicted = 1").select("row.*")
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,25 +40,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     least (of rows that repeat it, one; of a group without any doc_id, one)."""
     found = simhash.near_duplicates(docs, shingle=3, max_bits=3)
     leaders = stored(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "component_id")
-                     .agg(F.count("*").alias("n"), F.min("fp").alias("fp")), "leaders").select(F.col("doc_id").alias("__id"), "n")
-    kept = docs.join(leaders, F.col("doc_id").eqNullSafe(F.col("__id")))
-    once = kept.filter("n = 1").select(*_own(docs))
+                     .agg(F.count("*").alias("n")), "leaders").select(F.col("doc_id").alias("leader"), "n")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+    kept = rows.join(leaders, F.col("doc_id").eqNullSafe(F.col("leader")))
+    once = kept.filter("n = 1").select("row.*")
     if leaders.filter("n > 1").isEmpty():
         return once
-    return once.union(_one_each(spark, docs, kept.filter("n > 1").select(*_own(docs))))
+    again = kept.filter("n > 1")
+    named = again.filter("doc_id is not null").groupBy("doc_id").agg(F.first("row").alias("row"))
+    return once.union(named.select("row.*")).union(_nameless(again.filter("doc_id is null")).select("row.*"))
 
 
-def _one_each(spark: SparkSession, docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """One row for each doc_id of rows that repeat it; for rows without doc_id one
-    for each group of texts."""
-    first = [F.first(F.struct(*_own(docs))).alias("row")]
-    named = rows.filter("doc_id is not null").groupBy("doc_id").agg(*first)
-    nameless = rows.filter("doc_id is null")
-    # their groups are found anew with the texts' hashes as ids; ids of rows with a doc_id can't clash, as those form no part of it
-    marked = nameless.withColumn("__key", F.xxhash64("text"))
-    groups = simhash.near_duplicates(marked, shingle=3, max_bits=3, id_col="__key").select("doc_id", "component_id").distinct()
-    least = marked.groupBy("__key").agg(*first).join(groups, F.col("__key") == F.col("component_id"), "left_semi")
-    return named.select("row.*").union(least.select("row.*"))
+def _nameless(rows: DataFrame) -> DataFrame:
+    """Of rows without doc_id one for each near-duplicate group, found anew with the texts' hashes as ids."""
+    marked = rows.select("row", "text", F.xxhash64("text").alias("key"))
+    least = simhash.near_duplicates(marked, shingle=3, max_bits=3, id_col="key").select("component_id").distinct()
+    return marked.groupBy("key").agg(F.first("row").alias("row")).join(least, F.col("key") == F.col("component_id"), "left_semi")
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,10 +73,6 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), window=2048, end_id=1)
 
 
-def _own(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
-
-
 STAGES = [
     ("quality_classifier", classify),
     ("quality_rules", apply_rules),
