@@ -32,16 +32,20 @@ def new_rows(batch: DataFrame, target: DataFrame | None,
     if prune_on:
         # Two scalar subqueries over the raw batch (partial aggregation, one
         # value each) become a range filter on the target's partition column,
-        # so only the batch's partitions are listed and read.
+        # so only the batch's partitions are read (all are listed).
         lo = batch.agg(F.min(prune_on)).scalar()
         hi = batch.agg(F.max(prune_on)).scalar()
         tgt = tgt.filter((F.col(prune_on) >= lo) & (F.col(prune_on) <= hi))
-    return first.join(tgt.select(*key), list(key), "left_anti")
+    return anti_join(first, tgt, key)
 
 
 def anti_join(batch: DataFrame, target: DataFrame, key: Sequence[str] = CANDLE_KEY) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``target``."""
-    return batch.join(target.select(*key), list(key), "left_anti")
+    """Rows of ``batch`` whose key is not in ``target``; NULLs of a key are equal."""
+    known = target.select(*[F.col(c).alias(f"_known_{c}") for c in key])
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"_known_{c}"))
+    return batch.join(known, same, "left_anti")
 
 
 def high_water_marks(target: DataFrame, keys: Sequence[str] = ("symbol",),

@@ -94,7 +94,7 @@ def daily_run(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str,
                 if not verdict["all_passed"]:   # one row: the verdict, not the data
                     raise RuntimeError(f"{verdict['failed_checks']} data-quality checks failed")
     except Exception as exc:
-        single_event(spark, dag_id, run_id, "failed", clock(), 0, str(exc)[:1000]) \
+        single_event(spark, dag_id, run_id, "failed", clock(), 0, str(exc)) \
             .write.mode("append").parquet(runs_path)
         raise
     single_event(spark, dag_id, run_id, "success", clock(), rows) \

@@ -41,7 +41,7 @@ def refresh_candles(raw: DataFrame, table_path: str, bucket: str = "day",
     overwrite only those date partitions of ``table_path``."""
     dates = touched_dates(raw, since)
     rows = raw.withColumn(PARTITION, _candle_date()).join(
-        F.broadcast(dates), PARTITION, "left_semi")   # bounded by the calendar
+        dates, PARTITION, "left_semi")   # AQE broadcasts the dates if they measure small
     out = candles(rows.drop(PARTITION), bucket, order_by, order_bits=order_bits)
     bcol = "date" if bucket == "day" else "hour_start"
     out = out.withColumn(PARTITION, F.to_date(F.col(bcol)))

@@ -567,7 +567,7 @@ def s05(spark, sf):
 def s06(spark, sf):
     return MSG.dead_letters(parsed_messages(spark, sf)).select(
         "offset", "partition", "error_reason", "reason_detail",
-        F.col("headers")[0]["key"].alias("header_key"))
+        F.col("headers")[0]["key"].alias("header_key"), F.decode(F.col("headers")[0]["value"], "UTF-8").alias("header_value"))
 
 
 @query("s07_insert_ignore")
@@ -589,12 +589,12 @@ def j03(spark, sf):
 
 @query("s08_encode_messages")
 def s08(spark, sf):
-    recs = raw_e(spark, sf).withColumn("timeframe", F.lit("1m"))
+    recs = MSG.normalise_records(raw_e(spark, sf))   # the optional fields come from S09
     enc = MSG.encode_messages(recs)
     back = F.from_json(F.decode("value", "UTF-8"), MSG.CANDLE_MESSAGE)
     return rounded(enc.select(F.decode("key", "UTF-8").alias("key"), back.alias("r"))
                    .select("key", "r.symbol", "r.exchange", "r.timeframe", "r.timestamp_ms",
-                           "r.open", "r.high", "r.low", "r.close", "r.volume"))
+                           "r.open", "r.high", "r.low", "r.close", "r.volume", "r.fetched_at"))
 
 
 @query("s09_normalise_records")

@@ -20,7 +20,7 @@ BASE_CONF = {
 }
 
 
-# Settings for a large cluster (pass ``extra=CLUSTER_CONF``): start with many
+# Settings for a large cluster (used when no master is given): start with many
 # shuffle partitions and let AQE coalesce them to ~256 MB each, split scans
 # at 256 MB, and let AQE split skewed join partitions and partial-aggregate
 # before every shuffle.
@@ -35,18 +35,23 @@ CLUSTER_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "barline", extra: dict | None = None) -> SparkSession:
     """Get or create a session with the library's base settings.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; the
-    shuffle-partition count then only seeds AQE, which coalesces or splits.
+    On a cluster pass ``master=None`` and let spark-submit decide: the settings
+    of CLUSTER_CONF then hold, unless given otherwise. AQE coalesces small
+    shuffle partitions and splits skewed join sides (not aggregations or
+    windows). With a master, 8 shuffle partitions are the default.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if not master:
+        conf.update(CLUSTER_CONF)
+    if master or shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -21,7 +21,12 @@ DLQ_REASON = "parse_error"
 REASON_ENCODING = "bad_encoding"
 REASON_JSON = "invalid_json"
 REASON_MISSING = "missing_fields"
+REASON_NULL = "null_field"
 REASON_TYPE = "bad_type"
+REASON_RANGE = "bad_range"
+
+# Epoch milliseconds that Spark's timestamps (microseconds in a long) can hold.
+MAX_EPOCH_MS = (2 ** 63 - 1) // 1000
 
 _TYPES = {f.name: f.dataType.simpleString() for f in CANDLE_MESSAGE.fields}
 _NUMERIC = ("timestamp_ms", "open", "high", "low", "close", "volume")
@@ -34,27 +39,33 @@ def message_key(symbol="symbol", timestamp_ms="timestamp_ms") -> Column:
 
 def encode_messages(records: DataFrame, topic: str = "raw_ohlcv",
                     fields: Sequence[str] = tuple(_TYPES)) -> DataFrame:
-    """key = ``symbol:timestamp_ms`` bytes, value = JSON of the record bytes."""
-    present = [f for f in fields if f in records.columns]
+    """key = ``symbol:timestamp_ms`` bytes, value = JSON of the record bytes
+    with every field, NULL ones as ``null``. All ``fields`` must be there (S09 adds
+    the optional ones)."""
     return records.select(
         F.encode(message_key(), "UTF-8").alias("key"),
-        F.encode(F.to_json(F.struct(*present)), "UTF-8").alias("value"),
+        F.encode(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), "UTF-8").alias("value"),
         F.lit(topic).alias("topic"))
 
 
 _AS_TEXT = "struct<" + ",".join(f"{f}:string" for f in _TYPES) + ">"
 
 
-def parse_messages(envelope: DataFrame, value: str = "value") -> DataFrame:
+def parse_messages(envelope: DataFrame, value: str = "value", require_values: bool = True) -> DataFrame:
     """S05 + S06 in one projection.
 
     Adds ``reason`` (NULL for a good message) and the typed record fields.
-    The value must be UTF-8 and a JSON object carrying the eight required
-    keys: presence, not non-NULL-ness, is checked, as the reference does. A
-    repeated key keeps its last value (as a JSON object decoder does). On top,
-    a present value that does not cast to its type is ``bad_type`` (X7)
-    instead of failing the whole insert later. Tombstones (NULL value) are
-    not messages and must be filtered first (S03).
+    The value must be UTF-8 and exactly one JSON object carrying the eight
+    required keys; a repeated key keeps its last value (as a JSON object decoder
+    does). The text is read as the only element of an array, which shows a
+    second object, text after the object and single quotes. (``{..}] }`` is the
+    one malformed form still read as its object.) With ``require_values`` a
+    required JSON null is ``null_field``: staging columns are NOT NULL, and a
+    NULL key would defeat insert-ignore; without it presence alone is checked,
+    as the reference's decoder does. A present value that does not cast to its
+    type is ``bad_type`` (X7), a time that no timestamp can hold ``bad_range``;
+    a whole time written as a decimal (``1704067200000.0``) is a time.
+    Tombstones (NULL value) are not messages and must be filtered first (S03).
     """
     # Parse once: text and fields are their own projections, so the checks
     # below read columns instead of re-parsing the JSON. The key listing (a
@@ -63,21 +74,26 @@ def parse_messages(envelope: DataFrame, value: str = "value") -> DataFrame:
     # lazily, so a good message is parsed once.
     text = F.try_validate_utf8(F.col(value).cast("string"))
     step = (envelope.select("*", text.alias("_text"))
-            .select("*", F.from_json("_text", _AS_TEXT).alias("_v")))
-    raw = {f: F.col("_v")[f] for f in _TYPES}
+            .select("*", F.from_json(F.concat(F.lit("["), F.col("_text"), F.lit("]")), f"array<{_AS_TEXT}>",
+                                     {"allowSingleQuotes": "false"}).alias("_v")))
+    single = (F.size("_v") == 1) & F.trim(F.translate("_text", "\t\r\n", "   ")).rlike(r"(?s)^\{.*\}$")
+    raw = {f: F.get(F.col("_v"), F.lit(0))[f] for f in _TYPES}
     some_null = F.lit(False)
     for f in REQUIRED_FIELDS:
         some_null = some_null | raw[f].isNull()
     keys = F.json_object_keys("_text")
     required = F.array(*[F.lit(f) for f in REQUIRED_FIELDS])
     typed = {f: raw[f].try_cast(_TYPES[f]) if f in _NUMERIC else raw[f] for f in _TYPES}
+    typed["timestamp_ms"] = raw["timestamp_ms"].try_cast("decimal(38,9)").try_cast("bigint")
     bad_type = F.lit(False)
     for f in _NUMERIC:
         bad_type = bad_type | (raw[f].isNotNull() & typed[f].isNull())
     reason = (F.when(F.col("_text").isNull(), REASON_ENCODING)
-              .when(some_null & keys.isNull(), REASON_JSON)
+              .when(~F.coalesce(single, F.lit(False)) | (some_null & keys.isNull()), REASON_JSON)
               .when(some_null & (F.size(F.array_except(required, keys)) > 0), REASON_MISSING)
-              .when(bad_type, REASON_TYPE))
+              .when(some_null & F.lit(require_values), REASON_NULL)
+              .when(bad_type, REASON_TYPE)
+              .when(F.abs(typed["timestamp_ms"].cast("decimal(20,0)")) > MAX_EPOCH_MS, REASON_RANGE))
     # The parse result leaves through a one-element ``inline`` generator: a
     # filter on its columns (good vs rejected) cannot be pushed below a
     # generator, so Catalyst does not re-inline the whole decode into the scan
@@ -130,7 +146,7 @@ def records_from_arrays(df: DataFrame, symbol: str, exchange: str, timeframe: st
     """
     c = F.col(candle)
     fa = fetched_at if fetched_at is not None else \
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     sym = F.col(symbol) if symbol in df.columns else F.lit(symbol)
     exc = F.col(exchange) if exchange in df.columns else F.lit(exchange)
     return df.select(
@@ -141,9 +157,18 @@ def records_from_arrays(df: DataFrame, symbol: str, exchange: str, timeframe: st
         fa.alias("fetched_at"))
 
 
-def to_raw_rows(records: DataFrame, id_col: str = "offset", ingested_at: Column | None = None) -> DataFrame:
+#: Bound on a topic's partitions; part of every row id, so fixed for the life of a staging table.
+TOPIC_PARTITIONS = 1024
+
+
+def message_id(partition: str = "partition", offset: str = "offset") -> Column:
+    """A row id unique over the topic and the same on every replay."""
+    return F.col(offset).cast("long") * TOPIC_PARTITIONS + F.col(partition)
+
+
+def to_raw_rows(records: DataFrame, row_id: Column, ingested_at: Column | None = None) -> DataFrame:
     """Records -> ``raw_ohlcv`` rows (``timeframe``/``fetched_at`` dropped at staging)."""
     ing = ingested_at if ingested_at is not None else F.current_timestamp()
     return records.select(
-        F.col(id_col).cast("long").alias("id"), "symbol", "exchange", "timestamp_ms",
+        row_id.cast("long").alias("id"), "symbol", "exchange", "timestamp_ms",
         "open", "high", "low", "close", "volume", ing.alias("ingested_at"))

@@ -29,7 +29,7 @@ from pyspark.sql.utils import AnalysisException
 
 from barline.operators.dedupe import anti_join, new_rows
 from barline.schemas import CANDLE_KEY, MESSAGE_ENVELOPE
-from barline.sources.messages import dead_letters, parse_messages, to_raw_rows, valid_records
+from barline.sources.messages import dead_letters, message_id, parse_messages, to_raw_rows, valid_records
 
 PARTITION_COLUMN = "candle_date"
 DLQ_KEY = ("topic", "partition", "offset")
@@ -46,8 +46,10 @@ class InjectedFailure(RuntimeError):
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as exc:  # no table yet, or an empty folder; anything else is an error
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def drop_tombstones(envelope: DataFrame) -> DataFrame:
@@ -63,7 +65,7 @@ def ingest_batch(batch: DataFrame, staging_path: str, dlq_path: str,
     parsed = parse_messages(drop_tombstones(batch)).persist()
     try:
         ing = F.col(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()
-        rows = to_raw_rows(valid_records(parsed), "offset", ing)
+        rows = to_raw_rows(valid_records(parsed), message_id(), ing)
         rows = rows.withColumn(PARTITION_COLUMN, F.to_date(F.timestamp_millis("timestamp_ms")))
         target = _existing(spark, staging_path)
         fresh = new_rows(rows, target, CANDLE_KEY, ("timestamp_ms", "id"),
@@ -123,16 +125,17 @@ def start_consumer(spark: SparkSession, staging_path: str, dlq_path: str, checkp
                    source_format: str = "kafka", source: str = "",
                    source_options: dict | None = None, records_per_batch: int = BATCH_RECORDS,
                    interval: str = FLUSH_INTERVAL, ingested_at: str | None = None):
-    """T01 as the always-on consumer: a micro-batch every ``interval``, at most
-    ``records_per_batch`` records each (``maxOffsetsPerTrigger`` for Kafka,
-    ``maxFilesPerTrigger`` = 1 for a file source). For Kafka pass
+    """T01 as the always-on consumer. For Kafka a micro-batch starts as soon as
+    ``records_per_batch`` records wait or ``interval`` has passed, and the next
+    one follows at once, with no maximum (a caller may set one in
+    ``source_options``). A file source is polled every ``interval``. For Kafka pass
     ``kafka.bootstrap.servers`` and ``subscribe`` in ``source_options``;
     reading starts from the earliest offsets, as the reference's consumer."""
     opts = dict(source_options or {})
     if source_format == "kafka":
         opts.setdefault("startingOffsets", "earliest")
-        opts.setdefault("maxOffsetsPerTrigger", str(records_per_batch))
-    else:
-        opts.setdefault("maxFilesPerTrigger", "1")
+        opts.setdefault("minOffsetsPerTrigger", str(records_per_batch))
+        opts.setdefault("maxTriggerDelay", interval.replace(" seconds", "s").replace(" second", "s"))
+        interval = "0 seconds"
     return start_ingest(spark, source, checkpoint, staging_path, dlq_path, source_format, opts,
                         trigger=interval, ingested_at=ingested_at)

@@ -404,7 +404,9 @@ ORACLE["s02_write_table"] = q([], f"SELECT {RAW_OUT}, CAST(epoch_ms(timestamp_ms
                               RAW_DBL)
 ORACLE["s03_message_source"] = q([], "SELECT 'raw_ohlcv' AS topic, CAST(user_id % 3 AS INTEGER) AS partition, "
                                      "event_id AS offset FROM events WHERE event_id % 89 != 0")
-STAGED_SQL = f"SELECT {RAW_OUT}, ingested_at FROM raw_e WHERE id IN (SELECT event_id FROM events WHERE {GOOD})"
+# A staged row's id is its message's: offset (event_id) * 1024 + partition (user_id % 3).
+STAGED_SQL = (f"SELECT r.id * 1024 + e.user_id % 3 AS id, {RAW_OUT.removeprefix('id, ')}, ingested_at "
+              f"FROM raw_e r JOIN (SELECT event_id, user_id FROM events WHERE {GOOD}) e ON e.event_id = r.id")
 ORACLE["s04_micro_batch_ingest"] = q([], STAGED_SQL, RAW_DBL)
 ORACLE["t02_bounded_drain_replay"] = ORACLE["s04_micro_batch_ingest"]
 ORACLE["t03_failed_flush_restart"] = ORACLE["s04_micro_batch_ingest"]
@@ -412,7 +414,7 @@ ORACLE["t01_stream_dead_letters"] = q([DLQ], 'SELECT "offset", "partition", erro
 ORACLE["s05_decode_messages"] = q([], f"""SELECT id AS offset, symbol, exchange, '1m' AS timeframe, timestamp_ms,
   open, high, low, close, volume FROM raw_e WHERE id IN (SELECT event_id FROM events WHERE {GOOD})""", RAW_DBL)
 ORACLE["s06_dead_letters"] = q([DLQ], 'SELECT "offset", "partition", error_reason, reason_detail, '
-                                      "'error_reason' AS header_key FROM dlq")
+                                      "'error_reason' AS header_key, 'parse_error' AS header_value FROM dlq")
 LF = "lf AS (SELECT *, CAST(epoch_ms(timestamp_ms) AS DATE) AS day FROM raw_l)"
 ORACLE["s07_insert_ignore"] = q([LF, "tgt AS (SELECT DISTINCT symbol, exchange, timestamp_ms FROM lf WHERE day < DATE '1998-01-01')",
                                  "b AS (SELECT *, row_number() OVER (PARTITION BY symbol, exchange, timestamp_ms "
@@ -425,7 +427,7 @@ ORACLE["j03_anti_join"] = q([LF, "tgt AS (SELECT DISTINCT symbol, exchange, time
                             "WHERE t.symbol = b.symbol AND t.exchange = b.exchange AND t.timestamp_ms = b.timestamp_ms)",
                             RAW_DBL)
 ORACLE["s08_encode_messages"] = q([], """SELECT symbol || ':' || CAST(timestamp_ms AS VARCHAR) AS key, symbol, exchange,
-  '1m' AS timeframe, timestamp_ms, open, high, low, close, volume FROM raw_e""", RAW_DBL)
+  '1m' AS timeframe, timestamp_ms, open, high, low, close, volume, '' AS fetched_at FROM raw_e""", RAW_DBL)
 ORACLE["s09_normalise_records"] = q([], """SELECT r.symbol, r.exchange,
   CASE WHEN e.user_id % 3 = 0 THEN '1m' ELSE '5m' END AS timeframe, r.timestamp_ms, r.open, r.high, r.low,
   r.close, r.volume,

@@ -7,27 +7,24 @@ from barline.operators import candles as C
 from barline.operators.staging import stg_raw_ohlcv
 
 
-def test_hourly_minute3(minute3):
-    rows = C.hourly_candles(minute3).orderBy("hour_start").collect()
-    assert len(rows) == 2
-    first = rows[0]
-    assert first["hour_start"] == dt.datetime(2024, 1, 1, 0, 0)
-    assert (first["open"], first["high"], first["low"], first["close"]) == (42000.0, 42200.0, 41900.0, 42100.0)
-    assert first["volume"] == 250.0 and first["trade_count"] == 2
-    assert first["vwap"] == pytest.approx((42050 * 100 + 42100 * 150) / 250)
+def test_hourly_three_candles(three_candles):
+    rows = C.hourly_candles(three_candles).orderBy("hour_start").collect()
+    assert [r["hour_start"] for r in rows] == [dt.datetime(2023, 6, 15, 9, 0), dt.datetime(2023, 6, 15, 11, 0)]
+    one = rows[0]
+    assert (one["open"], one["high"], one["low"], one["close"]) == (8.0, 9.5, 7.25, 7.5)
+    assert (one["volume"], one["trade_count"]) == (16.0, 2)
+    assert one["vwap"] == pytest.approx((9.0 * 12 + 7.5 * 4) / 16)
 
 
-def test_daily_minute3(minute3):
-    rows = C.daily_candles(minute3).collect()
-    assert len(rows) == 1
-    r = rows[0]
-    assert (r["open"], r["close"], r["volume"], r["trade_count"]) == (42000.0, 42250.0, 450.0, 3)
-    assert r["date"] == dt.date(2024, 1, 1)
+def test_daily_three_candles(three_candles):
+    r, = C.daily_candles(three_candles).collect()
+    assert (r["open"], r["close"], r["volume"], r["trade_count"]) == (8.0, 7.0, 21.0, 3)
+    assert r["date"] == dt.date(2023, 6, 15)
 
 
-def test_order_without_id_column(minute3):
-    rows = C.daily_candles(minute3.drop("id")).collect()
-    assert rows[0]["open"] == 42000.0
+def test_order_without_id_column(three_candles):
+    r, = C.daily_candles(three_candles.drop("id")).collect()
+    assert r["open"] == 8.0
 
 
 def test_zero_volume_gives_null_vwap(spark):
@@ -46,51 +43,51 @@ def test_ties_on_timestamp_break_by_id(spark):
     assert (r["open"], r["close"]) == (1.0, 20.0)
 
 
-def test_rank_join_form_agrees(minute3):
-    a = C.hourly_candles(minute3)
-    b = C.candles_rank_join(minute3, "hour")
+def test_rank_join_form_agrees(three_candles):
+    a = C.hourly_candles(three_candles)
+    b = C.candles_rank_join(three_candles, "hour")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_min_by_plan_has_one_exchange_and_no_sort(minute3):
-    plan = C.hourly_candles(minute3)._jdf.queryExecution().executedPlan().toString()
+def test_min_by_plan_has_one_exchange_and_no_sort(three_candles):
+    plan = C.hourly_candles(three_candles)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "Window" not in plan
 
 
-def test_int_daily_and_return(minute3):
-    staged = stg_raw_ohlcv(minute3.withColumn("ingested_at", F.current_timestamp()))
+def test_int_daily_and_return(three_candles):
+    staged = stg_raw_ohlcv(three_candles.withColumn("ingested_at", F.current_timestamp()))
     r = C.int_ohlcv_daily(staged).collect()[0]
     assert r["candle_count"] == 3
-    assert r["daily_return"] == pytest.approx(42250.0 / 42000.0 - 1)
+    assert r["daily_return"] == pytest.approx(7.0 / 8.0 - 1)
 
 
-def test_first_last_rows(minute3):
-    first = C.first_last_rows(minute3, ["symbol"], ["timestamp_ms", "id"], "first").collect()[0]
-    last = C.first_last_rows(minute3, ["symbol"], ["timestamp_ms", "id"], "last").collect()[0]
-    assert first["id"] == 1 and last["id"] == 3
+def test_first_last_rows(three_candles):
+    first = C.first_last_rows(three_candles, ["symbol"], ["timestamp_ms", "id"], "first").collect()[0]
+    last = C.first_last_rows(three_candles, ["symbol"], ["timestamp_ms", "id"], "last").collect()[0]
+    assert first["id"] == 31 and last["id"] == 33
 
 
-def test_hash_aggregate_plan(minute3):
-    plan = C.hourly_candles(minute3)._jdf.queryExecution().executedPlan().toString()
+def test_hash_aggregate_plan(three_candles):
+    plan = C.hourly_candles(three_candles)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
 def test_packed_order_key_orders_like_struct(spark):
     import random
     rnd = random.Random(3)
-    rows = [(rnd.randint(-2 ** 43, 2 ** 43 - 1), rnd.choice([-2 ** 63, 2 ** 63 - 1, rnd.randint(-9, 9)]))
+    rows = [(86_400_000 * 10 ** 9 + rnd.randint(0, 86_399_999), rnd.choice([-2 ** 63, 2 ** 63 - 1, rnd.randint(-9, 9)]))
             for _ in range(300)]
     df = spark.createDataFrame(rows, "timestamp_ms long, id long")
-    k = df.select("timestamp_ms", "id", C.order_key(df, ["timestamp_ms", "id"]).alias("k"))
+    k = df.select("timestamp_ms", "id", C.order_key(df, ["timestamp_ms", "id"], in_day=True).alias("k"))
     assert "decimal" in k.schema["k"].dataType.simpleString()
     got = [(r[0], r[1]) for r in k.orderBy("k").collect()]
     assert got == sorted(rows)
 
 
-def test_packed_order_key_out_of_range_raises(spark):
+def test_declared_widths_are_checked(spark):
     df = spark.createDataFrame([(2 ** 50, 1)], "timestamp_ms long, id long")
     with pytest.raises(Exception):
-        df.select(C.order_key(df, ["timestamp_ms", "id"])).collect()
+        df.select(C.order_key(df, ["timestamp_ms", "id"], {"timestamp_ms": 44})).collect()
 
 
 def test_wide_order_falls_back_to_struct(spark):

@@ -13,13 +13,24 @@ COLS = ("id long, symbol string, exchange string, timestamp_ms long, open double
 
 def test_failed_run_is_recorded_and_raised(spark):
     t = dt.datetime(2024, 1, 1)
-    bad = spark.createDataFrame([(1, "A", "x", 2 ** 50, 1.0, 1.0, 1.0, 1.0, 1.0, t)], COLS)
+    rows = spark.createDataFrame([(1, "A", "x", 0, 1.0, 1.0, 1.0, 1.0, 1.0, t)], COLS)
+    bad = rows.withColumn("close", F.when(F.col("id") == 1, F.raise_error(F.lit("boom " * 500))).otherwise(F.col("close")))
     out = work_path(spark, "run-fail")
     with pytest.raises(Exception):
         daily_run(spark, bad, out, "r-fail", clock=lambda: t)
     events = spark.read.parquet(f"{out}/pipeline_runs").orderBy("status").collect()
     assert [e["status"] for e in events] == ["failed", "running"]
-    assert "bit widths" in events[0]["error_message"]
+    assert "boom " * 500 in events[0]["error_message"]
+
+
+def test_microsecond_epoch_makes_a_candle(spark):
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, "A", "x", 1704067200000000, 1.0, 1.0, 1.0, 1.0, 1.0, t),
+                                (2, "A", "x", 1704067200000001, 2.0, 2.0, 2.0, 3.0, 1.0, t)], COLS)
+    out = candles(df, "day")
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    r = out.select(F.col("date").cast("string"), "open", "close", "trade_count").first()
+    assert r[0].startswith("+55969") and tuple(r[1:]) == (1.0, 3.0, 2)
 
 
 def test_empty_input_stops_early(spark):

@@ -8,38 +8,39 @@ from barline.operators.ema import ema_plan, with_ema, with_ema_pandas
 from barline.schemas import INDICATOR_COLUMNS
 
 
-def test_sma7_day7(daily30):
-    rows = IND.compute_sma(daily30, "close", 7).orderBy("date").collect()
-    assert rows[6]["sma_7"] == pytest.approx(42350.0)
-    assert rows[0]["sma_7"] == pytest.approx(42050.0)   # shorter window, not NULL
+def test_sma_of_seven(twenty_days):
+    rows = IND.compute_sma(twenty_days, "close", 7).orderBy("date").collect()
+    assert rows[6]["sma_7"] == pytest.approx(106.0)    # 100, 102, ... 112
+    assert rows[0]["sma_7"] == pytest.approx(100.0)    # shorter window, not NULL
 
 
-def test_rsi_all_100_on_uptrend(daily30):
-    vals = [r["rsi_14"] for r in IND.compute_rsi(daily30).collect()]
-    assert vals == [100.0] * 30
+def test_rsi_up_then_down(twenty_days):
+    vals = [r["rsi_14"] for r in IND.compute_rsi(twenty_days).orderBy("date").collect()]
+    assert vals[:15] == [100.0] * 15                   # no loss yet
+    assert vals[15] == pytest.approx(100 - 100 / (1 + 26 / 3))  # 13 gains of 2, one loss of 3
 
 
-def test_atr_is_300(daily30):
-    vals = [r["atr_14"] for r in IND.compute_atr(daily30).collect()]
-    assert all(v == pytest.approx(300.0) for v in vals)
+def test_atr_of_constant_range(twenty_days):
+    vals = [r["atr_14"] for r in IND.compute_atr(twenty_days).collect()]
+    assert all(v == pytest.approx(10.0) for v in vals)  # high - low; moves to the last close are smaller
 
 
-def test_obv_running_sum(daily30):
-    rows = IND.compute_obv(daily30).orderBy("date").collect()
-    assert rows[0]["obv"] == 0.0
-    assert rows[3]["obv"] == sum(1000.0 + i * 10 for i in (1, 2, 3))
+def test_obv_up_then_down(twenty_days):
+    rows = IND.compute_obv(twenty_days).orderBy("date").collect()
+    assert rows[0]["obv"] == 0.0 and rows[3]["obv"] == 11.0 + 12 + 13
+    assert rows[15]["obv"] == sum(10.0 + i for i in range(1, 15)) - 25.0
 
 
-def test_bollinger_first_row_null(daily30):
-    rows = IND.compute_bollinger_bands(daily30).orderBy("date").collect()
-    assert rows[0]["bb_upper"] is None and rows[0]["bb_middle"] == 42050.0
+def test_bollinger_first_row_null(twenty_days):
+    rows = IND.compute_bollinger_bands(twenty_days).orderBy("date").collect()
+    assert rows[0]["bb_upper"] is None and rows[0]["bb_middle"] == 100.0
     assert rows[5]["bb_upper"] > rows[5]["bb_middle"] > rows[5]["bb_lower"]
 
 
-def test_all_indicators_shape(daily30):
-    out = IND.compute_all_indicators(daily30)
+def test_all_indicators_shape(twenty_days):
+    out = IND.compute_all_indicators(twenty_days)
     assert out.columns == ["symbol", "date", *INDICATOR_COLUMNS]
-    assert len(out.columns) == 16 and out.count() == 30
+    assert len(out.columns) == 16 and out.count() == 20
 
 
 @pytest.mark.parametrize("span", [1, 2, 12, 26, 200])
@@ -56,9 +57,9 @@ def test_ema_matches_pandas_ewm(spark, span):
     assert np.allclose(got[f"ema_{span}"].to_numpy(), want.to_numpy(), rtol=1e-11, atol=1e-11)
 
 
-def test_ema_native_equals_apply_in_pandas(daily30):
-    a = with_ema(daily30, "close", 12).select("date", F.round("ema_12", 8).alias("e"))
-    b = with_ema_pandas(daily30, "close", 12).select("date", F.round("ema_12", 8).alias("e"))
+def test_ema_native_equals_apply_in_pandas(twenty_days):
+    a = with_ema(twenty_days, "close", 12).select("date", F.round("ema_12", 8).alias("e"))
+    b = with_ema_pandas(twenty_days, "close", 12).select("date", F.round("ema_12", 8).alias("e"))
     assert a.exceptAll(b).count() == 0
 
 
@@ -69,12 +70,12 @@ def test_ema_plan_bounds():
         assert (r ** block) ** fold < 2.0 ** -1000
 
 
-def test_series_by_exchange(spark, daily30):
-    two = daily30.unionByName(daily30.withColumn("exchange", F.lit("other"))
+def test_series_by_exchange(spark, twenty_days):
+    two = twenty_days.unionByName(twenty_days.withColumn("exchange", F.lit("other"))
                               .withColumn("close", F.col("close") * 2))
     out = IND.compute_all_indicators(two, partition_by=("symbol", "exchange"))
-    assert out.count() == 60
-    assert out.filter("exchange = 'other'").agg(F.min("sma_7")).collect()[0][0] == 2 * 42050.0
+    assert out.count() == 40
+    assert out.filter("exchange = 'other'").agg(F.min("sma_7")).collect()[0][0] == 2 * 100.0
 
 
 @pytest.mark.parametrize("span", [2, 26])

@@ -27,8 +27,41 @@ def test_parse_good_and_bad(spark):
 
 def test_presence_not_nullness(spark):
     v = json.dumps(dict(CANDLE, volume=None)).encode()
-    r = MSG.parse_messages(envelope(spark, [v])).collect()[0]
+    r = MSG.parse_messages(envelope(spark, [v]), require_values=False).collect()[0]
     assert r["reason"] is None and r["volume"] is None
+    assert MSG.parse_messages(envelope(spark, [v])).collect()[0]["reason"] == "null_field"
+
+
+def test_only_one_whole_json_object(spark):
+    text = json.dumps(CANDLE)
+    bad = [text + " trailing", text + text, text.replace('"', "'"), text + "," + text, "[" + text + "]", text + "]", text + "] x", ""]
+    got = MSG.parse_messages(envelope(spark, [b.encode() for b in bad] + [f"\n {text}\t\r\n".encode()])).orderBy("offset").collect()
+    assert [r["reason"] for r in got] == ["invalid_json"] * len(bad) + [None]
+
+
+def test_times(spark):
+    times = ["1704067200000.0", "9223372036854775807", "-9223372036854775808", "9223372036854775", "1e400", "true"]
+    vals = [json.dumps(CANDLE).replace("1704067200000", t).encode() for t in times]
+    got = MSG.parse_messages(envelope(spark, vals)).orderBy("offset").collect()
+    assert [r["reason"] for r in got] == [None, "bad_range", "bad_range", None, "bad_type", "bad_type"]
+    assert got[0]["timestamp_ms"] == 1704067200000
+
+
+def test_encode_keeps_null_fields(spark):
+    df = spark.createDataFrame([dict(CANDLE, volume=None)], "symbol string, exchange string, timestamp_ms long, open double, high double, "
+                                                            "low double, close double, volume double")
+    value = bytes(MSG.encode_messages(MSG.normalise_records(df)).first()["value"]).decode()
+    assert json.loads(value) == dict(CANDLE, volume=None, timeframe="1m", fetched_at="")
+
+
+def test_default_fetched_at_has_a_numeric_offset(spark):
+    df = spark.createDataFrame([([1.0, 1.0, 2.0, 0.5, 1.5, 10.0],)], "candle array<double>")
+    assert MSG.records_from_arrays(df, "S", "x").first()["fetched_at"].endswith("+00:00")
+
+
+def test_ids_differ_between_partitions(spark):
+    df = spark.range(3).selectExpr("cast(id as int) partition", "0L offset").select(MSG.message_id().alias("id"))
+    assert sorted(r[0] for r in df.collect()) == [0, 1, 2]
 
 
 def test_dead_letters_keep_bytes_and_header(spark):

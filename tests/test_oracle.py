@@ -7,7 +7,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from barline.plans.registry import QUERIES
+from oracle_sql import ORACLE
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -39,7 +41,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
@@ -47,11 +49,11 @@ def test_entry(spark):
     assert df.count() > 0 and "vwap" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    sdf = queries()[name](spark, SF)
+    sdf = QUERIES[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
-    cur = con.execute(oracle_sql()[name])
+    cur = con.execute(ORACLE[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(sdf.columns) == sorted(ocols)
     assert _rows(sdf.columns, srows) == _rows(ocols, cur.fetchall())
