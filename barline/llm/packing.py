@@ -109,13 +109,17 @@ def chunks(plan: list, source, start: int, stop: int):
     for phase, rests in plan:
         if source in phase.share:
             base = phase.sent[source]
-            end = base + phase.out(source, phase.rounds)
+            end = min(stop, base + phase.out(source, phase.rounds))
             at = max(start, base)
-            while at < min(stop, end):
-                first, n, position = phase.starts(phase.round_of(source, at - base))[source]
-                upto = min(stop, base + first + n)
-                yield at, upto - at, position + at - base - first
-                at = upto
+            r = phase.round_of(source, at - base) if at < end else 0
+            while at < end:
+                first, n, position = phase.starts(r)[source]
+                first += base
+                upto = min(end, first + n)
+                if upto > at:
+                    yield at, upto - at, position + at - first
+                    at = upto
+                r += 1
         if source in rests:
             first, n, position = rests[source]
             a, z = max(start, first), min(stop, first + n)
@@ -187,29 +191,43 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, target
     plan, total = schedule(totals, wanted, window), sum(totals.values())
     kind = rows.schema["doc_id"].dataType.simpleString()
 
+    whole_windows = total // window * window
+
     def cut(batches):
         width = tokenizer(path).width
         for batch in batches:
             cols = [batch.column(x).to_pylist() for x in ("source", "n", "first", "base")]
-            ids = batch.column("ids")
-            out: list[tuple] = []
+            ids, last = batch.column("ids"), batch.num_rows - 1
+            out: list[list[int]] = [[] for _ in range(6)]  # row, start, length, crc, sequence, offset
+            kept: list[np.ndarray] = []
+            row, at_, length, crc, sequence, offset_ = (x.append for x in out)
             for i, (source, n, first, base) in enumerate(zip(*cols, strict=True)):
-                at = first + base
+                start = first + base
                 whole = np.frombuffer(ids[i].as_py(), f"<u{width}").astype("<u4")
                 raw = memoryview(whole).cast("B")
-                for place, size, position in chunks(plan, (source is not None, source or ""), at, at + n):
-                    for part, k, offset in sequences(position, size, total, window):
-                        a = place - at
-                        piece = raw[4 * a:4 * (a + part)]
-                        out.append((i, a, part, zlib.crc32(piece), n, k, offset, source, whole[a:a + part].tolist() if keep_ids else None))
-                        place += part
-                if len(out) > 20_000 or i + 1 == len(ids):
-                    if out:
-                        index, *rest = zip(*out)
-                        kinds = [pa.int64()] * 6 + [pa.string()]
-                        arrays = [pa.array(c, k) for c, k in zip(rest[:7], kinds, strict=True)] + ([pa.array(rest[7], pa.list_(pa.int32()))] if keep_ids else [])
-                        yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(index)), *arrays], names)
-                    out = []
+                for place, size, position in chunks(plan, (source is not None, source or ""), start, start + n):
+                    a = place - start
+                    k, offset = divmod(position, window)
+                    if offset + size <= window and position < whole_windows:
+                        parts = ((size, k, offset),)
+                    else:
+                        parts = sequences(position, size, total, window)
+                    for part, k, offset in parts:
+                        row(i)
+                        at_(a)
+                        length(part)
+                        crc(zlib.crc32(raw[4 * a:4 * (a + part)]))
+                        sequence(k)
+                        offset_(offset)
+                        if keep_ids:
+                            kept.append(whole[a:a + part].astype(np.int32))
+                        a += part
+                if out[0] and (len(out[0]) > 20_000 or i == last):
+                    index, *found = (pa.array(np.array(x, np.int64)) for x in out)
+                    arrays = [batch.column("doc_id").take(index), *found[:3], batch.column("n").take(index), *found[3:], batch.column("source").take(index)]
+                    yield pa.RecordBatch.from_arrays(arrays + ([pa.array(kept, pa.list_(pa.int32()))] if keep_ids else []), names)
+                    for x in (*out, kept):
+                        x.clear()
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"] + ["ids"] * keep_ids
     schema = (f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long, source string"

@@ -83,11 +83,18 @@ class WordTokenizer:
         return array.array(self.kind, ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        return self._packed([t.id for t in self.model.tokenize("".join(map(BYTE_CHARS.__getitem__, piece.encode())))])
+        if not piece.isascii() or not piece.isalnum():
+            piece = "".join(map(BYTE_CHARS.__getitem__, piece.encode()))
+        return self._packed([t.id for t in self.model.tokenize(piece)])
 
     def _chunk(self, chunk: str) -> bytes:
-        if max(chunk) < "ɐ" and not any(m in chunk for m in self.marks):
-            low = "".join(c.lower() for c in chunk) if not chunk.isascii() else chunk.lower()
+        if chunk.isascii():
+            if (low := chunk.lower()).isalpha():
+                return self.pieces[low]
+            plain = True
+        elif plain := max(chunk) < "ɐ":
+            low = "".join(map(str.lower, chunk))  # sign by sign, as the normalizer does
+        if plain and not any(m in chunk for m in self.marks):
             return b"".join(map(self.pieces.__getitem__, self.pattern.findall(low)))
         return self._packed(self.whole.encode(chunk, add_special_tokens=False).ids)
 
