@@ -249,12 +249,16 @@ def _heavy_single(df: DataFrame, wide, size: int) -> DataFrame:
             at = np.arange(runs.sum()) + np.repeat(b.first[hit] - (np.cumsum(runs) - runs), runs)
             doc = np.repeat(b.doc[hit], runs)
             values = BYTE_VALUES[b.bytes]
-            cols = [*(pa.array(grams(values, size, base)[at].view(np.int64)) for base in (1, 2)),
-                    *(pa.array(np.asarray(batch.column(x))[doc]) for x in ("key", "key2")), pa.array(at - b.offsets[doc])]
-            yield pa.RecordBatch.from_arrays(cols, ["h1", "h2", "key", "key2", "start"])
-
-    return (df.mapInArrow(emit, "h1 long, h2 long, key long, key2 long, start long").groupBy("h1", "h2")
-            .agg(F.count("*").alias("n"), *[F.max(c).alias(c) for c in ("key", "key2", "start")])
+            h1, h2 = (grams(values, size, base)[at].view(np.int64) for base in (1, 2))
+            order = np.lexsort((h2, h1))  # equal windows of the batch become one row with their number
+            new = np.flatnonzero(np.concatenate([[True], (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0)]))
+            one = order[new]
+            cols = [h1[one], h2[one], np.diff(np.concatenate([new, [len(order)]])),
+                    *(np.asarray(batch.column(x))[doc[one]] for x in ("key", "key2")), (at - b.offsets[doc])[one]]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, cols)], ["h1", "h2", "n", "key", "key2", "start"])
+
+    return (df.mapInArrow(emit, "h1 long, h2 long, n long, key long, key2 long, start long").groupBy("h1", "h2")
+            .agg(F.sum("n").alias("n"), *[F.max(c).alias(c) for c in ("key", "key2", "start")])
             .filter("n = 1").select("key", "key2", "start", F.lit(1).cast("long").alias("run")))
 
 
@@ -268,7 +272,7 @@ def _prepared(docs: DataFrame, size: int, id_col: str, text_col: str, max_width_
 
 
 def remove_repeats(docs: DataFrame, size: int = 200, id_col: str = "doc_id", text_col: str = "text",
-                   max_width_bits: int = 28, heavy_at: int = 2_000, keep_text: bool = False,
+                   max_width_bits: int = 28, heavy_at: int = 20_000, keep_text: bool = False,
                    extra: list[str] | None = None) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256,
     and with ``keep_text`` also kept_text, in which a character goes if any of
