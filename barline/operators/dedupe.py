@@ -30,15 +30,22 @@ def new_rows(batch: DataFrame, target: DataFrame | None,
         return first
     tgt = target
     if prune_on:
-        # Two scalar subqueries over the raw batch (partial aggregation, one
-        # value each) become a range filter on the target's partition column,
-        # so only the batch's partitions are read (all are listed).
-        lo = batch.agg(F.min(prune_on)).scalar()
-        hi = batch.agg(F.max(prune_on)).scalar()
-        tgt = tgt.filter((F.col(prune_on) >= lo) & (F.col(prune_on) <= hi))
+        tgt = in_batch_range(tgt, batch, prune_on)
     return anti_join(first, tgt, key)
 
 
+def in_batch_range(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """The target's rows inside the batch's value range of ``column``, and those without a value.
+
+    Two scalar subqueries over the raw batch (partial aggregation, one value
+    each) become a range filter: on a partition column only the batch's
+    partitions are read (all are listed), on another one Parquet statistics
+    skip row groups."""
+    lo = batch.agg(F.min(column)).scalar()
+    hi = batch.agg(F.max(column)).scalar()
+    return target.filter(F.col(column).isNull() | ((F.col(column) >= lo) & (F.col(column) <= hi)))
+
+
 def anti_join(batch: DataFrame, target: DataFrame, key: Sequence[str] = CANDLE_KEY) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target``; NULLs of a key are equal."""
     known = target.select(*[F.col(c).alias(f"_known_{c}") for c in key])

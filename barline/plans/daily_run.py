@@ -24,14 +24,19 @@ from barline.plans.monitoring import table_counts
 from barline.plans.quality import TableChecks, check_report, run_passed
 from barline.plans.runlog import current_runs, single_event
 from barline.functions.signals import BAND_POSITIONS, RSI_SIGNALS
+from barline.sources.tables import by_partition
 
 
 def _write(df: DataFrame, path: str, name: str, partition_by: Sequence[str] = (),
            sort_by: Sequence[str] = ()) -> int:
+    """Replace the whole table at ``path``, whatever the session's overwrite mode."""
     obs = Observation(name)
+    if partition_by:
+        df = by_partition(df, partition_by)
     if sort_by:   # clustered files: row-group min/max statistics then prune reads
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -46,6 +51,7 @@ def daily_run(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str,
               clock=lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) -> DataFrame:
     """Run every stage over ``raw``; returns ``(table_name, row_count)`` of the outputs.
 
+    ``raw`` is the whole raw table, not an increment: every output is replaced.
     With ``fail_on_checks`` a failed data-quality check fails the run (it is
     recorded as ``failed`` with the number of failed checks); otherwise the
     check report is written and the run succeeds.

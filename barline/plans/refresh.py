@@ -9,7 +9,10 @@ the candle table (dynamic partition overwrite). The result equals a full
 recomputation.
 
 The touched-date set has at most one row per calendar day: a size bounded by
-the calendar, not by data volume, so it is broadcast into a semi-join.
+the calendar, not by data volume; AQE broadcasts it into the semi-join if it
+measures small. With ``partition_column`` (the column of raw that holds the
+candle date and that its files are partitioned by) that broadcast also prunes
+raw's partitions, so a refresh reads whole only the touched dates.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barline.operators.candles import DEFAULT_ORDER, candles
+from barline.sources.tables import write_table
 
 PARTITION = "candle_date"
 
@@ -28,25 +32,36 @@ def _candle_date() -> Column:
     return F.to_date(F.timestamp_millis("timestamp_ms"))
 
 
-def touched_dates(raw: DataFrame, since: Column | None) -> DataFrame:
+def _dated(partition_column: str | None) -> Column:
+    return F.col(partition_column) if partition_column else _candle_date()
+
+
+def touched_dates(raw: DataFrame, since: Column | None, partition_column: str | None = None) -> DataFrame:
     """Distinct candle dates of the rows ingested after ``since`` (all if None)."""
     new = raw if since is None else raw.filter(F.col("ingested_at") > since)
-    return new.select(_candle_date().alias(PARTITION)).distinct()
+    return new.select(_dated(partition_column).alias(PARTITION)).distinct()
+
+
+def touched_rows(raw: DataFrame, since: Column | None, partition_column: str | None = None) -> DataFrame:
+    """All rows of ``raw`` on the touched dates."""
+    dates = touched_dates(raw, since, partition_column).withColumnRenamed(PARTITION, "_touched")
+    return raw.join(dates, _dated(partition_column) == F.col("_touched"), "left_semi")
 
 
 def refresh_candles(raw: DataFrame, table_path: str, bucket: str = "day",
                     since: Column | None = None, order_by: Sequence[str] = DEFAULT_ORDER,
-                    order_bits: Mapping[str, int] | None = None) -> None:
+                    order_bits: Mapping[str, int] | None = None,
+                    partition_column: str | None = None) -> None:
     """Recompute the ``bucket`` candles of the dates touched since ``since`` and
-    overwrite only those date partitions of ``table_path``."""
-    dates = touched_dates(raw, since)
-    rows = raw.withColumn(PARTITION, _candle_date()).join(
-        dates, PARTITION, "left_semi")   # AQE broadcasts the dates if they measure small
-    out = candles(rows.drop(PARTITION), bucket, order_by, order_bits=order_bits)
+    overwrite only those date partitions of ``table_path``.
+
+    ``since`` compares ``ingested_at``: rows committed late under an earlier
+    ``ingested_at`` are missed, so pass a time before the last run's start.
+    """
+    out = candles(touched_rows(raw, since, partition_column), bucket, order_by, order_bits=order_bits)
     bcol = "date" if bucket == "day" else "hour_start"
     out = out.withColumn(PARTITION, F.to_date(F.col(bcol)))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PARTITION).parquet(table_path))
+    write_table(out, table_path, mode="overwrite", partition_by=[PARTITION])
 
 
 def read_candles(spark, table_path: str) -> DataFrame:

@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import StreamingQueryException
 
 from barline.functions import series as SR
 from barline.functions.signals import BAND_POSITIONS, RSI_SIGNALS, run_status_code
@@ -707,14 +708,20 @@ def t02(spark, sf):
 @query("t03_failed_flush_restart")
 def t03(spark, sf):
     src = message_files(spark, sf)
-    ck, staging, dlq, base = _ingest_paths(spark, "t03")
-    marker = f"{base}-failed-once"
+    ck, staging, dlq, _ = _ingest_paths(spark, "t03")
+
+    def fail_in_second(batch_id: int) -> None:
+        if batch_id == 1:
+            raise RuntimeError("injected failure")
     opts = {"maxFilesPerTrigger": "1"}
     try:
         ING.drain(spark, src, ck, staging, dlq, source_options=opts, ingested_at="timestamp",
-                  fail_on_batch=1, failure_marker=marker)
-    except Exception:  # noqa: BLE001 - the injected failure stops the query
-        pass
+                  before_batch=fail_in_second)
+    except StreamingQueryException as exc:
+        if "injected failure" not in str(exc):
+            raise
+    else:
+        raise RuntimeError("the injected failure did not stop the query")
     ING.drain(spark, src, ck, staging, dlq, source_options=opts, ingested_at="timestamp")
     return rounded(spark.read.parquet(staging).select(*STAGED_OUT))
 

@@ -39,6 +39,13 @@ def read_table(spark: SparkSession, source: str, format: str = "parquet",  # noq
     return df
 
 
+def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` shuffled by its partition columns, so that the files of a partition
+    do not grow with the number of tasks that made its rows; AQE splits a large
+    partition over several tasks and puts small ones together."""
+    return df.hint("rebalance", *columns)
+
+
 def write_table(df: DataFrame, target: str, format: str = "parquet",  # noqa: A002
                 mode: str = "append", options: Mapping[str, str] | None = None,
                 partition_by: Sequence[str] | None = None) -> None:
@@ -49,6 +56,8 @@ def write_table(df: DataFrame, target: str, format: str = "parquet",  # noqa: A0
     makes a re-run of one day's job idempotent. For ``jdbc`` the target
     is the table name.
     """
+    if partition_by:
+        df = by_partition(df, partition_by)
     w = df.write.format(format).mode(mode).options(**dict(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)

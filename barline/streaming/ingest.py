@@ -9,7 +9,8 @@ One Structured Streaming query (T01): ``readStream`` of the message envelope
    dedupe inside the batch, anti-join against the table, pruned to the
    batch's date partitions), and
 4. appends the rejects to the dead-letter table (S06), again anti-joined on
-   ``(topic, partition, offset)``.
+   ``(topic, partition, offset)``; of that table only row groups that reach
+   into the batch's offsets are read.
 
 Offsets are committed by the checkpoint only after ``foreachBatch`` returns,
 so a failed batch is re-run after restart (T03) and a replayed batch adds
@@ -21,15 +22,16 @@ processing-time trigger the continuous consumer; the source's own option
 
 from __future__ import annotations
 
-import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from barline.operators.dedupe import anti_join, new_rows
+from barline.operators.dedupe import anti_join, in_batch_range, new_rows
 from barline.schemas import CANDLE_KEY, MESSAGE_ENVELOPE
 from barline.sources.messages import dead_letters, message_id, parse_messages, to_raw_rows, valid_records
+from barline.sources.tables import write_table
 
 PARTITION_COLUMN = "candle_date"
 DLQ_KEY = ("topic", "partition", "offset")
@@ -39,10 +41,6 @@ BATCH_RECORDS = 500
 FLUSH_INTERVAL = "5 seconds"
 
 
-class InjectedFailure(RuntimeError):
-    """Raised by the failure hook of the tests."""
-
-
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -70,11 +68,11 @@ def ingest_batch(batch: DataFrame, staging_path: str, dlq_path: str,
         target = _existing(spark, staging_path)
         fresh = new_rows(rows, target, CANDLE_KEY, ("timestamp_ms", "id"),
                          prune_on=PARTITION_COLUMN if target is not None else None)
-        (fresh.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(staging_path))
+        write_table(fresh, staging_path, partition_by=[PARTITION_COLUMN])
         rejects = dead_letters(parsed, DLQ_KEY)
         old = _existing(spark, dlq_path)
         if old is not None:
-            rejects = anti_join(rejects, old, DLQ_KEY)
+            rejects = anti_join(rejects, in_batch_range(old, parsed, "offset"), DLQ_KEY)
         rejects.write.mode("append").parquet(dlq_path)
     finally:
         parsed.unpersist()
@@ -83,14 +81,13 @@ def ingest_batch(batch: DataFrame, staging_path: str, dlq_path: str,
 def start_ingest(spark: SparkSession, source: str, checkpoint: str, staging_path: str,
                  dlq_path: str, source_format: str = "parquet",
                  source_options: dict | None = None, trigger: str = "availableNow",
-                 ingested_at: str | None = None, fail_on_batch: int | None = None,
-                 failure_marker: str | None = None):
+                 ingested_at: str | None = None, before_batch: Callable[[int], None] | None = None):
     """Start the ingest query (T01/T02). ``source`` is a path for file formats,
     ignored for ``kafka`` (give ``subscribe``/``kafka.bootstrap.servers`` and
     ``startingOffsets=earliest`` in ``source_options``).
 
-    ``fail_on_batch`` raises once in that batch (the marker file records that
-    the failure happened) to exercise the restart path (T03).
+    ``before_batch`` is called on the driver with each batch's id; an error it
+    raises stops the query before the batch is written, as any failed batch does.
     """
     reader = spark.readStream.format(source_format).options(**dict(source_options or {}))
     if source_format != "kafka":
@@ -100,10 +97,8 @@ def start_ingest(spark: SparkSession, source: str, checkpoint: str, staging_path
         stream = reader.load()
 
     def run_batch(df: DataFrame, batch_id: int) -> None:
-        if fail_on_batch is not None and batch_id == fail_on_batch and failure_marker \
-                and not os.path.exists(failure_marker):
-            open(failure_marker, "w").close()
-            raise InjectedFailure(f"injected failure in batch {batch_id}")
+        if before_batch is not None:
+            before_batch(batch_id)
         ingest_batch(df, staging_path, dlq_path, ingested_at)
 
     w = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)

@@ -61,3 +61,18 @@ def test_failed_checks_fail_the_run_when_asked(spark):
     assert events[0]["status"] == "failed" and "1 data-quality checks failed" in events[0]["error_message"]
     ok = work_path(spark, "run-checks-off")
     assert daily_run(spark, dup, ok, "r-ok", clock=lambda: t).count() == 5
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_second_run_leaves_no_stale_rows(spark, mode):
+    t = dt.datetime(2024, 3, 1)
+    out, before = work_path(spark, "run-twice"), spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        for run, ms in (("r-1", 1704067200000), ("r-2", 1709251200000)):   # one row in January, then one in March
+            raw = spark.createDataFrame([(1, "A", "x", ms, 1.0, 1.0, 1.0, 1.0, 1.0, t)], COLS)
+            counts = {r["table_name"]: r["row_count"] for r in daily_run(spark, raw, out, run, clock=lambda: t).collect()}
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    ends = spark.read.parquet(f"{out}/pipeline_runs").filter("status = 'success' AND run_id = 'r-2'").collect()
+    assert counts["raw_ohlcv"] == 1 and [e["rows_processed"] for e in ends] == [1]

@@ -1,4 +1,10 @@
-from barline.plans.registry import QUERIES
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from barline.operators.dedupe import in_batch_range
+from barline.plans.registry import QUERIES, message_files
+from barline.session import work_path
+from barline.streaming.ingest import drain
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,3 +37,27 @@ def test_continuous_consumer_on_file_source(spark):
     once = QUERIES["s04_micro_batch_ingest"](spark, SF)
     got = spark.read.parquet(f"{base}/staging").select(*once.columns)
     assert got.count() == once.count() > 0
+
+
+def test_failed_batch_leaves_staging_incomplete_until_restart(spark):
+    src, base = message_files(spark, SF), work_path(spark, "restart")
+
+    def fail_in_second(batch_id):
+        if batch_id == 1:
+            raise RuntimeError("injected failure")
+    args = (spark, src, f"{base}/ck", f"{base}/staging", f"{base}/dlq")
+    kw = dict(source_options={"maxFilesPerTrigger": "1"}, ingested_at="timestamp")
+    with pytest.raises(StreamingQueryException, match="injected failure"):
+        drain(*args, **kw, before_batch=fail_in_second)
+    partial = spark.read.parquet(f"{base}/staging").count()
+    drain(*args, **kw)
+    whole = spark.read.parquet(f"{base}/staging").count()
+    assert 0 < partial < whole == QUERIES["s04_micro_batch_ingest"](spark, SF).count()
+
+
+def test_dead_letters_are_read_by_offset_range(spark):
+    path = work_path(spark, "range")
+    spark.range(100).selectExpr("id AS offset").union(spark.sql("SELECT CAST(NULL AS BIGINT)")).write.parquet(path)
+    batch = spark.createDataFrame([(10,), (12,)], "offset long")
+    kept = in_batch_range(spark.read.parquet(path), batch, "offset")
+    assert sorted(r[0] for r in kept.collect() if r[0] is not None) == [10, 11, 12] and kept.count() == 4

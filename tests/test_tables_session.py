@@ -36,3 +36,12 @@ def test_stored_round_trip(spark):
     df = raw_l(spark, SF)
     s = stored(df, "t-stored")
     assert s.count() == df.count() and s.columns == df.columns
+
+
+def test_files_of_a_partition_do_not_grow_with_tasks(spark):
+    df = raw_e(spark, SF).withColumn("d", F.to_date("ingested_at"))
+    for tasks in (2, 24):
+        path = work_path(spark, "t-files")
+        write_table(df.repartition(tasks), path, partition_by=["d"])
+        files = spark.read.parquet(path).select("d", F.input_file_name().alias("f")).distinct()
+        assert files.count() == df.select("d").distinct().count()
