@@ -5,25 +5,28 @@
 
 Unrolled, ``y_t = sum_j w_j r^(t-j)`` with ``w_0 = x_0`` and ``w_j = a*x_j``. A
 plain running sum of ``w_j r^-j`` overflows, so each series is cut into blocks
-of ``B`` rows with ``r^-B <= e^40``:
+of ``B`` rows with ``r^-B <= e^500``:
 
 1. inside block ``c`` (rows ``k = 0..B-1``) a running sum over the window
-   ``(series, c)`` gives ``s_k = r^k * sum_(j<=k) w_j r^-j`` -- the EMA of the
-   block alone, all terms bounded;
+   ``(series, c)`` gives ``s_k = r^k * sum_(j<=k) w_j r^-j``, the EMA of the
+   block alone;
 2. the EMA entering block ``c`` is ``carry_c = sum_(m>=1) R^(m-1) s_end(c-m)``
-   with ``R = r^B <= e^-40``: a fold over the previous block ends (the
-   running value at ``k = B-1``). Terms with
-   ``R^m < 2^-1074`` are below the smallest double, so the fold reads only the
-   last ``K = ceil(1074 ln2 / 40) = 19`` block ends and is exact in double
-   precision. Each block end is sent to the next K block ids and grouped by
-   ``(series, block)``: groups of at most K values, no per-series window;
-3. ``y = s_k + r^(k+1) * carry_c``, joined back on ``(series, c)``.
-
-Apart from the row index (a whole-series ``row_number``, or the split-series
-position with ``position_block``) no step holds a series: blocks hold ``B``
-rows, carry groups ``K`` values, and the join back lets AQE broadcast the
-block table when its measured size is small. ``x`` must be non-NULL (closes
-are NOT NULL).
+   with ``R = r^B``, over the last ``K`` block ends (the running value at
+   ``k = B-1``). ``R^K < 2^-1074``: older terms weigh less than the smallest
+   double;
+3. ``y = s_k + r^(k+1) * carry_c``.
+
+Spans share one block size as long as their decay rates lie within a factor
+``RATE_RATIO`` of each other, which keeps ``K <= 8``; others get a group of
+their own. The rule depends on the spans alone.
+
+A series in one task (``position_block=None``) takes the ends from RANGE frames
+over ``c``: one exchange on the series key, no join, and a filter on that key
+reaches the scan. With a split position no step holds a series: blocks hold
+``B`` rows, each group sends its ends to the next ``K`` blocks, where they are
+grouped by ``(series, block)`` and joined back once for all its spans.
+
+``x`` must be non-NULL and finite (closes are NOT NULL), below 1e90.
 """
 
 from __future__ import annotations
@@ -31,35 +34,39 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-LOG_BOUND = 40.0          # r^-B <= e^40 inside a block
+LOG_BOUND = 500.0         # r^-B <= e^500 inside a block
+RATE_RATIO = 5.0          # greatest ratio of decay rates that share a block size
 SMALLEST_DOUBLE_LOG = 1074 * math.log(2.0)
 
 
-def ema_plan(span: int) -> tuple[float, float, int, int]:
-    """(alpha, r, block size B, block-end fold length K) for a span."""
+def decay(span: int) -> tuple[float, float]:
+    """(alpha, r) of a span."""
     if span < 1:
         raise ValueError("span must be >= 1")
     alpha = 2.0 / (span + 1.0)
-    r = 1.0 - alpha
-    if r <= 0.0:
-        return alpha, r, 1, 1
-    block = max(1, int(LOG_BOUND // -math.log(r)))
-    decay = block * -math.log(r)
-    k = max(1, math.ceil(SMALLEST_DOUBLE_LOG / decay))
-    return alpha, r, block, k
-
-
-def _decay_step(big_r: float):
-    def step(acc, v):
-        return acc * F.lit(big_r) + v
-    return step
-
-
-def _cols(x) -> list[str]:
+    return alpha, 1.0 - alpha
+
+
+def block_plan(spans: Sequence[int]) -> list[tuple[int, dict[int, int]]]:
+    """``(block size B, {span: K})`` for each group of spans; span 1 needs none."""
+    rates = sorted({(-math.log(decay(n)[1]), n) for n in spans if n > 1}, reverse=True)
+    groups: list[list[tuple[float, int]]] = []
+    for rate, n in rates:
+        if groups and groups[-1][0][0] <= RATE_RATIO * rate:
+            groups[-1].append((rate, n))
+        else:
+            groups.append([(rate, n)])
+    plan = []
+    for group in groups:
+        block = int(LOG_BOUND // group[0][0])
+        plan.append((block, {n: math.ceil(SMALLEST_DOUBLE_LOG / (block * rate)) for rate, n in group}))
+    return plan
+
+
+def _names(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
@@ -78,86 +85,86 @@ def with_emas(df: DataFrame, column: str, spans: Sequence[int],
               position: str | None = None) -> DataFrame:
     """Add one EMA column per span (default names ``ema_<span>``).
 
-    The spans share one row index; each span's block-end branch reads only
-    that shared base, so adding a span adds one join, not a nested copy of
-    the previous spans' plans. With ``position_block`` (a coarse time bucket
-    such as the day) the row index comes from
-    :func:`barline.operators.series_blocks.with_series_position` instead of a
-    whole-series ``row_number``, and no step holds a whole series: use it for
-    intraday or hot series.
+    With ``position_block`` (a coarse time bucket such as the day) the row index
+    comes from :func:`barline.operators.series_blocks.with_series_position`
+    instead of a whole-series ``row_number``, and no step holds a whole series:
+    use it for intraday or hot series. ``position`` names an existing 0-based
+    index and takes the split form too; then ``df`` should be a stored table,
+    as the block ends read it again.
     """
     outs = list(outs) if outs else [f"ema_{n}" for n in spans]
-    pb, ob = _cols(partition_by), _cols(order_by)
-    x = F.col(column).cast("double")
+    pb, ob = _names(partition_by), _names(order_by)
     i = "_ema_i"
-    if position is not None:        # an existing 0-based series position column
-        base = df.withColumn(i, F.col(position))
-    elif position_block is None:
-        base = df.withColumn(i, F.row_number().over(Window.partitionBy(*pb).orderBy(*ob)) - 1)
-    else:
+    split = position is not None or position_block is not None
+    if position is not None:
+        rows = df.withColumn(i, F.col(position))
+    elif split:
         from barline.operators.series_blocks import with_series_position
-        base = with_series_position(df, pb, ob, position_block, i)
-    plans = []
-    for span, out in zip(spans, outs):
-        alpha, r, block, fold = ema_plan(span)
-        if r <= 0.0:
-            plans.append((out, None))
-            continue
-        tag = f"_e{span}"
-        c, k, s = f"{tag}_c", f"{tag}_k", f"{tag}_s"
-        base = base.withColumn(c, F.floor(F.col(i) / block)).withColumn(k, F.col(i) % block)
+        rows = with_series_position(df, pb, ob, position_block, i)
+    else:
+        rows = df.withColumn(i, (F.row_number().over(Window.partitionBy(*pb).orderBy(*ob)) - 1).cast("long"))
+    x = F.col(column).cast("double")
+    value = {1: x}
+    for g, (block, folds) in enumerate(block_plan(spans)):
+        rows = _local_emas(rows, x, pb, i, g, block, folds)
+        rows = (_joined_carries if split else _window_carries)(rows, pb, g, block, folds)
+        step = F.col(f"_ema_k{g}").cast("double") + 1
+        for n in folds:
+            carry = F.coalesce(F.col(f"_ema_carry{n}"), F.lit(0.0))
+            value[n] = F.col(f"_ema_s{n}") + F.pow(F.lit(decay(n)[1]), step) * carry
+    return rows.select(*df.columns, *[value[n].alias(out) for n, out in zip(spans, outs)])
+
+
+def _local_emas(rows: DataFrame, x: Column, pb: list[str], i: str, g: int, block: int,
+                folds: dict[int, int]) -> DataFrame:
+    """Add block ``_ema_c``, row in block ``_ema_k`` and each span's EMA of the block alone."""
+    c, k = f"_ema_c{g}", f"_ema_k{g}"
+    rows = rows.withColumn(c, F.floor(F.col(i) / block)).withColumn(k, F.col(i) % block)
+    so_far = (Window.partitionBy(*pb, c).orderBy(k)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    at = F.col(k).cast("double")
+    local = []
+    for n in folds:
+        alpha, r = decay(n)
         w = F.when(F.col(i) == 0, x).otherwise(F.lit(alpha) * x)
-        kk = F.col(k).cast("double")
-        in_block = (Window.partitionBy(*pb, c).orderBy(k)
-                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        base = base.withColumn(s, F.pow(F.lit(r), kk) * F.sum(w * F.pow(F.lit(r), -kk)).over(in_block))
-        plans.append((out, (tag, alpha, r, block, fold)))
-
-    out_df = base
-    for out, plan in plans:
-        if plan is None:
-            out_df = out_df.withColumn(out, x)
-            continue
-        tag, alpha, r, block, fold = plan
-        c, k, s, carry = f"{tag}_c", f"{tag}_k", f"{tag}_s", f"{tag}_carry"
-        # Block ends -> the EMA entering the next block (fold of the last K ends).
-        # The end of a block is its running value at k = B-1: computed in order
-        # inside one window partition, so it is deterministic (a grouped float
-        # sum would depend on the order partial sums arrive in).
-        ends = base.filter(F.col(k) == block - 1).select(*pb, c, s)
-        # Each block end is sent to the next ``fold`` blocks; a block's carry is
-        # the fold over the (at most ``fold``) ends it received, oldest first.
-        # Groups are (series, block): bounded, and spread over all tasks.
-        sent = ends.select(*pb, s, F.explode(F.sequence(F.col(c) + 1, F.col(c) + fold)).alias("_to"),
-                           F.col(c).alias("_from"))
-        got = sent.groupBy(*pb, "_to").agg(
-            F.array_sort(F.collect_list(F.struct("_from", s))).alias("_ends"))
-        carries = got.select(*pb, F.col("_to").alias(c), F.aggregate(
-            F.transform("_ends", lambda e: e[s]), F.lit(0.0), _decay_step(r ** block)).alias(carry))
-        # Null-safe on the series key: a NULL symbol is still one series.
-        cond = [out_df[p].eqNullSafe(carries[p]) for p in pb] + [out_df[c] == carries[c]]
-        out_df = out_df.join(carries, cond, "left").select(out_df["*"], carries[carry])
-        kk = F.col(k).cast("double")
-        y = F.col(s) + F.pow(F.lit(r), kk + 1) * F.coalesce(F.col(carry), F.lit(0.0))
-        out_df = out_df.withColumn(out, y)
-    return out_df.select(*df.columns, *outs)
-
-
-def with_ema_pandas(df: DataFrame, column: str, span: int, out: str | None = None,
-                    partition_by: str | Sequence[str] = "symbol",
-                    order_by: str | Sequence[str] = "date") -> DataFrame:
-    """The same EMA by ``groupBy().applyInPandas`` with pandas ``ewm``.
-
-    One pandas frame per series: use it only as a test oracle or on series
-    known to be small.
-    """
-    out = out or f"ema_{span}"
-    pb, ob = _cols(partition_by), _cols(order_by)
-    schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.DoubleType())])
-
-    def per_series(pdf):
-        pdf = pdf.sort_values(ob, kind="mergesort")
-        pdf[out] = pdf[column].astype("float64").ewm(span=span, adjust=False).mean()
-        return pdf
-
-    return df.groupBy(*pb).applyInPandas(per_series, schema)
+        local.append((F.pow(F.lit(r), at) * F.sum(w * F.pow(F.lit(r), -at)).over(so_far)).alias(f"_ema_s{n}"))
+    return rows.select("*", *local)
+
+
+def _window_carries(rows: DataFrame, pb: list[str], g: int, block: int, folds: dict[int, int]) -> DataFrame:
+    """Add each span's carry from RANGE frames that hold one earlier block each."""
+    c, k = f"_ema_c{g}", f"_ema_k{g}"
+    by_block = Window.partitionBy(*pb).orderBy(c)
+    ends, carries = [], []
+    for n, fold in folds.items():
+        is_end = F.when(F.col(k) == block - 1, F.col(f"_ema_s{n}"))
+        carry = F.lit(0.0)
+        for m in range(fold, 0, -1):
+            end = f"_ema_end{n}_{m}"
+            ends.append(F.max(is_end).over(by_block.rangeBetween(-m, -m)).alias(end))
+            carry = carry * F.lit(decay(n)[1] ** block) + F.coalesce(F.col(end), F.lit(0.0))
+        carries.append(carry.alias(f"_ema_carry{n}"))
+    return rows.select("*", *ends).select(*rows.columns, *carries)
+
+
+def _joined_carries(rows: DataFrame, pb: list[str], g: int, block: int, folds: dict[int, int]) -> DataFrame:
+    """Add each span's carry by sending block ends to the blocks that follow."""
+    c, k = f"_ema_c{g}", f"_ema_k{g}"
+    reach = max(folds.values())
+    sent = (rows.filter(F.col(k) == block - 1)
+            .select(*pb, F.col(c).alias("_from"), *[f"_ema_s{n}" for n in folds],
+                    F.explode(F.sequence(F.col(c) + 1, F.col(c) + reach)).alias("_to")))
+    # At most one end a distance, so max() only picks it: the sum runs in one fixed order.
+    got = sent.groupBy(*pb, "_to").agg(*[
+        F.max(F.when(F.col("_to") - F.col("_from") == m, F.col(f"_ema_s{n}"))).alias(f"_ema_end{n}_{m}")
+        for n, fold in folds.items() for m in range(1, fold + 1)])
+    carries = []
+    for n, fold in folds.items():
+        carry = F.lit(0.0)
+        for m in range(fold, 0, -1):
+            carry = carry * F.lit(decay(n)[1] ** block) + F.coalesce(F.col(f"_ema_end{n}_{m}"), F.lit(0.0))
+        carries.append(carry.alias(f"_ema_carry{n}"))
+    got = got.select(*[F.col(p).alias(f"_ema_to_{p}") for p in pb], "_to", *carries)
+    # Null-safe on the series key: a NULL symbol is still one series.
+    same = [F.col(p).eqNullSafe(F.col(f"_ema_to_{p}")) for p in pb] + [F.col(c) == F.col("_to")]
+    return rows.join(got, same, "left").select(*rows.columns, *[f"_ema_carry{n}" for n in folds])

@@ -724,11 +724,3 @@ def t03(spark, sf):
         raise RuntimeError("the injected failure did not stop the query")
     ING.drain(spark, src, ck, staging, dlq, source_options=opts, ingested_at="timestamp")
     return rounded(spark.read.parquet(staging).select(*STAGED_OUT))
-
-
-@query("u01_ema_apply_in_pandas")
-def u01(spark, sf):
-    """The grouped-map pandas EMA (one pandas frame per series)."""
-    from barline.operators.ema import with_ema_pandas
-    d = daily_l(spark, sf).select("symbol", "date", "close")
-    return rounded(with_ema_pandas(with_ema_pandas(d, "close", 12), "close", 26))

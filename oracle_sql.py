@@ -442,7 +442,6 @@ ORACLE["s11_historical_load"] = q(["b AS (SELECT *, row_number() OVER (PARTITION
                                   f"SELECT {RAW_OUT} FROM raw_e UNION ALL SELECT {RAW_OUT} FROM b WHERE rn = 1", RAW_DBL)
 ORACLE["s12_array_to_record"] = q([], """SELECT symbol, exchange, '1m' AS timeframe, timestamp_ms, open, high, low,
   close, volume, '2024-02-01T00:00:00+00:00' AS fetched_at FROM raw_e""", RAW_DBL)
-ORACLE["u01_ema_apply_in_pandas"] = ORACLE["w05_ema"]
 ORACLE["f01_f06_time_functions"] = q([], f"""SELECT id, timestamp_ms, epoch_ms(timestamp_ms) AS ts_exact,
   {CT} AS ts_seconds, date_trunc('hour', epoch_ms(timestamp_ms)) AS hour_start,
   CAST(epoch_ms(timestamp_ms) AS DATE) AS date,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barline.operators import indicators as IND
-from barline.operators.ema import ema_plan, with_ema, with_ema_pandas
+from barline.operators.ema import block_plan, decay, with_ema, with_emas
 from barline.schemas import INDICATOR_COLUMNS
 
 
@@ -57,17 +57,55 @@ def test_ema_matches_pandas_ewm(spark, span):
     assert np.allclose(got[f"ema_{span}"].to_numpy(), want.to_numpy(), rtol=1e-11, atol=1e-11)
 
 
+def pandas_ema(df, span):
+    """U01, the oracle: the pandas EMA of each series by applyInPandas."""
+    def per_series(pdf):
+        pdf = pdf.sort_values("date", kind="mergesort")
+        return pdf.assign(ema=pdf["close"].astype("float64").ewm(span=span, adjust=False).mean())
+    return df.select("symbol", "date", "close").groupBy("symbol").applyInPandas(
+        per_series, "symbol string, date date, close double, ema double")
+
+
 def test_ema_native_equals_apply_in_pandas(twenty_days):
     a = with_ema(twenty_days, "close", 12).select("date", F.round("ema_12", 8).alias("e"))
-    b = with_ema_pandas(twenty_days, "close", 12).select("date", F.round("ema_12", 8).alias("e"))
+    b = pandas_ema(twenty_days, 12).select("date", F.round("ema", 8).alias("e"))
     assert a.exceptAll(b).count() == 0
 
 
-def test_ema_plan_bounds():
-    for span in (2, 12, 26, 200, 5000):
-        alpha, r, block, fold = ema_plan(span)
-        assert r ** -(block - 1) < np.exp(40.5)
-        assert (r ** block) ** fold < 2.0 ** -1000
+@pytest.mark.parametrize("spans", [[2], [12, 26], [1, 2, 12, 26, 200, 5000]])
+def test_block_plan_bounds(spans):
+    plan = block_plan(spans)
+    assert sorted(n for _, folds in plan for n in folds) == [n for n in spans if n > 1]
+    for block, folds in plan:
+        for n, fold in folds.items():
+            assert decay(n)[1] ** -(block - 1) < np.exp(500.5)
+            assert fold <= 8 and (decay(n)[1] ** block) ** fold < 2.0 ** -1000
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_ema_over_many_blocks_and_null_series(spark, split):
+    rng = np.random.default_rng(3)
+    n = 9000                                   # 20 blocks of span 2, 4 of spans 12 and 26
+    close = 1e6 + rng.standard_normal(n).cumsum()
+    df = spark.createDataFrame([(None, int(t), float(v)) for t, v in enumerate(close)],
+                               "symbol string, date long, close double")
+    got = with_emas(df, "close", [2, 12, 26], position_block=F.floor(F.col("date") / 500) if split else None)
+    got = got.toPandas().sort_values("date")
+    for span in (2, 12, 26):
+        want = pd.Series(close).ewm(span=span, adjust=False).mean()
+        assert np.allclose(got[f"ema_{span}"].to_numpy(), want.to_numpy(), rtol=1e-12, atol=0)
+
+
+def test_indicator_plan_is_one_exchange_and_prunes(spark, twenty_days, tmp_path, capsys):
+    path = str(tmp_path / "daily")
+    twenty_days.write.parquet(path)
+    ind = IND.compute_all_indicators(spark.read.parquet(path)).filter("symbol = 'X'")
+    ind.explain("formatted")
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning") + plan.count("\nArguments: hashpartitioning") == 1
+    assert "Join" not in plan and "EqualTo(symbol,X)" in plan
+    ind.select("date", "rsi_14").explain("formatted")
+    assert "_ema" not in capsys.readouterr().out
 
 
 def test_series_by_exchange(spark, twenty_days):
@@ -80,7 +118,6 @@ def test_series_by_exchange(spark, twenty_days):
 
 @pytest.mark.parametrize("span", [2, 26])
 def test_ema_split_series_position_matches_pandas(spark, span):
-    from barline.operators.ema import with_emas
     rng = np.random.default_rng(5)
     n = 4000
     pdf = pd.DataFrame({"symbol": ["HOT"] * n, "t": np.arange(n) * 7,
