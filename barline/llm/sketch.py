@@ -5,8 +5,8 @@ Each task sketches its own rows in pieces of bounded size; a piece is cut into
 use are sent. One row of the shuffle is one shard of one piece, so rows grow
 with the input alone; the merge adds counters shard by shard with one shard
 (4 MB at 29 bits) in memory. The merged sketch is reduced to a bit per
-counter (count of 2 or more) and sent to the driver and back as a broadcast:
-``depth * 2^width_bits / 8`` bytes, bounded by ``max_width_bits`` whatever the
+counter (count of 2 or more) and sent to the driver and back as a compressed
+broadcast: at most ``depth * 2^width_bits / 8`` bytes, bounded by ``max_width_bits`` whatever the
 input. A fuller sketch marks more hashes as repeated, never fewer: counters
 only overestimate, so a hash that occurs twice is always marked.
 """
@@ -83,6 +83,14 @@ class Sketch:
     def __init__(self, bits: int, planes: np.ndarray, heavy: list[np.ndarray]):
         self.bits, self.planes, self.heavy_cells = bits, planes, heavy
 
+    def __getstate__(self):
+        """Set bits are few, so the broadcast travels and lies on disk compressed."""
+        return self.bits, [zlib.compress(p.tobytes(), 1) for p in self.planes], self.heavy_cells
+
+    def __setstate__(self, state):
+        self.bits, packed, self.heavy_cells = state
+        self.planes = [np.frombuffer(zlib.decompress(p, bufsize=(1 << self.bits) // 8), np.uint8) for p in packed]
+
     def repeated(self, h: np.ndarray) -> np.ndarray:
         """Whether each hash is estimated to occur twice or more (no false negatives)."""
         out = np.ones(len(h), bool)
