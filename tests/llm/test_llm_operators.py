@@ -345,6 +345,38 @@ def test_license_scan(spark):
     assert got[0]["license"] == "MIT" and got[6]["license"] == "Apache-2.0" and got[8]["license"] == "CC-BY-NC-4.0" and got[10]["license"] is None
 
 
+def test_license_notices_in_prose(spark):
+    gnu, more = "This work is licensed under the GNU {}General Public License, version {}.", license_scan.MORE
+    cases = [("Copyright 2020 Foo. Released under the MIT License.", "MIT"), ("The toolkit is released under the MIT License.", "MIT"),
+             ("some words before it " * 30 + "Licensed under the\n * Apache License,\n * Version 2.0. " + "and after it " * 30, "Apache-2.0"),
+             ("Header\n" + gnu.format("", 2) + " See below.", "GPL-2.0"), (gnu.format("", 3), "GPL-3.0"), (gnu.format("Lesser ", 3), "LGPL-3.0"),
+             (gnu.format("Lesser ", 2.1), "LGPL-2.1"), (gnu.format("Affero ", 3), "AGPL-3.0"), (gnu.format("", 4), None), (gnu.format("Library ", 2), None),
+             ("This project is licensed under the terms of the Foo license.", None), ("Photo: licensed under CC BY-ND 4.0. All else is not.", "CC-BY-ND-4.0"),
+             ("Licensed under CC BY-SA 3.0.", None), ("Copyright\n\n" + more["BSD-2-Clause"][2].replace(", ", ",\n"), "BSD-2-Clause"),
+             ("Copyright\n\n" + more["BSD-3-Clause"][2].replace(", ", ",\n"), "BSD-3-Clause"), ("a b c " * 100 + more["MIT"][2] + " d e f" * 100, "MIT"),
+             ("The mit license of released work, under the sea.", None)]
+    cases += [(f"He wrote: {t} And so on.", name) for name, texts in more.items() for t in texts]
+    got = license_scan.scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["license"] for r in got} == {i: name for i, (_, name) in enumerate(cases)}
+
+
+def test_license_windows_by_brute_force(spark):
+    rnd, templates = random.Random(3), {"A": ["a b c d e f g a b c", "d d e"], "B": ["b c d e f h"]}
+    texts = ["".join(rnd.choice(["a b c d e ", "f g a b c ", "x ", "b c ", "d e f h", "\n", " d d ", "y y "]) for _ in range(rnd.randint(1, 9))) for _ in range(120)]
+    got = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), templates, least=70).collect()}
+    for i, t in enumerate(texts):
+        w = t.split()
+        units = [x.split() for x in t.split("\n")] + [x.split() for x in re.split(r"\n(?: *\n)+", t)] + [w]
+        scores = []
+        for name, x in ((name, x.split()) for name, texts_ in templates.items() for x in texts_):
+            for u in units + [w[j:j + len(x)] for j in range(len(w) - len(x) + 1)]:
+                s, n = dice(u, x)
+                if len(u) > 1 and 200 * s >= 70 * n:
+                    scores.append((-s / n, name, -n, s))
+        best = min(scores, default=None)
+        assert (got[i]["license"], got[i]["shared"], got[i]["total"]) == ((best[1], best[3], -best[2]) if best else (None, None, None)), t
+
+
 def test_license_repeated_bigrams(spark):
     out = license_scan.scan(spark.createDataFrame([(1, "go go go go stop")], "doc_id long, text string"), {"L": ["go go go stop stop"]}, least=50).first()
     assert (out["shared"], out["total"]) == dice("go go go go stop".split(), "go go go stop stop".split())
