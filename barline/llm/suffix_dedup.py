@@ -333,23 +333,75 @@ def remove_repeats(docs: DataFrame, size: int = 200, id_col: str = "doc_id", tex
     return df.join(single, ["key", "key2"], "left").select("doc_id", "text", "single", *["extra"] * bool(extra)).mapInArrow(cut, schema)
 
 
+def _places(df: DataFrame, wide, size: int) -> DataFrame:
+    """Every place of the blocks that the sketch lets through: doc_id, start,
+    anchor, block. Those of hot anchors are cut to their runs of repeated windows."""
+    single = F.lit(None).cast("array<struct<start:bigint,run:bigint>>")
+    if any(len(x) for x in wide.value.heavy_cells):
+        once = (_heavy_single(df.select("key", "key2", "text"), wide, size).groupBy("key", "key2")
+                .agg(F.collect_list(F.struct("start", "run")).alias("single")))
+        df, single = df.join(once, ["key", "key2"], "left"), F.col("single")
+    kind = df.schema["doc_id"].dataType.simpleString()
+
+    def emit(batches):
+        for batch, texts in slices(batches):
+            b = Blocks(texts, size)
+            hit = np.flatnonzero(wide.value.repeated(b.anchor))
+            if not len(hit):
+                continue
+            step = np.zeros(len(b.bytes) + 1, np.int32)
+            np.add.at(step, b.first[hit], 1)
+            np.add.at(step, b.first[hit] + b.runs[hit], -1)
+            kept = np.cumsum(step) > 0
+            lists = batch.column("single")
+            if len(flat := lists.flatten()):
+                n = np.asarray(lists.value_lengths().fill_null(0))
+                kept[np.asarray(flat.field("start")) + np.repeat(b.offsets, n)] = False
+            new = np.concatenate([[True], ~kept[:-1]])
+            new[b.first] = True
+            starts = np.flatnonzero(kept & new)
+            runs = np.flatnonzero(kept & np.concatenate([~kept[1:] | new[1:], [True]])) - starts + 1
+            if not len(starts):
+                continue
+            block = np.searchsorted(b.first, starts, "right") - 1
+            doc, raw = b.doc[block], b.bytes.tobytes()
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id").take(pa.array(doc)), pa.array(starts - b.offsets[doc]), pa.array(b.anchor[block].view(np.int64)),
+                pa.array([raw[a:a + n + size - 1] for a, n in zip(starts.tolist(), runs.tolist(), strict=True)], pa.binary())],
+                ["doc_id", "start", "anchor", "block"])
+
+    return df.select("doc_id", "text", single.alias("single")).mapInArrow(emit, f"doc_id {kind}, start long, anchor long, block binary")
+
+
 def maximal_repeat_groups(docs: DataFrame, size: int = 200, id_col: str = "doc_id", text_col: str = "text",
-                          max_width_bits: int = 28) -> DataFrame:
-    """The maximal repeat groups themselves: one row for each distinct block that
-    holds an occurrence, with anchor, group (hash of the repeated string), length,
-    offset in the block, and the block with the number of its places. Places of a
-    block are found by joining the block's hash; groups are maximal within blocks."""
-    df, wide = _prepared(docs, size, id_col, text_col, max_width_bits, 65_536)
+                          max_width_bits: int = 28, heavy_at: int = 20_000) -> DataFrame:
+    """The maximal repeat groups themselves, one row for each occurrence: doc_id,
+    start (in bytes), repeat (hash of the repeated string), length, anchor, and the
+    block that holds it with the offset there and the number of the block's places.
+    Groups are maximal within blocks.
+
+    Blocks of hot anchors are cut to their runs of repeated windows first, which
+    changes no group: every window of an occurrence is repeated, and beside a window
+    that is not, no group goes on. A passage with other surroundings each time is
+    then one distinct block. A task holds the distinct cut blocks of one anchor."""
+    df, wide = _prepared(docs, size, id_col, text_col, max_width_bits, heavy_at)
+    places = _places(df, wide, size)
 
     def found(batches):
         for rows, _ in anchor_groups(batches):
             groups, _ = repeats([r[1] for r in rows], size)
             groups += [(len(r[1]), [(i, 0)]) for i, r in enumerate(rows) if r[2] > 1]
-            out = [(rows[occ[0][0]][0], hashlib.sha256(rows[occ[0][0]][1][occ[0][1]:][:n]).hexdigest(), n, at, rows[i][1], rows[i][2])
-                   for n, occ in groups for i, at in occ]
+            # a block at several places may also be a group with other blocks
+            out = [(rows[i][0], hashlib.sha256(rows[i][1][at:at + n]).hexdigest(), n, at, rows[i][1], rows[i][2])
+                   for n, i, at in sorted({(n, *place) for n, occ in groups for place in occ})]
             if out:
                 kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds, strict=True)],
                                                  ["anchor", "repeat", "length", "offset", "block", "places"])
 
-    return _blocks(df.select("key", "key2", "text"), wide, size).mapInArrow(found, "anchor long, repeat string, length long, offset long, block binary, places long")
+    ids = [F.xxhash64("block", F.lit(x)).alias(f"id{x}") for x in (1, 2)]
+    # equal blocks are combined before those of an anchor meet
+    groups = (places.groupBy("anchor", "block").agg(F.count(F.lit(1)).alias("n")).repartition("anchor").sortWithinPartitions("anchor")
+              .mapInArrow(found, "anchor long, repeat string, length long, offset long, block binary, places long").select("*", *ids))
+    return (places.select("doc_id", "start", "anchor", *ids).join(groups, ["anchor", "id1", "id2"])
+            .select("doc_id", (F.col("start") + F.col("offset")).alias("start"), "repeat", "length", "anchor", "offset", "block", "places"))

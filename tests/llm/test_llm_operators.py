@@ -117,6 +117,30 @@ def test_repeat_group_rows(docs, rows):
         assert sum(t.count(piece) for t in texts) > 1
 
 
+def test_repeat_group_occurrences(spark):
+    rnd = random.Random(9)
+    say = lambda n: " ".join(f"{rnd.randrange(10**6)}" for _ in range(n))
+    hot, pair = say(40), say(30)
+    texts = [f"{say(20)} {hot} {say(20)}" for _ in range(30)] + [f"{say(5)} {pair} {hot[30:]} {pair}", f"{hot[:90]} {pair}é", f"é{hot}", f"é{hot}", "z" * 150, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    raw = [(t or "").encode() for t in texts]
+    windows = Counter(b[i:i + 60] for b in raw for i in range(len(b) - 59))
+    seen = []
+    for heavy in (2, 20_000):
+        got = suffix_dedup.maximal_repeat_groups(df, size=60, heavy_at=heavy).collect()
+        at = defaultdict(set)
+        for r in got:
+            at[raw[r["doc_id"]][r["start"]:r["start"] + r["length"]]].add((r["doc_id"], r["start"]))
+            assert hashlib.sha256(raw[r["doc_id"]][r["start"]:r["start"] + r["length"]]).hexdigest() == r["repeat"]
+        assert len(got) == sum(map(len, at.values()))  # no occurrence twice
+        for piece, places in at.items():
+            assert places == {(d, i) for d, b in enumerate(raw) for i in range(len(b)) if b.startswith(piece, i)} and len(places) > 1
+        covered = {(d, j) for piece, places in at.items() for d, i in places for j in range(i, i + len(piece) - 59)}
+        assert covered == {(d, i) for d, b in enumerate(raw) for i in range(len(b) - 59) if windows[b[i:i + 60]] > 1}
+        seen.append({(piece, *p) for piece, places in at.items() for p in places})
+    assert seen[0] == seen[1] and len({d for _, d, _ in seen[0]}) == 35
+
+
 def fingerprint(text):
     w = WORD.findall((text or "").encode().lower())
     shingles = [b" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))] if w else []
