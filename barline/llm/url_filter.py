@@ -7,10 +7,11 @@ blocked if an address of its class is blocked by a rule, unless another one of
 the class is explicitly allowed: an explicit allow takes precedence. All other
 pages are allowed.
 
-Addresses are compared without fragment, with scheme and host in lower case.
-Targets may be absolute or relative to the page; targets that are no pages
-carry their own rule into the class. Only the address column is read for
-verdicts; html is read once, for the links.
+Addresses are compared without fragment and without dot segments (RFC 3986,
+5.2.4), with scheme and host in lower case; rules see them in this form too.
+Targets may be absolute or relative to the page or to its first <base href>;
+targets that are no pages carry their own rule into the class. Only the address
+column is read for verdicts; html is read once, for the links.
 
 Edge cases: a null address or one without "://" has empty host and path and no
 aliases; null html has no links; repeated pages are judged each; pages without
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .components import connected_components
+from .quality_rules import let
 
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HOST = r"(?s)^.*?://([^/?#]*)"
@@ -32,6 +34,8 @@ LINK_TAG, META_TAG = r"(?is)<link\b[^>]*>", r"(?is)<meta\b[^>]*>"
 CANONICAL = r"(?is)\brel\s*=\s*(?:\"[^\">]*\bcanonical\b|'[^'>]*\bcanonical\b|canonical\b)"
 REFRESH = r"(?is)\bhttp-equiv\s*=\s*[\"']?\s*refresh\b"
 HREF = r"(?is)\bhref\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
+BASE_TAG = r"(?is)<base(?=[\s/>])[^>]*>"
+DOTS = r"(?s)/\.\.?(?:/|\z)"
 REFRESH_URL = r"(?is)\bcontent\s*=\s*[\"']?[^\"'>]*?\burl\s*=\s*[\"']?([^\"'>\s]+)"
 
 #: (host, path, allow): a rule fits its host and all subdomains if the path starts with the rule's.
@@ -63,25 +67,47 @@ def allowed_by(rule: Column, rules: list[tuple[str, str, bool]]) -> Column:
     return F.when(rule.isin([h + p for h, p, ok in rules if ok]), True).when(rule.isNotNull(), False)
 
 
+def without_dots(path: Column) -> Column:
+    """A path, empty or from a slash on, without its . and .. segments."""
+    none = F.array().cast("array<string>")
+
+    def step(kept, x):
+        return F.when(x == ".", kept).when(x == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.concat(kept, F.array(x)))
+
+    def shorter(p):
+        kept = let(F.split(p, "/"), lambda x: F.aggregate(F.slice(x, 2, F.size(x)), none, step))
+        folder = F.when(p.rlike(r"/\.\.?\z"), F.array(F.lit(""))).otherwise(none)
+        return F.when(p.rlike(DOTS), F.concat(F.lit("/"), F.array_join(F.concat(kept, folder), "/"))).otherwise(p)
+
+    return let(path, shorter)
+
+
 def address(url: Column) -> Column:
     """The form in which addresses are compared."""
-    bare = F.regexp_replace(url, "(?s)#.*$", "")
-    head = F.regexp_extract(bare, "(?s)^.*?://[^/?#]*", 0)
-    return F.concat(lower(head), F.substr(bare, F.length(head) + 1))
+    def parts(bare):
+        return let(F.struct(F.regexp_extract(bare, "(?s)^.*?://[^/?#]*", 0).alias("head"), path_of(bare).alias("path")), lambda x: F.concat(
+            lower(x["head"]), without_dots(x["path"]), F.substr(bare, F.length(x["head"]) + F.length(x["path"]) + 1)))
+
+    return let(F.regexp_replace(url, "(?s)#.*$", ""), parts)
 
 
 def resolved(url: Column, target: Column) -> Column:
-    """A target as an absolute address, null for one that leads nowhere else."""
+    """A target, as seen from ``url``, as an absolute address; null for one that leads nowhere."""
+    def absolute(x):
+        url, t = x["url"], x["t"]
+        scheme, root = F.regexp_extract(url, "(?s)^(.*?):\\/\\/", 1), F.regexp_extract(url, "(?s)^.*?://[^/?#]*", 0)
+        path = path_of(url)
+        folder = F.regexp_extract(F.when(path == "", F.lit("/")).otherwise(path), "(?s)^.*/", 0)
+        return (F.when(t.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), t)
+                .when(t.startswith("//"), F.concat(scheme, F.lit(":"), t))
+                .when(t.startswith("#"), url)
+                .when((t == "") | t.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+                .when(t.startswith("/"), F.concat(root, t))
+                .when(t.startswith("?"), F.concat(root, path, t))
+                .otherwise(F.concat(root, folder, t)))
+
     t = F.trim(F.replace(F.regexp_replace(target, "^[\"']|[\"']$", ""), F.lit("&amp;"), F.lit("&")))
-    scheme, root = F.regexp_extract(url, "(?s)^(.*?):\\/\\/", 1), F.regexp_extract(url, "(?s)^.*?://[^/?#]*", 0)
-    path = path_of(url)
-    folder = F.regexp_extract(F.when(path == "", F.lit("/")).otherwise(path), "(?s)^.*/", 0)
-    return address(F.when(t.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), t)
-                   .when(t.startswith("//"), F.concat(scheme, F.lit(":"), t))
-                   .when((t == "") | t.startswith("#") | t.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
-                   .when(t.startswith("/"), F.concat(root, t))
-                   .when(t.startswith("?"), F.concat(root, path, t))
-                   .otherwise(F.concat(root, folder, t)))
+    return address(let(F.struct(url.alias("url"), t.alias("t")), absolute))
 
 
 def links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -93,8 +119,10 @@ def links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Dat
     refresh = F.transform(F.filter(F.regexp_extract_all("html", F.lit(META_TAG), F.lit(0)), lambda t: t.rlike(REFRESH)),
                           lambda t: F.regexp_extract(t, REFRESH_URL, 1))
     df = df.filter(low.rlike("(?i)canonical|refresh"))  # most pages have neither
-    return (df.select("url", F.explode(F.concat(canonical, refresh)).alias("target"))
-            .select(address(F.col("url")).alias("src"), resolved(F.col("url"), F.col("target")).alias("dst"))
+    hrefs = F.filter(F.transform(F.regexp_extract_all("html", F.lit(BASE_TAG), F.lit(0)), lambda t: F.regexp_extract(t, HREF, 1)), lambda h: h != "")
+    return (df.select("url", F.try_element_at(hrefs, F.lit(1)).alias("base"), F.explode(F.concat(canonical, refresh)).alias("target"))
+            .select("url", F.coalesce(resolved(F.col("url"), F.col("base")), F.col("url")).alias("base"), "target")
+            .select(address(F.col("url")).alias("src"), resolved(F.col("base"), F.col("target")).alias("dst"))
             .filter("dst is not null and src <> dst"))
 
 
@@ -113,7 +141,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, bool]] | None = None, id
     url = F.col("url")
     df = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"))
     df = df.select("page_id", address(url).alias("node"), host_of(url).alias("host"), path_of(url).alias("path"))
-    df = df.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
+    df = df.withColumn("rule", rule_of(F.col("host"), path_of(F.col("node")), rules))
     judged = df.join(bad.withColumn("alias_blocked", F.lit(True)), "node", "left")
     own = allowed_by(F.col("rule"), rules)
     allowed = F.coalesce(own, ~F.coalesce("alias_blocked", F.lit(False)))

@@ -433,6 +433,35 @@ def test_url_filters(spark):
     assert more.filter("page_id = 15").first()["verdict"] == "block"
 
 
+def test_url_dot_segments_and_base(spark):
+    link = '<link rel="canonical" href="{}">'.format
+    pages = [("http://a.net/x/y", "", "block"), ("http://b.net/x/", "", "block"),
+             ("http://k.com/b", link("http://a.net/x/y"), "block"), ("http://k.com/a/c", link("../b"), "block"), ("http://k.com/a/d/e?q=../z", link("./../../b"), "block"),
+             ("http://l.com/a/./up/../p", link("http://a.net/w/../x/./y"), "block"), ("http://l.com/a/q", link("./p"), "block"),
+             ("http://m.com/q", '<BASE target=x><base href="http://b.net/w/v">' + link("../x/."), "block"), ("http://m.com/r", '<base href="/s/">' + link("../q"), "block"),
+             ("http://n.com/1", "<base href=http://a.net/x/y>" + link("#top"), "block"), ("http://n.com/2", "<basefont href=http://a.net/x/y>" + link("#top"), "allow"),
+             ("http://o.com/a", link("b/../../../.."), "allow"), ("http://o.com/", "", "allow"), ("http://o.com/...", link("..x"), "allow"),
+             ("http://example.com/en/../de/1", "", "block"), ("http://p.com/a//..", link("b?u=/../x"), "allow")]
+    got = url_filter.judge(spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(pages)], "page_id long, url string, html string"))
+    assert {r["page_id"]: r["verdict"] for r in got.collect()} == {i: v for i, (_, _, v) in enumerate(pages)}
+
+
+def test_dot_segments(spark):
+    def plain(path):
+        out, segments = [], path.split("/")[1:]
+        for x in segments:
+            if x == "..":
+                out = out[:-1]
+            elif x != ".":
+                out.append(x)
+        return "/" + "/".join(out + [""] * (segments[-1] in (".", ".."))) if path else path
+    rnd = random.Random(4)
+    paths = ["", "/"] + ["".join("/" + rnd.choice([".", "..", "a", "b.", "", "...", "c"]) for _ in range(rnd.randint(1, 7))) for _ in range(200)]
+    assert plain("/a/b/c/./../../g") == "/a/g" and plain("/a/..") == "/"
+    df = spark.createDataFrame([(f"HTTP://X.com{p}?../q#/../f",) for p in paths], "u string").select("u", url_filter.address(F.col("u")).alias("a"))
+    assert {r["u"]: r["a"] for r in df.collect()} == {f"HTTP://X.com{p}?../q#/../f": f"http://x.com{plain(p)}?../q" for p in paths}
+
+
 def test_empty_tables(spark, empty):
     words, path = tokenizer_path("word_bpe_49k.json"), tokenizer_path("byte_bpe_50k.json")
     for df in (substring_dedup.remove_repeats(empty), suffix_dedup.remove_repeats(empty), simhash.near_duplicates(empty), packing.pack(empty, words),
