@@ -61,16 +61,24 @@ def _fingerprints(texts: list[bytes], shingle: int, seed: int) -> np.ndarray:
     return out.astype(np.uint64).view(np.int64)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long, one row per input row."""
+def text_keys(text) -> dict:
+    """Two 64-bit hashes that stand for a text."""
+    return {"key": F.xxhash64(text, F.lit(7)), "key2": F.xxhash64(F.lit(11), text)}
+
+
+def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", keys: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long, one row per input row; with ``keys`` also its text's key and key2."""
     ship(docs.sparkSession)
     df = narrow(docs, doc_id=id_col, text=text_col)
+    names = ["doc_id"]
+    if keys:
+        df, names = df.withColumns(text_keys(F.col("text"))), ["doc_id", "key", "key2"]
 
     def emit(batches):
         for batch, texts in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_fingerprints(texts, shingle, seed))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(_fingerprints(texts, shingle, seed))], [*names, "fp"])
 
-    return df.mapInArrow(emit, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, fp long")
+    return df.mapInArrow(emit, ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in names) + ", fp long")
 
 
 def block_masks(max_bits: int) -> list[int]:
@@ -202,19 +210,33 @@ def _stars(batches, max_bits: int):
         yield flush(*held)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (signed long) and component_id, the least doc_id reachable by
-    links of at most ``max_bits`` differing bits. One row per input row."""
-    marked = stored(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
-    kinds = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
+def _rooted(kinds: DataFrame, max_bits: int) -> DataFrame:
+    """``kinds``, a row for each fingerprint, with the root of its group."""
     signed = [m - (1 << 64) if m >> 63 else m for m in block_masks(max_bits)]
     keys = F.explode(F.array(*[F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(m)).alias("masked")) for i, m in enumerate(signed)]))
     dealt = kinds.select("fp", keys.alias("k")).select("k.part", "k.masked", "fp")
     links = (dealt.repartition("part", "masked").sortWithinPartitions("part", "masked")
              .mapInArrow(lambda batches: _stars(batches, max_bits), "src long, dst long"))
     groups = connected_components(links)
-    root = kinds.join(groups, kinds["fp"] == groups["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
+    return kinds.join(groups, kinds["fp"] == groups["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fp (signed long) and component_id, the least doc_id reachable by
+    links of at most ``max_bits`` differing bits. One row per input row."""
+    marked = stored(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
+    root = _rooted(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), max_bits)
     least = root.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = root.join(least, "root").select("fp", "component_id")
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def leaders(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each group of near-duplicates: doc_id (the least, null only if
+    all are), key and key2 of its text, and n, the number of rows with all three."""
+    marked = stored(fingerprints(docs, shingle, seed, id_col, text_col, keys=True), "fingerprints")
+    rows = marked.groupBy("fp", "doc_id", "key", "key2").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key", "key2", "n"))
+    root = _rooted(rows.groupBy("fp").agg(first.alias("first")), max_bits)
+    return root.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.key", "first.key2", "first.n")

@@ -7,7 +7,8 @@ last return the columns of ``documents``, under any further columns' names too.
 
 Null doc_ids, repeated rows and empty texts pass as the operators define.
 ORACLE_SQL is None: the classifier's trees and XXH64 fingerprints have no SQL;
-tests compare every stage with brute force on its own input.
+tests compare rules, near-duplicates and repeated passages with brute force on
+their own inputs, the classifier and packing with their operators.
 """
 
 from __future__ import annotations
@@ -37,25 +38,18 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group: the one whose doc_id is the group's
-    least (of rows that repeat it, one; of a group without any doc_id, one)."""
-    found = simhash.near_duplicates(docs, shingle=3, max_bits=3)
-    leaders = stored(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "component_id")
-                     .agg(F.count("*").alias("n")), "leaders").select(F.col("doc_id").alias("leader"), "n")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
-    kept = rows.join(leaders, F.col("doc_id").eqNullSafe(F.col("leader")))
+    least (of a group without any doc_id, one). Rows are told apart by doc_id and
+    text, so a doc_id in two groups stands in both."""
+    leaders = stored(simhash.leaders(docs, shingle=3, max_bits=3), "leaders").select(F.col("doc_id").alias("leader"), "key", "key2", "n")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id",
+                       *[x.alias(f"own_{c}") for c, x in simhash.text_keys(F.col("text")).items()])
+    same = F.col("doc_id").eqNullSafe(F.col("leader")) & (F.col("own_key") == F.col("key")) & (F.col("own_key2") == F.col("key2"))
+    kept = rows.join(leaders, same)
     once = kept.filter("n = 1").select("row.*")
     if leaders.filter("n > 1").isEmpty():
         return once
-    again = kept.filter("n > 1")
-    named = again.filter("doc_id is not null").groupBy("doc_id").agg(F.first("row").alias("row"))
-    return once.union(named.select("row.*")).union(_nameless(again.filter("doc_id is null")).select("row.*"))
-
-
-def _nameless(rows: DataFrame) -> DataFrame:
-    """Of rows without doc_id one for each near-duplicate group, found anew with the texts' hashes as ids."""
-    marked = rows.select("row", "text", F.xxhash64("text").alias("key"))
-    least = simhash.near_duplicates(marked, shingle=3, max_bits=3, id_col="key").select("component_id").distinct()
-    return marked.groupBy("key").agg(F.first("row").alias("row")).join(least, F.col("key") == F.col("component_id"), "left_semi")
+    again = kept.filter("n > 1").groupBy("doc_id", "key", "key2").agg(F.first("row").alias("row"))
+    return once.union(again.select("row.*"))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Registered queries against DuckDB SQL, and the pipeline against its parts."""
 
+import hashlib
+import re
 from collections import Counter
 
 import duckdb
@@ -75,6 +77,52 @@ def test_pipeline_stage_by_stage(spark):
     assert len(whole) == cut.select("doc_id").distinct().count() and all(r["n"] == r["m"] for r in whole if r["doc_id"] is not None)
 
 
+def test_near_duplicates_by_row(spark):
+    a, b, c, d = (" ".join(f"{x}{i * i % 97}" for i in range(40)) for x in "abcd")
+    rows = [(5, a, 1), (5, b, 2), (None, c, 3), (None, d, 4), (7, d, 5), (6, a, 6), (None, c, 7), (8, b, 8), (7, d, 9), (None, a, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key int")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter([(5, a), (5, b), (None, c), (7, d)])
+    assert all(tuple(r) in rows for r in got)
+
+
+def test_stages_by_brute_force(spark):
+    from test_llm_operators import SCHEMA, base_statistics, classes, corpus, fingerprint, removed_bytes
+    rows = corpus()
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+    def passes(text):
+        text = text or ""
+        n, chars, symbols, dup, again = base_statistics(text)
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+        lines = sum(1 for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x))
+        return not (n < 20 or 100 * again > 30 * n or chars < 2 * n or chars > 15 * n or 10 * symbols > n or (dup >= 5 and 10 * dup > 3 * lines)
+                    or 10 * sum(x == y for x, y in zip(words, words[1:])) > 3 * n or 2 * sum(c in quality_rules.CAPITALS for c in text) > chars)
+
+    got = corpus_pipeline.apply_rules(spark, docs, SF).collect()
+    assert Counter(map(tuple, got)) == Counter(r for r in rows if passes(r[1]))
+
+    fps = [fingerprint(r[1]) for r in rows]
+    groups = {}
+    for r, g in zip(rows, classes(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3]), strict=True):
+        groups.setdefault(g, []).append(r)
+    got = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()]
+    assert len(got) == len(groups)
+    for own in groups.values():
+        least = min((r[0] for r in own if r[0] is not None), default=None)
+        assert sum(r in own and r[0] == least for r in got) == 1
+
+    kept = corpus_pipeline.drop_repeats(spark, docs, SF).collect()
+    want = removed_bytes([r[1] for r in rows], 200)
+    texts = {(r[0], r[5]): (r[1], x) for r, x in zip(rows, want, strict=True)}
+    assert len(kept) == len(rows) and any(x[1] for x in want)
+    for r in kept:
+        text, (_, gone, _, digest) = texts[r["doc_id"], r["key"]]
+        if (text or "").isascii():
+            assert hashlib.sha256(r["text"].encode()).hexdigest() == digest
+        assert len(r["text"].encode()) <= len((text or "").encode()) - gone and r["n_chars"] == len(r["text"])
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and "sequence_id" in out.columns
