@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, license_scan, packing, quality_model, quality_rules, simhash, substring_dedup, suffix_dedup, topk, url_filter
+from . import (bpe, conversation_trie, fill_middle, language_id, license_scan, packing, quality_model, quality_rules, simhash, substring_dedup,
+               suffix_dedup, topk, url_filter)
 from .common import table
 
 
@@ -60,5 +61,21 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.train(docs))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(conversation_trie.paths(table(spark, sf_dir, "conversations"), family=5, heads=9))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.restore(fill_middle.transform(table(spark, sf_dir, "documents"), seed=7, rate=100, spm_rate=50))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_license_scans, op2_quality_rules, op3_packing, op4_top_k, op5_bpe, op6_quality_classifier,
-                                   op7_substring_dedup, op8_simhash, op9_suffix_array, op10_url_filters)}
+                                   op7_substring_dedup, op8_simhash, op9_suffix_array, op10_url_filters,
+                                   op11_language_id, op12_conversation_trie, op13_fill_middle)}

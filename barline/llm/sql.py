@@ -146,6 +146,50 @@ SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN CASE WHEN rule
 """
 
 
+def _crc32(text: str) -> str:
+    """CRC-32 of a text of ASCII, bit by bit."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))),
+    4294967295::BIGINT)"""
+
+
+#: Operator 12: every node with its members, then each node's ancestors by its own prefixes.
+TRIE_SQL = f"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+coded AS (SELECT conv_id, turn, sha256(strlen(role) || ':' || role || text) AS code, strlen(text)::BIGINT AS size FROM turns),
+lists AS (SELECT conv_id, list(code ORDER BY turn NULLS FIRST, code) AS codes, list(size ORDER BY turn NULLS FIRST, code) AS sizes FROM coded GROUP BY 1),
+heads AS (SELECT *, conv_id - ((conv_id % 5) + 5) % 5 AS base, {_crc32("conv_id::VARCHAR")} % 9 AS h FROM lists),
+rebuilt AS (SELECT a.conv_id, list_concat(coalesce(b.codes[:a.h], []), a.codes[a.h + 1:]) AS codes,
+  list_concat(coalesce(b.sizes[:a.h], []), a.sizes[a.h + 1:]) AS sizes FROM heads a LEFT JOIN lists b ON b.conv_id = a.base),
+places AS (SELECT conv_id, d::BIGINT AS depth, array_to_string(codes[:d], ',') AS node, CASE WHEN d > 0 THEN array_to_string(codes[:d - 1], ',') END AS parent,
+  CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size, d = len(codes) AS ends
+  FROM (SELECT *, unnest(range(0, len(codes) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT depth, node, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(size) AS saved,
+  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM places GROUP BY depth, node),
+kids AS (SELECT depth - 1 AS depth, parent AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+above AS (SELECT p.depth, p.node, sum(n.saved)::BIGINT AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+  FROM nodes n LEFT JOIN kids k ON k.depth = n.depth AND k.node = n.node JOIN places p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs, coalesce(k.n, 0)::BIGINT AS n_children,
+  a.leaves::BIGINT AS n_leaves, a.saved AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.parent LEFT JOIN kids k ON k.depth = n.depth AND k.node = n.node
+JOIN above a ON a.depth = n.depth AND a.node = n.node
+"""
+
+#: Operator 13, from a list of each text's lines.
+FILL_SQL = r"""
+WITH h AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2,
+  ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM h),
+cut AS (SELECT *, len(lines)::BIGINT AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS a, greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+    WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+parts AS (SELECT *, array_to_string(lines[:a], '') AS p, array_to_string(lines[a + 1:b], '') AS m, array_to_string(lines[b + 1:], '') AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
 ORACLE = {
     "op1_license_scans": _licences(),
     "op2_quality_rules": RULES,
@@ -153,4 +197,6 @@ ORACLE = {
     "op7_substring_dedup": WINDOWS,
     "op9_suffix_array": BYTES,
     "op10_url_filters": _urls(),
+    "op12_conversation_trie": TRIE_SQL,
+    "op13_fill_middle": FILL_SQL,
 }
