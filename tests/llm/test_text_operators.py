@@ -67,7 +67,7 @@ def conversations(seed=3):
 CONVERSATIONS = "conv_id long, turn long, role string, text string"
 
 
-@pytest.mark.parametrize("family,heads,rows_a_shard,final_bytes", [(5, 9, 1 << 15, 8 << 20), (5, 9, 16, 8 << 20), (1, 1, 9, 3_000), (5, 9, 23, 20_000)])
+@pytest.mark.parametrize("family,heads,rows_a_shard,final_bytes", [(5, 9, 1 << 15, 8 << 20), (5, 9, 16, 8 << 20), (1, 1, 9, 3_000), (5, 9, 23, 5_000)])
 def test_conversation_trie(spark, monkeypatch, family, heads, rows_a_shard, final_bytes):
     rows = conversations()
     df = spark.createDataFrame(rows, CONVERSATIONS).withColumn("path", F.lit("clash")).withColumn("key", F.lit(1)).repartition(5)
