@@ -118,29 +118,42 @@ def _urls() -> str:
     host = lambda u: lower(f"coalesce(regexp_extract({u}, '{url_filter.HOST}', 1), '')")
     path = lambda u: f"coalesce(regexp_extract({u}, '{url_filter.PATH}', 1), '')"
     head = "regexp_extract(bare, '(?s)^.*?://[^/?#]*', 0)"
+
+    def address(bare: str) -> str:
+        """Scheme and host in lower case, path without dot segments (one after another from an empty path on)."""
+        h, p = head.replace("bare", bare), path(bare)
+        kept = f"""list_reduce(list_prepend('', string_split({p}, '/')[2:]), lambda acc, x: CASE x WHEN '.' THEN acc
+          WHEN '..' THEN regexp_replace(acc, '/[^/]*$', '') ELSE acc || '/' || x END)"""
+        clean = rf"""CASE WHEN regexp_matches({p}, '/\.\.?(/|$)') THEN {kept} || CASE WHEN regexp_matches({p}, '/\.\.?$') THEN '/' ELSE '' END ELSE {p} END"""
+        return f"{lower(h)} || ({clean}) || substr({bare}, length({h}) + length({p}) + 1)"
+
+    absolute = "regexp_matches(t, '^([A-Za-z][A-Za-z0-9+.-]*:)?//')"
     return rf"""
 WITH RECURSIVE page AS (SELECT page_id, url, html, regexp_replace(url, '(?s)#.*$', '') AS bare FROM pages),
-p AS (SELECT page_id, url, html, {lower(head)} || substr(bare, length({head}) + 1) AS node, {host('url')} AS host, {path('url')} AS path FROM page),
+p AS (SELECT page_id, url, html, {address('bare')} AS node, {host('url')} AS host, {path('url')} AS path, {path('bare')} AS own FROM page),
 tags AS (
-  SELECT url, node, host, path, regexp_extract(tag, '{url_filter.HREF.replace("'", "''")}', 1) AS target FROM (
+  SELECT url, node, own, regexp_extract(tag, '{url_filter.HREF.replace("'", "''")}', 1) AS target FROM (
     SELECT *, unnest(regexp_extract_all(html, '{url_filter.LINK_TAG}')) AS tag FROM p WHERE contains(url, '://'))
   WHERE regexp_matches(tag, '{url_filter.CANONICAL.replace("'", "''")}')
   UNION ALL
-  SELECT url, node, host, path, regexp_extract(tag, '{url_filter.REFRESH_URL.replace("'", "''")}', 1) FROM (
+  SELECT url, node, own, regexp_extract(tag, '{url_filter.REFRESH_URL.replace("'", "''")}', 1) FROM (
     SELECT *, unnest(regexp_extract_all(html, '{url_filter.META_TAG}')) AS tag FROM p WHERE contains(url, '://'))
   WHERE regexp_matches(tag, '{url_filter.REFRESH.replace("'", "''")}')),
-t AS (SELECT node, path, regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme, regexp_extract(url, '(?s)^.*?://[^/?#]*', 0) AS root,
+t AS (SELECT node, own, regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme, regexp_extract(url, '(?s)^.*?://[^/?#]*', 0) AS root,
   trim(replace(regexp_replace(target, '^["'']|["'']$', '', 'g'), '&amp;', '&')) AS t FROM tags),
-found AS (SELECT node, regexp_replace(CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN scheme || ':' || t
+found AS (SELECT node, {absolute} AS whole, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN scheme || ':' || t
   WHEN t = '' OR starts_with(t, '#') OR regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN starts_with(t, '/') THEN root || t
-  WHEN starts_with(t, '?') THEN root || path || t
-  ELSE root || regexp_extract(CASE WHEN path = '' THEN '/' ELSE path END, '(?s)^.*/', 0) || t END, '(?s)#.*$', '') AS bare FROM t),
-edges AS (SELECT node AS a, {lower(head)} || substr(bare, length({head}) + 1) AS b FROM found WHERE bare IS NOT NULL),
+  WHEN starts_with(t, '?') THEN root || own || t
+  ELSE root || regexp_extract(CASE WHEN own = '' THEN '/' ELSE own END, '(?s)^.*/', 0) || t END AS given FROM t),
+bare AS (SELECT node, whole, given, regexp_replace(given, '(?s)#.*$', '') AS bare FROM found WHERE given IS NOT NULL),
+edges AS (SELECT node AS a, {address('bare')} AS b, whole, given FROM bare),
 both_ways AS (SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b),
 reach AS (SELECT a AS node, a AS r FROM both_ways UNION SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a),
-said AS (SELECT node, {rule(host('r'), path('r'))} AS rule FROM reach),
-bad AS (SELECT node FROM said GROUP BY node HAVING bool_or(rule IS NOT NULL AND rule NOT IN ({allow})) AND NOT bool_or(coalesce(rule IN ({allow}), false))),
-judged AS (SELECT page_id, node, host, path, {rule('host', 'path')} AS rule FROM p)
+judged AS (SELECT page_id, node, host, path, {rule('host', 'path')} AS rule FROM p),
+shown AS (SELECT b AS r, CASE WHEN whole THEN given ELSE b END AS seen FROM edges WHERE a <> b),
+evidence AS (SELECT node AS r, rule FROM judged UNION SELECT r, {rule(host('seen'), path('seen'))} FROM shown),
+said AS (SELECT node, rule FROM reach JOIN evidence USING (r)),
+bad AS (SELECT node FROM said GROUP BY node HAVING bool_or(rule IS NOT NULL AND rule NOT IN ({allow})) AND NOT bool_or(coalesce(rule IN ({allow}), false)))
 SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN CASE WHEN rule IN ({allow}) THEN 'allow' ELSE 'block' END
   WHEN node IN (SELECT node FROM bad) THEN 'block' ELSE 'allow' END AS verdict FROM judged
 """

@@ -8,14 +8,17 @@ the class is explicitly allowed: an explicit allow takes precedence. All other
 pages are allowed.
 
 Addresses are compared without fragment and without dot segments (RFC 3986,
-5.2.4), with scheme and host in lower case; rules see them in this form too.
-Targets may be absolute or relative to the page or to its first <base href>;
-targets that are no pages carry their own rule into the class. Only the address
-column is read for verdicts; html is read once, for the links.
+5.2.4), with scheme and host in lower case; this form names classes only. Rules
+see a page's host and path as its url has them, dot segments included. Targets
+may be absolute or relative to the page or to its first <base href>; targets that
+are no pages carry their own rule into the class, absolute ones as they are
+written, relative ones as they resolve. Only the address column is read for
+verdicts; html is read once, for the links.
 
 Edge cases: a null address or one without "://" has empty host and path and no
 aliases; null html has no links; repeated pages are judged each; pages without
-links need no class.
+links need no class; an empty table gives no rows. Very long addresses and html
+are read whole, by the regular expressions of their row alone.
 """
 
 from __future__ import annotations
@@ -92,7 +95,7 @@ def address(url: Column) -> Column:
 
 
 def resolved(url: Column, target: Column) -> Column:
-    """A target, as seen from ``url``, as an absolute address; null for one that leads nowhere."""
+    """A target, as seen from ``url``, as (address, form that rules see); both null for one that leads nowhere."""
     def absolute(x):
         url, t = x["url"], x["t"]
         scheme, root = F.regexp_extract(url, "(?s)^(.*?):\\/\\/", 1), F.regexp_extract(url, "(?s)^.*?://[^/?#]*", 0)
@@ -106,12 +109,16 @@ def resolved(url: Column, target: Column) -> Column:
                 .when(t.startswith("?"), F.concat(root, path, t))
                 .otherwise(F.concat(root, folder, t)))
 
+    def both(x):
+        own = x["t"].rlike("^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//")
+        return let(absolute(x), lambda a: F.struct(address(a).alias("address"), F.when(own, a).otherwise(address(a)).alias("seen")))
+
     t = F.trim(F.replace(F.regexp_replace(target, "^[\"']|[\"']$", ""), F.lit("&amp;"), F.lit("&")))
-    return address(let(F.struct(url.alias("url"), t.alias("t")), absolute))
+    return let(F.struct(url.alias("url"), t.alias("t")), both)
 
 
 def links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(src, dst) of canonical links and refresh redirects."""
+    """(src, dst, seen) of canonical links and refresh redirects: two addresses, and the target as rules see it."""
     df = pages.select(F.col(f"`{url_col}`").alias("url"), F.col(f"`{html_col}`").alias("html")).filter(F.instr("url", "://") > 0)
     low = F.col("html")
     canonical = F.transform(F.filter(F.regexp_extract_all("html", F.lit(LINK_TAG), F.lit(0)), lambda t: t.rlike(CANONICAL)),
@@ -121,9 +128,9 @@ def links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Dat
     df = df.filter(low.rlike("(?i)canonical|refresh"))  # most pages have neither
     hrefs = F.filter(F.transform(F.regexp_extract_all("html", F.lit(BASE_TAG), F.lit(0)), lambda t: F.regexp_extract(t, HREF, 1)), lambda h: h != "")
     return (df.select("url", F.try_element_at(hrefs, F.lit(1)).alias("base"), F.explode(F.concat(canonical, refresh)).alias("target"))
-            .select("url", F.coalesce(resolved(F.col("url"), F.col("base")), F.col("url")).alias("base"), "target")
-            .select(address(F.col("url")).alias("src"), resolved(F.col("base"), F.col("target")).alias("dst"))
-            .filter("dst is not null and src <> dst"))
+            .select("url", F.coalesce(resolved(F.col("url"), F.col("base"))["address"], F.col("url")).alias("base"), "target")
+            .select(address(F.col("url")).alias("src"), resolved(F.col("base"), F.col("target")).alias("to"))
+            .select("src", F.col("to.address").alias("dst"), F.col("to.seen").alias("seen")).filter("dst is not null and src <> dst"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, bool]] | None = None, id_col: str = "page_id",
@@ -131,17 +138,22 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, bool]] | None = None, id
     """One row per page: page_id, host, path, rule, verdict (allow or block).
     ``redirects`` may add (src, dst) addresses known from elsewhere."""
     rules = RULES if rules is None else rules
-    edges = links(pages, url_col, html_col)
-    if redirects is not None:
-        edges = edges.unionByName(redirects.select(address(F.col("src")).alias("src"), address(F.col("dst")).alias("dst")))
-    classes = stored(connected_components(edges), "aliases")
-    ok = allowed_by(rule_of(host_of(F.col("node")), path_of(F.col("node")), rules), rules)
-    said = classes.groupBy("component").agg(F.max(F.coalesce(~ok, F.lit(False))).alias("blocked"), F.max(F.coalesce(ok, F.lit(False))).alias("allowed"))
-    bad = classes.join(said.filter("blocked and not allowed"), "component").select("node")
     url = F.col("url")
     df = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"))
     df = df.select("page_id", address(url).alias("node"), host_of(url).alias("host"), path_of(url).alias("path"))
-    df = df.withColumn("rule", rule_of(F.col("host"), path_of(F.col("node")), rules))
+    df = df.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
+
+    found = stored(links(pages, url_col, html_col), "links")
+    seen = found.select(F.col("dst").alias("node"), "seen")
+    if redirects is not None:
+        ends = redirects.select("src", "dst")
+        found = found.select("src", "dst").union(ends.select(address(F.col("src")), address(F.col("dst"))))
+        seen = seen.union(ends.select(address(F.col("src")), "src")).union(ends.select(address(F.col("dst")), "dst"))
+    classes = stored(connected_components(found), "aliases")
+    ruled = df.select("node", allowed_by(F.col("rule"), rules).alias("ok")).union(
+        seen.select("node", allowed_by(rule_of(host_of(F.col("seen")), path_of(F.col("seen")), rules), rules).alias("ok")))
+    said = classes.join(ruled.filter("ok is not null").distinct(), "node").groupBy("component").agg(F.max(~F.col("ok")).alias("blocked"), F.max("ok").alias("allowed"))
+    bad = classes.join(said.filter("blocked and not allowed"), "component").select("node")
     judged = df.join(bad.withColumn("alias_blocked", F.lit(True)), "node", "left")
     own = allowed_by(F.col("rule"), rules)
     allowed = F.coalesce(own, ~F.coalesce("alias_blocked", F.lit(False)))

@@ -441,11 +441,25 @@ def test_url_dot_segments_and_base(spark):
              ("http://m.com/q", '<BASE target=x><base href="http://b.net/w/v">' + link("../x/."), "block"), ("http://m.com/r", '<base href="/s/">' + link("../q"), "block"),
              ("http://n.com/1", "<base href=http://a.net/x/y>" + link("#top"), "block"), ("http://n.com/2", "<basefont href=http://a.net/x/y>" + link("#top"), "allow"),
              ("http://o.com/a", link("b/../../../.."), "allow"), ("http://o.com/", "", "allow"), ("http://o.com/...", link("..x"), "allow"),
-             ("http://example.com/en/../de/1", "", "block"), ("http://p.com/a//..", link("b?u=/../x"), "allow")]
+             ("http://example.com/en/../de/1", "", "allow"), ("http://p.com/a//..", link("b?u=/../x"), "allow"),
+             ("http://example.com/de/../en/", "", "block"), ("http://q.com/1", link("http://example.com/en/"), "block"), ("http://q.com/2", link("http://example.com/y/../de/z"), "allow"),
+             ("http://example.com/en/z", link("../de/w"), "block")]
     got = url_filter.judge(spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(pages)], "page_id long, url string, html string"))
     assert {r["page_id"]: r["verdict"] for r in got.collect()} == {i: v for i, (_, _, v) in enumerate(pages)}
 
 
+#: Rules see the path of the url as it is; classes go by addresses without dot segments and fragment.
+RAW_PATHS = [("http://example.com/x/../de/a", "", "example.com", "/x/../de/a", None, "allow"), ("http://example.com/de/../en/", "", "example.com", "/de/../en/", "example.com/de/", "block"),
+             ("http://a.org/./fr/x", "", "a.org", "/./fr/x", None, "allow"), ("x#y://net/", "", "net", "/", "net/", "block"), ("http://a.org/fr/../x", "", "a.org", "/fr/../x", "org/fr/", "allow"),
+             ("http://r.com/a", '<link rel="canonical" href="http://example.com/q/../en/">', "r.com", "/a", None, "block"), ("http://r.com/b/../c?x", "", "r.com", "/b/../c", None, "allow"),
+             ("http://r.com/d", '<link rel="canonical" href="/./e">', "r.com", "/d", None, "allow"), ("http://r.com/" + "x/" * 200_000, "y" * 2_000_000, "r.com", "/" + "x/" * 200_000, None, "allow")]
+
+
+def test_rules_on_the_path_as_given(spark):
+    got = url_filter.judge(spark.createDataFrame([(i, *x[:2]) for i, x in enumerate(RAW_PATHS)], "page_id long, url string, html string"))
+    assert sorted(map(tuple, got.collect())) == [(i, *x[2:]) for i, x in enumerate(RAW_PATHS)]
+
+
 def test_dot_segments(spark):
     def plain(path):
         out, segments = [], path.split("/")[1:]

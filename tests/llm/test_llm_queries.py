@@ -34,7 +34,8 @@ def test_oracle(spark, con, name):
 
 
 def test_aliases_in_sql(spark):
-    from test_llm_operators import PAGES
+    from test_llm_operators import PAGES, RAW_PATHS
+    PAGES = PAGES + [(100 + i, *x[:2]) for i, x in enumerate(RAW_PATHS)] + [(200, "http://s.com/1/./2", '<meta http-equiv=refresh content="0; url=../x/../../net/">'), (201, "http://s.com/net/", '<link rel=canonical href=//z.net/../q>')]
     c = duckdb.connect()
     c.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
     c.executemany("INSERT INTO pages VALUES (?, ?, ?)", PAGES)
