@@ -303,10 +303,10 @@ def test_classifier(spark):
 def test_top_k(spark):
     rng = np.random.default_rng(8)
     rows = [(i, (rng.integers(-40, 40, 6) / 64).tolist() if i % 5 else [0.5] * 6) for i in range(300)]
-    rows += [(300, None), (301, [1.0, None, 1.0]), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (304, []), (305, [1.0]), (None, [1.0] * 6), (40, [0.25] * 6), (7, rows[7][1]), (306, [1e12] * 6)]
+    rows += [(300, None), (301, [1.0, None, 1.0]), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (304, []), (305, [1.0]), (None, [1.0] * 6), (40, [0.25] * 6), (7, rows[7][1]), (306, [1e9] * 6), (340, [1e6, -1e6, 3.5, 0.0, 1e6, -7e5])]
     got = topk.top_k(spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, id string, q int"), k=20).collect()
     good = [(i, [int(np.floor(64 * x)) for x in v] + [0] * (6 - len(v))) for i, v in rows
-            if i is not None and i != 306 and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     found = defaultdict(Counter)
     for r in got:
         found[r["query_id"]][(r["vec_id"], r["score"])] += 1
@@ -317,6 +317,30 @@ def test_top_k(spark):
     assert 40 in found and len(found) == len({i for i, _ in good if i % 20 == 0})
 
 
+def test_top_k_wide_values(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.integers(-2**30, 2**30, 4) * 2.0 ** int(rng.integers(-20, 20))).tolist()) for i in range(100)] + [(200, [2.0**50, 0.0]), (201, [1e-3] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    good = [(i, [int(np.floor(64 * x)) for x in v] + [0] * (4 - len(v))) for i, v in rows]
+    fits = {(q, i): s for q, v in good for i, w in good if q != i for s in [sum(a * b for a, b in zip(v, w))]}
+    assert max(fits.values()) >= 2**63  # the best scores of some queries do not fit a long
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(df).collect()
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(spark.createDataFrame([(20, [1e300]), (21, [1.0])], "vec_id long, embedding array<double>")).collect()
+    small = [(i, [x * 2.0**-28 for x in v]) for i, v in rows]
+    monkeypatch.setattr(topk, "BLOCK", 30)
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    got = topk.top_k(spark.createDataFrame(small, "vec_id long, embedding array<double>"), k=7, query_every=10).collect()
+    good = [(i, [int(np.floor(64 * x)) for x in v] + [0] * (4 - len(v))) for i, v in small]
+    want = set()
+    for q, v in good:
+        if q % 10 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q)[:7]
+            want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    assert {tuple(r) for r in got} == want and max(abs(s) for *_, s in want) > 2**40
+
+
 def test_top_k_few_rows(spark):
     got = topk.top_k(spark.createDataFrame([(20, [0.5]), (21, [0.5]), (22, [-0.5])], "vec_id long, embedding array<float>")).orderBy("rank").collect()
     assert [tuple(r) for r in got] == [(20, 1, 21, 1024), (20, 2, 22, -1024)]
