@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,24 +128,108 @@ class Joined:
         self.offsets = np.cumsum(self.lengths + 1) - self.lengths - 1
 
 
+#: Words beyond this many bytes are hashed one by one.
+LONG_WORD = 64
+_LANES = [np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)]
+
+
+def eights(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of ``raw`` on as one integer (zeros behind the end); a view of a padded copy."""
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    return np.ndarray(len(raw), "<u8", padded.data, strides=(1,))
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Two independent 64-bit hashes of each run of bytes.
+
+    Eight bytes at a time are put into a state and spread by a bijection, in two
+    lanes with keys of their own, so no arrangement of equal bytes cancels (as it
+    can in a polynomial modulo 2^64). Words beyond LONG_WORD bytes: xxh3-128.
+    """
+    size = ends - starts
+    out = [mixed(size.astype(np.uint64) * lane + lane) for lane in _LANES]
+    view = eights(raw)
+    live = np.flatnonzero(size <= LONG_WORD)
+    for k in range(0, LONG_WORD, 8):
+        live = live[size[live] > k]
+        if not len(live):
+            break
+        chunk = view[starts[live] + k]
+        spare = np.maximum(8 - (size[live] - k), 0).astype(np.uint64) * np.uint64(8)
+        chunk = (chunk << spare) >> spare
+        for h, lane in zip(out, _LANES, strict=True):
+            h[live] = mixed((h[live] ^ (chunk * lane)) + lane)
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        both = xxhash.xxh3_128_intdigest(raw[starts[i]:ends[i]].tobytes())
+        out[0][i], out[1][i] = both & 0xFFFFFFFFFFFFFFFF, both >> 64
+    return out
+
+
+def byte_windows(raw: np.ndarray, size: int, lane: int) -> np.ndarray:
+    """A 64-bit hash of every run of ``size`` bytes: spread groups of eight, and a
+    polynomial over these. The two lanes are independent."""
+    if len(raw) < size:
+        return np.zeros(0, np.uint64)
+    if size < 8:
+        return grams(BYTE_VALUES[raw], size, 1 + lane)
+    spread = mixed((eights(raw) ^ _LANES[lane]) * _LANES[lane])
+    out = np.empty(len(raw) - size + 1, np.uint64)
+    for r in range(min(8, len(out))):
+        own = out[r::8]
+        own[:] = grams(spread[r::8], size // 8, 1 + lane)[:len(own)]
+    if size % 8:
+        out = mixed(out ^ (spread[size - 8:][:len(out)] * _LANES[1 - lane]))
+    return out
+
+
 class Words(Joined):
-    """The words of the texts: where each starts, its text's index, and a 64-bit hash."""
+    """The words of the texts: where each starts, its text's index, and two 64-bit hashes."""
 
     def __init__(self, texts: list[bytes]):
         super().__init__(texts)
         space = SPACES[self.bytes]
         before = np.concatenate([[True], space[:-1]]) if len(space) else space
         starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
-        c, down = prefix_hash(BYTE_VALUES[self.bytes])
-        self.hashes = mixed((c[ends] - c[starts]) * down[starts])
+        self.hashes, self.others = word_hashes(self.bytes, starts, ends)
         self.doc = np.searchsorted(self.offsets, starts, "right") - 1
         self.counts = np.bincount(self.doc, minlength=len(texts))
 
-    def windows(self, size: int, base: int = 1) -> tuple[np.ndarray, np.ndarray]:
-        """Starts (as word numbers) and hashes of the windows of ``size`` words of one text."""
-        h = grams(self.hashes, size, base)
-        at = np.flatnonzero(self.doc[: len(h)] == self.doc[size - 1:][: len(h)])
-        return at, h[at]
+    def starts(self, size: int) -> np.ndarray:
+        """The windows of ``size`` words of one text, by the number of their first word."""
+        n = max(0, len(self.doc) - size + 1)
+        return np.flatnonzero(self.doc[:n] == self.doc[size - 1:][:n])
+
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the windows of ``size`` words of one text."""
+        at = self.starts(size)
+        return at, grams(self.hashes, size, 1)[at]
+
+    def second(self, size: int, at: np.ndarray) -> np.ndarray:
+        """Another hash of the windows that start at ``at``, of other word hashes and another base."""
+        return grams(self.others, size, 2)[at]
+
+    def anchors(self, size: int, part: int) -> tuple[np.ndarray, np.ndarray]:
+        """The least hash of the ``part``-word strings of each window of ``starts(size)``
+        (equal windows have equal ones), and each such string once: its hashes."""
+        g = grams(self.hashes, part, 3) | np.uint64(1)  # never 0
+        at = self.starts(size)
+        if not len(at):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        width = size - part + 1
+        least = sliding_min(g, width)
+        mine = np.zeros(len(least), np.uint64)
+        mine[at] = least[at]  # of windows within a text; 0 elsewhere
+        reach = ~sliding_min(~np.concatenate([np.zeros(width - 1, np.uint64), mine, np.zeros(width - 1, np.uint64)]), width)
+        return least[at], g[(reach == g) & (reach != 0)]
+
+
+def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
+    """The least of every ``width`` consecutive values, by doubling."""
+    have = 1
+    while 2 * have <= width:
+        x = np.minimum(x[:-have], x[have:])
+        have *= 2
+    return np.minimum(x[: len(x) - (width - have)], x[width - have:]) if have < width else x
 
 
 def covered(n: int, starts: np.ndarray, size: int) -> np.ndarray:

@@ -32,7 +32,8 @@ the remaining estimated windows cover.
 
 Edge cases: a null text counts as empty; texts shorter than ``size`` are kept
 whole; rows that repeat (doc_id, text) are separate places; doc_id may be null;
-other columns are ignored. One text may have up to 2^28 bytes.
+other columns are ignored; an empty table gives no rows. A text of any length is read
+whole: one longer than a batch (1 MB) goes alone, and a task holds about 40 times its bytes.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import BYTE_VALUES, Joined, grams, slices
+from .common import BYTE_VALUES, Joined, byte_windows, grams, sliding_min, slices
 from .substring_dedup import text_bytes
 
 GRAM = 50
@@ -56,13 +57,15 @@ BLOCK = "anchor long, block binary, n long, key long, key2 long, start long"
 PLACE = "key long, key2 long, start long, run long"
 
 
-def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
-    """The least of every ``width`` consecutive values, by doubling."""
-    have = 1
-    while 2 * have <= width:
-        x = np.minimum(x[:-have], x[have:])
-        have *= 2
-    return np.minimum(x[: len(x) - (width - have)], x[width - have:]) if have < width else x
+def sliding_argmin(x: np.ndarray, width: int) -> np.ndarray:
+    """The place of the least (leftmost, if several) of every ``width`` consecutive values."""
+    place, have = np.arange(len(x)), 1
+    while have < width:
+        step = min(have, width - have)  # the last step overlaps
+        left, right = place[:-step], place[step:]
+        place = np.where(x[left] <= x[right], left, right)
+        have += step
+    return place
 
 
 class Blocks(Joined):
@@ -80,8 +83,10 @@ class Blocks(Joined):
         gram = min(GRAM, size)
         g = grams(BYTE_VALUES[self.bytes], gram)
         low = np.uint64((1 << POSITION_BITS) - 1)
-        least = sliding_min((g & ~low) | np.arange(len(g), dtype=np.uint64), size - gram + 1)
-        place = (least[at] & low).astype(np.int64)
+        if len(g) <= 1 << POSITION_BITS:  # hash and place in one word
+            place = (sliding_min((g & ~low) | np.arange(len(g), dtype=np.uint64), size - gram + 1)[at] & low).astype(np.int64)
+        else:  # the same choice, with places of their own
+            place = sliding_argmin(g & ~low, size - gram + 1)[at]
         cut = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         self.first, self.anchor = at[cut], g[place[cut]]
         self.runs = np.diff(np.concatenate([cut, [len(at)]]))
@@ -248,8 +253,7 @@ def _heavy_single(df: DataFrame, wide, size: int) -> DataFrame:
             runs = b.runs[hit]
             at = np.arange(runs.sum()) + np.repeat(b.first[hit] - (np.cumsum(runs) - runs), runs)
             doc = np.repeat(b.doc[hit], runs)
-            values = BYTE_VALUES[b.bytes]
-            h1, h2 = (grams(values, size, base)[at].view(np.int64) for base in (1, 2))
+            h1, h2 = (byte_windows(b.bytes, size, lane)[at].view(np.int64) for lane in (0, 1))
             order = np.lexsort((h2, h1))  # equal windows of the batch become one row with their number
             new = np.flatnonzero(np.concatenate([[True], (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0)]))
             one = order[new]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from barline.llm import (bpe, components, license_scan, packing, quality_model, quality_rules, simhash, substring_dedup,
                          suffix_dedup, topk, url_filter)
+from barline.llm.common import grams as suffix_dedup_grams
 from barline.llm.queries import tokenizer_path
 from barline.llm.tokens import Cache, WordTokenizer
 
@@ -72,6 +73,26 @@ def test_substring_dedup(docs, rows, bits):
     assert bag(got) == Counter(want)
 
 
+def thue_morse(n):
+    return "".join("ab"[i.bit_count() & 1] for i in range(n))
+
+
+def test_words_that_polynomials_confuse(spark):
+    """Thue-Morse words and their complements have equal hashes in any polynomial modulo 2^64."""
+    rnd = random.Random(6)
+    swap = str.maketrans("ab", "ba")
+    texts, around = [], [" ".join(f"v{rnd.randrange(10**9)}" for _ in range(60)) for _ in range(40)]
+    for i, n in enumerate((8, 32, 64, 65, 512, 1024, 2048, 4096)):
+        a = thue_morse(n)
+        texts += [f"{around[i][:200]} {a} {around[i][200:400]}", f"{around[i][:200]} {a.translate(swap)} {around[i][200:400]}"]
+    texts += ["x " * 20 + " ".join(thue_morse(64)) + " y" * 20, "x " * 20 + " ".join(thue_morse(64).translate(swap)) + " y" * 20, "q" * 3_000_000 + " end", ("w " * 30 + "\n") * 40_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    for size in (9, 35):
+        got = substring_dedup.remove_repeats(df, size=size).collect()
+        assert bag(got) == Counter((i, *x) for i, x in enumerate(removed_words(texts[:-1], size))) + Counter(
+            [(len(texts) - 1, 1_200_000, 1_200_000, hashlib.sha256(b"").hexdigest())]), size
+
+
 def removed_bytes(texts, size):
     every, found = [(t or "").encode() for t in texts], Counter()
     for b in every:
@@ -96,6 +117,21 @@ def test_suffix_dedup(docs, rows, heavy, size):
     assert all(len(r["kept_text"].encode()) <= r["n_bytes"] - r["n_removed"] for r in got)
 
 
+def test_anchors_beyond_packed_places(spark, docs, rows, monkeypatch):
+    """Texts whose places do not fit beside the hash get the same anchors."""
+    raw = [(r[1] or "").encode() for r in rows]
+    packed = suffix_dedup.Blocks(raw, 60)
+    monkeypatch.setattr(suffix_dedup, "sliding_min", None)
+    low = suffix_dedup.POSITION_BITS
+    real = suffix_dedup.sliding_argmin
+    monkeypatch.setattr(suffix_dedup, "sliding_argmin", lambda x, width: real((x >> np.uint64(low)) << np.uint64(low), width))
+    monkeypatch.setattr(suffix_dedup, "POSITION_BITS", 3)
+    monkeypatch.setattr(suffix_dedup, "grams", lambda *a: (suffix_dedup_grams(*a) >> np.uint64(low)) << np.uint64(low))
+    apart = suffix_dedup.Blocks(raw, 60)
+    assert (packed.first == apart.first).all() and (packed.runs == apart.runs).all() and (packed.doc == apart.doc).all()
+    assert (packed.anchor >> np.uint64(low) == apart.anchor >> np.uint64(low)).all()
+
+
 def test_maximal_repeat_groups():
     blocks = [b"xxabcdefgh1", b"yyabcdefgh2", b"zzabcdezz", b"xxabcdefgh1"]
     groups, longest = suffix_dedup.repeats(blocks, 5)
