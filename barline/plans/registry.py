@@ -567,7 +567,7 @@ def s05(spark, sf):
 @query("s06_dead_letters")
 def s06(spark, sf):
     return MSG.dead_letters(parsed_messages(spark, sf)).select(
-        "offset", "partition", "error_reason", "reason_detail",
+        "offset", "partition", "error_reason", "reason_detail", F.hex("value").alias("value_hex"),
         F.col("headers")[0]["key"].alias("header_key"), F.decode(F.col("headers")[0]["value"], "UTF-8").alias("header_value"))
 
 
@@ -682,7 +682,7 @@ def s04(spark, sf):
     ck, staging, dlq, _ = _ingest_paths(spark, "s04")
     ING.drain(spark, src, ck, staging, dlq, source_options={"maxFilesPerTrigger": "1"},
               ingested_at="timestamp")
-    return rounded(spark.read.parquet(staging).select(*STAGED_OUT))
+    return rounded(ING.read_staging(spark, staging).select(*STAGED_OUT))
 
 
 @query("t01_stream_dead_letters")
@@ -691,7 +691,7 @@ def t01(spark, sf):
     ck, staging, dlq, _ = _ingest_paths(spark, "t01")
     ING.drain(spark, src, ck, staging, dlq, source_options={"maxFilesPerTrigger": "1"},
               ingested_at="timestamp")
-    return spark.read.parquet(dlq).select("offset", "partition", "error_reason", "reason_detail")
+    return ING.read_dead_letters(spark, dlq).select("offset", "partition", "error_reason", "reason_detail", F.hex("value").alias("value_hex"))
 
 
 @query("t02_bounded_drain_replay")
@@ -702,7 +702,7 @@ def t02(spark, sf):
     # A full redelivery (new checkpoint = offsets lost) must not change either table.
     ING.drain(spark, src, f"{base}/checkpoint2", staging, dlq,
               source_options={"maxFilesPerTrigger": "2"}, ingested_at="timestamp")
-    return rounded(spark.read.parquet(staging).select(*STAGED_OUT))
+    return rounded(ING.read_staging(spark, staging).select(*STAGED_OUT))
 
 
 @query("t03_failed_flush_restart")
@@ -723,4 +723,4 @@ def t03(spark, sf):
     else:
         raise RuntimeError("the injected failure did not stop the query")
     ING.drain(spark, src, ck, staging, dlq, source_options=opts, ingested_at="timestamp")
-    return rounded(spark.read.parquet(staging).select(*STAGED_OUT))
+    return rounded(ING.read_staging(spark, staging).select(*STAGED_OUT))

@@ -35,6 +35,18 @@ MESSAGE_ENVELOPE = T.StructType([
 
 HEADER = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType())])
 
+DEAD_LETTER = T.StructType([
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("timestamp", T.TimestampType()),
+    T.StructField("key", T.BinaryType()),
+    T.StructField("value", T.BinaryType()),
+    T.StructField("headers", T.ArrayType(HEADER)),
+    T.StructField("error_reason", T.StringType()),
+    T.StructField("reason_detail", T.StringType()),
+])
+
 RAW_OHLCV = T.StructType([
     T.StructField("id", T.LongType(), False),
     T.StructField("symbol", T.StringType(), False),

@@ -67,39 +67,43 @@ def parse_messages(envelope: DataFrame, value: str = "value", require_values: bo
     a whole time written as a decimal (``1704067200000.0``) is a time.
     Tombstones (NULL value) are not messages and must be filtered first (S03).
     """
-    # Parse once: text and fields are their own projections, so the checks
-    # below read columns instead of re-parsing the JSON. The key listing (a
-    # second parse) is needed only when a required field came back NULL --
-    # absent, JSON null, or not an object at all -- and CASE evaluates it
-    # lazily, so a good message is parsed once.
+    # One step a projection, so that each is evaluated once and its generated
+    # method stays small enough for the JIT: text, parse, fields, typed fields,
+    # reason. The key listing (a second parse) is needed only when a required
+    # field came back NULL -- absent, JSON null, or not an object at all -- and
+    # CASE evaluates it lazily, so a good message is parsed once.
+    cols = envelope.columns
     text = F.try_validate_utf8(F.col(value).cast("string"))
-    step = (envelope.select("*", text.alias("_text"))
-            .select("*", F.from_json(F.concat(F.lit("["), F.col("_text"), F.lit("]")), f"array<{_AS_TEXT}>",
-                                     {"allowSingleQuotes": "false"}).alias("_v")))
-    single = (F.size("_v") == 1) & F.trim(F.translate("_text", "\t\r\n", "   ")).rlike(r"(?s)^\{.*\}$")
-    raw = {f: F.get(F.col("_v"), F.lit(0))[f] for f in _TYPES}
-    some_null = F.lit(False)
+    step = envelope.select(*cols, text.alias("_text"))
+    whole = F.concat(F.lit("["), F.col("_text"), F.lit("]"))
+    step = step.select(*cols, "_text", F.from_json(whole, f"array<{_AS_TEXT}>", {"allowSingleQuotes": "false"}).alias("_v"))
+    bare = F.trim(F.translate("_text", "\t\r\n", "   "))
+    single = (F.size("_v") == 1) & bare.startswith("{") & bare.endswith("}")
+    step = step.select(*cols, "_text", single.alias("_single"), F.get("_v", F.lit(0)).alias("_m"))
+    raw = {f: F.col("_m")[f] for f in _TYPES}
+    typed = {f: raw[f].try_cast(_TYPES[f]) if f in _NUMERIC else raw[f] for f in _TYPES}
+    typed["timestamp_ms"] = raw["timestamp_ms"].try_cast("decimal(38,9)").try_cast("bigint")
+    step = step.select(*cols, "_text", "_single", "_m", *[x.alias(f"_t_{f}") for f, x in typed.items()])
+    some_null, bad_type = F.lit(False), F.lit(False)
     for f in REQUIRED_FIELDS:
         some_null = some_null | raw[f].isNull()
+    for f in _NUMERIC:
+        bad_type = bad_type | (raw[f].isNotNull() & F.col(f"_t_{f}").isNull())
+    step = step.select(*cols, "_text", "_single", some_null.alias("_some_null"), bad_type.alias("_bad_type"), *[f"_t_{f}" for f in _TYPES])
     keys = F.json_object_keys("_text")
     required = F.array(*[F.lit(f) for f in REQUIRED_FIELDS])
-    typed = {f: raw[f].try_cast(_TYPES[f]) if f in _NUMERIC else raw[f] for f in _TYPES}
-    typed["timestamp_ms"] = raw["timestamp_ms"].try_cast("decimal(38,9)").try_cast("bigint")
-    bad_type = F.lit(False)
-    for f in _NUMERIC:
-        bad_type = bad_type | (raw[f].isNotNull() & typed[f].isNull())
     reason = (F.when(F.col("_text").isNull(), REASON_ENCODING)
-              .when(~F.coalesce(single, F.lit(False)) | (some_null & keys.isNull()), REASON_JSON)
-              .when(some_null & (F.size(F.array_except(required, keys)) > 0), REASON_MISSING)
-              .when(some_null & F.lit(require_values), REASON_NULL)
-              .when(bad_type, REASON_TYPE)
-              .when(F.abs(typed["timestamp_ms"].cast("decimal(20,0)")) > MAX_EPOCH_MS, REASON_RANGE))
+              .when(~F.coalesce("_single", F.lit(False)) | (F.col("_some_null") & keys.isNull()), REASON_JSON)
+              .when(F.col("_some_null") & (F.size(F.array_except(required, keys)) > 0), REASON_MISSING)
+              .when(F.col("_some_null") & F.lit(require_values), REASON_NULL)
+              .when(F.col("_bad_type"), REASON_TYPE)
+              .when((F.col("_t_timestamp_ms") > MAX_EPOCH_MS) | (F.col("_t_timestamp_ms") < -MAX_EPOCH_MS), REASON_RANGE))
     # The parse result leaves through a one-element ``inline`` generator: a
     # filter on its columns (good vs rejected) cannot be pushed below a
     # generator, so Catalyst does not re-inline the whole decode into the scan
     # predicate (which parsed every message twice, in an interpreted Filter).
-    result = F.struct(reason.alias("reason"), *[typed[f].alias(f) for f in _TYPES])
-    return step.select(*envelope.columns, F.inline(F.array(result)))
+    result = F.struct(reason.alias("reason"), *[F.col(f"_t_{f}").alias(f) for f in _TYPES])
+    return step.select(*cols, F.inline(F.array(result)))
 
 
 def valid_records(parsed: DataFrame) -> DataFrame:

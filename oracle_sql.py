@@ -410,11 +410,21 @@ STAGED_SQL = (f"SELECT r.id * 1024 + e.user_id % 3 AS id, {RAW_OUT.removeprefix(
 ORACLE["s04_micro_batch_ingest"] = q([], STAGED_SQL, RAW_DBL)
 ORACLE["t02_bounded_drain_replay"] = ORACLE["s04_micro_batch_ingest"]
 ORACLE["t03_failed_flush_restart"] = ORACLE["s04_micro_batch_ingest"]
-ORACLE["t01_stream_dead_letters"] = q([DLQ], 'SELECT "offset", "partition", error_reason, reason_detail FROM dlq')
+# The bytes of a rejected message: view E's record as JSON with its planted fault, two bytes before it for bad UTF-8.
+MESSAGE_TEXT = """'{"symbol":"' || symbol || '","exchange":"' || exchange || '","timeframe":"1m","timestamp_ms":' || timestamp_ms
+  || ',"open":' || CASE WHEN kind = 'bad_type' THEN '"abc"' ELSE CAST(open AS VARCHAR) END || ',"high":' || CAST(high AS VARCHAR)
+  || ',"low":' || CAST(low AS VARCHAR) || ',"close":' || CAST(close AS VARCHAR)
+  || CASE WHEN kind = 'missing_fields' THEN '' ELSE ',"volume":' || CAST(volume AS VARCHAR) END
+  || ',"fetched_at":"' || strftime(ingested_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00"}'"""
+DLQ_BYTES = f"""texts AS (
+  SELECT d.*, d.reason_detail AS kind, {MESSAGE_TEXT.replace("kind", "d.reason_detail")} AS text FROM dlq d JOIN raw_e ON id = d.offset),
+dlq_bytes AS (
+  SELECT *, CASE kind WHEN 'bad_encoding' THEN 'FFFE' || hex(text) WHEN 'invalid_json' THEN hex(text[:-2]) ELSE hex(text) END AS value_hex FROM texts)"""
+ORACLE["t01_stream_dead_letters"] = q([DLQ, DLQ_BYTES], 'SELECT "offset", "partition", error_reason, reason_detail, value_hex FROM dlq_bytes')
 ORACLE["s05_decode_messages"] = q([], f"""SELECT id AS offset, symbol, exchange, '1m' AS timeframe, timestamp_ms,
   open, high, low, close, volume FROM raw_e WHERE id IN (SELECT event_id FROM events WHERE {GOOD})""", RAW_DBL)
-ORACLE["s06_dead_letters"] = q([DLQ], 'SELECT "offset", "partition", error_reason, reason_detail, '
-                                      "'error_reason' AS header_key, 'parse_error' AS header_value FROM dlq")
+ORACLE["s06_dead_letters"] = q([DLQ, DLQ_BYTES], 'SELECT "offset", "partition", error_reason, reason_detail, value_hex, '
+                                                 "'error_reason' AS header_key, 'parse_error' AS header_value FROM dlq_bytes")
 LF = "lf AS (SELECT *, CAST(epoch_ms(timestamp_ms) AS DATE) AS day FROM raw_l)"
 ORACLE["s07_insert_ignore"] = q([LF, "tgt AS (SELECT DISTINCT symbol, exchange, timestamp_ms FROM lf WHERE day < DATE '1998-01-01')",
                                  "b AS (SELECT *, row_number() OVER (PARTITION BY symbol, exchange, timestamp_ms "

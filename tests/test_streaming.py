@@ -4,7 +4,7 @@ from pyspark.errors import StreamingQueryException
 from barline.operators.dedupe import in_batch_range
 from barline.plans.registry import QUERIES, message_files
 from barline.session import work_path
-from barline.streaming.ingest import drain
+from barline.streaming.ingest import drain, read_staging
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,7 +35,7 @@ def test_continuous_consumer_on_file_source(spark):
     finally:
         q.stop()
     once = QUERIES["s04_micro_batch_ingest"](spark, SF)
-    got = spark.read.parquet(f"{base}/staging").select(*once.columns)
+    got = read_staging(spark, f"{base}/staging").select(*once.columns)
     assert got.count() == once.count() > 0
 
 
@@ -49,9 +49,9 @@ def test_failed_batch_leaves_staging_incomplete_until_restart(spark):
     kw = dict(source_options={"maxFilesPerTrigger": "1"}, ingested_at="timestamp")
     with pytest.raises(StreamingQueryException, match="injected failure"):
         drain(*args, **kw, before_batch=fail_in_second)
-    partial = spark.read.parquet(f"{base}/staging").count()
+    partial = read_staging(spark, f"{base}/staging").count()
     drain(*args, **kw)
-    whole = spark.read.parquet(f"{base}/staging").count()
+    whole = read_staging(spark, f"{base}/staging").count()
     assert 0 < partial < whole == QUERIES["s04_micro_batch_ingest"](spark, SF).count()
 
 
