@@ -89,6 +89,14 @@ def a02i(spark, sf):
     return rounded(read_candles(spark, path))
 
 
+@query("a02_daily_from_hourly_state")
+def a02s(spark, sf):
+    """A02 without the raw rows: hourly states, stored, merged into days."""
+    from barline.session import stored
+    hourly = stored(C.candle_state(raw_e(spark, sf), "hour", E_ORDER), "candle_state")
+    return rounded(C.candles_of(C.merge_states(hourly)))
+
+
 @query("a03_vwap")
 def a03(spark, sf):
     h = C.hourly_candles(raw_e(spark, sf), E_ORDER)

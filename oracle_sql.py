@@ -469,6 +469,7 @@ FROM raw_e r JOIN events e ON e.event_id = r.id""", ["abs_move", "range_max", "s
                                                      "close_over_open", "open_or_close", "first_price",
                                                      "last_price"])
 ORACLE["a02_daily_candles_incremental"] = ORACLE["a02_daily_candles"]
+ORACLE["a02_daily_from_hourly_state"] = ORACLE["a02_daily_candles"]
 ORACLE["w02_w13_macros_split_series"] = q([], """SELECT id, symbol, exchange,
   avg(close) OVER (PARTITION BY symbol, exchange ORDER BY timestamp_ms, id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS sma_5,
   stddev_samp(close) OVER (PARTITION BY symbol, exchange ORDER BY timestamp_ms, id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS std_20,

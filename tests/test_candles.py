@@ -84,10 +84,30 @@ def test_packed_order_key_orders_like_struct(spark):
     assert got == sorted(rows)
 
 
-def test_declared_widths_are_checked(spark):
-    df = spark.createDataFrame([(2 ** 50, 1)], "timestamp_ms long, id long")
-    with pytest.raises(Exception):
-        df.select(C.order_key(df, ["timestamp_ms", "id"], {"timestamp_ms": 44})).collect()
+def test_data_beyond_declared_widths_take_the_struct_key(spark):
+    rows = [(2 ** 50, 1, 4), (2 ** 50, -7, 4), (3, 2 ** 60, 4)]
+    df = spark.createDataFrame(rows, "timestamp_ms long, id long, line long")
+    bits = {"timestamp_ms": 44, "id": 40, "line": 8}
+    order = ["timestamp_ms", "id", "line"]
+    wide = df.select("*", C.order_key(df, order, bits).alias("k"))
+    assert wide.schema["k"].dataType.typeName() == "struct"
+    assert [tuple(r)[:3] for r in wide.orderBy("k").collect()] == sorted(rows)
+    fits = df.filter("id < 100 AND timestamp_ms < 100").union(spark.createDataFrame([(5, None, 4)], df.schema))
+    assert fits.select(C.order_key(fits, order, bits).alias("k")).schema["k"].dataType.typeName() == "decimal"
+
+
+def test_states_merge_into_days_and_unions(spark):
+    import random
+    rnd = random.Random(3)
+    cols = "id long, symbol string, exchange string, timestamp_ms long, open double, high double, low double, close double, volume double"
+    rows = [(i, rnd.choice("AB"), "x", rnd.randrange(3 * 86_400_000), *[float(rnd.randrange(100)) for _ in range(4)], float(rnd.randrange(3))) for i in range(500)]
+    rows += [(1000 + i, "A", "x", 7_200_000, float(i), 1.0, 1.0, float(i), 1.0) for i in range(5)]     # ties in time
+    raw = spark.createDataFrame(rows, cols)
+    hourly = C.candle_state(raw, "hour")
+    for want, got in ((C.hourly_candles(raw), C.candles_of(hourly)), (C.daily_candles(raw), C.candles_of(C.merge_states(hourly))),
+                      (C.daily_candles(raw), C.candles_of(C.merge_states(C.candle_state(raw.filter("id % 3 = 0"), "day").union(C.candle_state(raw.filter("id % 3 <> 0"), "day")))))):
+        assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    assert "SortAggregate" not in C.merge_states(hourly)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_wide_order_falls_back_to_struct(spark):
