@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from barline.operators.candles import first_last_rows
 from barline.schemas import CANDLE_KEY
@@ -68,11 +69,47 @@ def high_water_mark(target: DataFrame, symbol: str, column: str = "timestamp_ms"
             .select(F.lit(symbol).alias("symbol"), "last_timestamp_ms"))
 
 
+def update_marks(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str] = ("symbol",),
+                 column: str = "timestamp_ms") -> None:
+    """Merge a batch's maxima into the stored marks: one row a series, a new version
+    of the table each time. A maximum may be merged again, so a replay is harmless."""
+    own = high_water_marks(batch, keys, column)
+    old = read_marks(spark, path)
+    version = 0
+    if old is not None:
+        version = int(spark.read.parquet(path).agg(F.max("version")).first()[0]) + 1
+        own = own.unionByName(old).groupBy(*keys).agg(F.max("last_timestamp_ms").alias("last_timestamp_ms"))
+    own.coalesce(1).write.parquet(f"{path}/version={version}")
+
+
+def read_marks(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest marks (A09 without the history), or None before the first batch."""
+    try:
+        every = spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    newest = int(every.agg(F.max("version")).first()[0])
+    return every.filter(F.col("version") == newest).drop("version")
+
+
+def newer_than_marks(batch: DataFrame, marks: DataFrame | None, keys: Sequence[str] = ("symbol",),
+                     column: str = "timestamp_ms") -> DataFrame:
+    """Keep batch rows strictly newer than their series' mark (all rows of a
+    series without one)."""
+    if marks is None:
+        return batch
+    known = marks.select(*[F.col(k).alias(f"_mark_{k}") for k in keys], F.col("last_timestamp_ms").alias("_mark"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_mark_{k}"))
+    return (batch.join(known, same, "left").filter(F.col("_mark").isNull() | (F.col(column) > F.col("_mark")))
+            .select(*batch.columns))
+
+
 def newer_than_last(batch: DataFrame, target: DataFrame, keys: Sequence[str] = ("symbol",),
                     column: str = "timestamp_ms") -> DataFrame:
-    """Keep batch rows strictly newer than the target's high-water mark of
-    their series (all rows of a series the target has not seen)."""
-    marks = high_water_marks(target, keys, column)
-    return (batch.join(marks, list(keys), "left")
-            .filter(F.col("last_timestamp_ms").isNull() | (F.col(column) > F.col("last_timestamp_ms")))
-            .drop("last_timestamp_ms"))
+    """S10 against the target's own rows, where no marks are kept: a scan of its
+    key and time columns."""
+    return newer_than_marks(batch, high_water_marks(target, keys, column), keys, column)

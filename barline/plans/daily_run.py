@@ -16,12 +16,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from barline.operators.candles import daily_candles, hourly_candles, int_ohlcv_daily
+from barline.operators.candles import candle_state, candles_of, int_ohlcv_daily, merge_states
 from barline.operators.indicators import compute_all_indicators
 from barline.operators.marts import dim_trading_pairs, fct_market_daily
 from barline.operators.staging import stg_raw_ohlcv
 from barline.plans.monitoring import table_counts
-from barline.plans.quality import TableChecks, check_report, run_passed
+from barline.plans.quality import TableChecks, observed, observed_report, run_passed
 from barline.plans.runlog import current_runs, single_event
 from barline.functions.signals import BAND_POSITIONS, RSI_SIGNALS
 from barline.sources.tables import by_partition
@@ -51,7 +51,8 @@ def daily_run(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str,
               clock=lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) -> DataFrame:
     """Run every stage over ``raw``; returns ``(table_name, row_count)`` of the outputs.
 
-    ``raw`` is the whole raw table, not an increment: every output is replaced.
+    ``raw`` is the whole raw table, not an increment: every output is replaced
+    (:mod:`barline.plans.incremental_run` updates the touched dates of a staging table).
     With ``fail_on_checks`` a failed data-quality check fails the run (it is
     recorded as ``failed`` with the number of failed checks); otherwise the
     check report is written and the run succeeds.
@@ -73,27 +74,29 @@ def daily_run(spark: SparkSession, raw: DataFrame, out_dir: str, run_id: str,
             rows = _write(dated, f"{out_dir}/raw_ohlcv", "raw", ("candle_period",),
                           ("symbol", "timestamp_ms"))
             stored = spark.read.parquet(f"{out_dir}/raw_ohlcv").drop("candle_period")
-            _write(hourly_candles(stored, order_by, order_bits), f"{out_dir}/ohlcv_hourly", "hourly")
-            _write(daily_candles(stored, order_by, order_bits), f"{out_dir}/ohlcv_daily", "daily")
+            # raw rows are rolled up once; days come from the hourly states
+            _write(candle_state(stored, "hour", order_by, order_bits=order_bits), f"{out_dir}/candle_state", "state")
+            state = spark.read.parquet(f"{out_dir}/candle_state")
+            _write(candles_of(state), f"{out_dir}/ohlcv_hourly", "hourly")
+            _write(candles_of(merge_states(state)), f"{out_dir}/ohlcv_daily", "daily")
             daily = spark.read.parquet(f"{out_dir}/ohlcv_daily")
             _write(compute_all_indicators(daily, partition_by=series),
                    f"{out_dir}/technical_indicators", "indicators")
             ind = spark.read.parquet(f"{out_dir}/technical_indicators")
             staged = stg_raw_ohlcv(stored, extra=extra)
-            _write(int_ohlcv_daily(staged, order_by, order_bits), f"{out_dir}/int_ohlcv_daily", "int")
+            # one-row checks are counted as the tables are written; ``unique`` alone is a query
+            seen = [observed(TableChecks("stg_raw_ohlcv", staged, not_null=("id", "symbol", "timestamp_ms", "volume")))]
+            seen.append(observed(TableChecks("int_ohlcv_daily", int_ohlcv_daily(seen[0].df, order_by, order_bits),
+                                             not_null=("symbol", "date", "volume"))))
+            _write(seen[1].df, f"{out_dir}/int_ohlcv_daily", "int")
             inter = spark.read.parquet(f"{out_dir}/int_ohlcv_daily")
             keys = ("symbol", "exchange", "date") if "exchange" in series else ("symbol", "date")
-            _write(fct_market_daily(inter, ind, keys), f"{out_dir}/fct_market_daily", "fct")
+            seen.append(observed(TableChecks("fct_market_daily", fct_market_daily(inter, ind, keys), not_null=("symbol", "date", "close"),
+                                             accepted={"rsi_signal": RSI_SIGNALS, "bb_position": BAND_POSITIONS},
+                                             custom={"assert_positive_volume": F.col("volume") < 0})))
+            _write(seen[2].df, f"{out_dir}/fct_market_daily", "fct")
             _write(dim_trading_pairs(inter), f"{out_dir}/dim_trading_pairs", "dim")
-            fct = spark.read.parquet(f"{out_dir}/fct_market_daily")
-            report = check_report([
-                TableChecks("stg_raw_ohlcv", staged, not_null=("id", "symbol", "timestamp_ms", "volume"),
-                            unique=("id",)),
-                TableChecks("int_ohlcv_daily", inter, not_null=("symbol", "date", "volume")),
-                TableChecks("fct_market_daily", fct, not_null=("symbol", "date", "close"),
-                            accepted={"rsi_signal": RSI_SIGNALS, "bb_position": BAND_POSITIONS},
-                            custom={"assert_positive_volume": F.col("volume") < 0}),
-            ])
+            report = observed_report(spark, seen, [TableChecks("stg_raw_ohlcv", staged, unique=("id",))])
             _write(report, f"{out_dir}/check_report", "report")
             if fail_on_checks:
                 verdict = run_passed(spark.read.parquet(f"{out_dir}/check_report")).first()

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.functions.signals import run_status_code
+from barline.plans.quality import failed_runs
 
 # The tables a health count may name.
 COUNTABLE_TABLES = ("raw_ohlcv", "ohlcv_hourly", "ohlcv_daily", "technical_indicators",
@@ -21,8 +22,8 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(table_name, row_count)`` for an allow-listed set of tables.
 
     Unknown names raise ``ValueError`` (the allow-list guards the table name).
-    Each count is its own aggregate (Parquet answers it from metadata); the
-    results are unioned, not collected.
+    Each count is its own aggregate (of a stored Parquet table: from file
+    footers); the results are unioned, not collected.
     """
     parts = []
     for name, df in tables.items():
@@ -36,10 +37,48 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def health(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Health rows ``(component, table_name, row_count, status)``."""
-    return table_counts(tables).select(F.lit("storage").alias("component"), "table_name",
-                                       "row_count", F.lit("up").alias("status"))
+HEALTH_ROW = "component string, table_name string, row_count long, status string, error string"
+
+
+def health(spark: SparkSession, tables: Mapping[str, str | DataFrame], runs: DataFrame | None = None,
+           now: Column | None = None, window: str = "5 minutes") -> DataFrame:
+    """The health check: ``component, table_name, row_count, status, error``.
+
+    ``tables`` are stored tables, by Parquet path or as read; a count reads file
+    footers only. A table that cannot be read is ``down`` with its error, and so is
+    the run log (``runs``: current states) if it cannot be read or a run failed
+    within ``window`` before ``now``. The last row, ``overall``, is ``up`` only if
+    every other one is. One job a table, of a fixed allow-list.
+    """
+    rows = []
+    for name, table in tables.items():
+        if name not in COUNTABLE_TABLES:
+            raise ValueError(f"Unknown table: {name}")
+        rows.append(_probe("storage", name, lambda t=table: (spark.read.parquet(t) if isinstance(t, str) else t).count()))
+    if runs is not None:
+        def no_failure():
+            n = failed_runs(runs, F.current_timestamp() if now is None else now, window).first()["failures"]
+            if n:
+                raise RuntimeError(f"{n} failed runs")
+            return runs.count()
+        rows.append(_probe("runs", "pipeline_runs", no_failure))
+    bad = sum(r[3] == "down" for r in rows)
+    rows.append(("overall", None, None, "down" if bad else "up", f"{bad} of {len(rows)} components down" if bad else None))
+    return spark.createDataFrame(rows, HEALTH_ROW)
+
+
+def _probe(component: str, name: str, count) -> tuple:
+    try:
+        return component, name, int(count()), "up", None
+    except Exception as exc:  # whatever keeps a table from being read is its health
+        return component, name, None, "down", str(exc).splitlines()[0][:500]
+
+
+def require_healthy(report: DataFrame) -> None:
+    """Raise if the report's ``overall`` row is ``down`` (the health step of a run)."""
+    bad = report.filter("status = 'down'").collect()
+    if bad:
+        raise RuntimeError("unhealthy: " + "; ".join(f"{r['table_name'] or r['component']}: {r['error']}" for r in bad))
 
 
 def ingest_rate(raw: DataFrame, now: Column, hours: int = 24) -> DataFrame:

@@ -3,7 +3,11 @@
 Each check is a DataFrame of failing rows (a test passes when it is empty).
 The report (Q05) does not run one job per check: all ``not_null`` and
 ``accepted_values`` checks of one table fold into a single aggregation pass
-of ``count_if`` expressions; ``unique`` is one partial-aggregated group-by.
+of ``count_if`` expressions. Where the table is being written anyway they ride
+on the write as ``observe`` metrics (``observed``, ``observed_report``) and read
+nothing again. ``unique`` of dense whole numbers compares bitmaps with row counts,
+so buckets of 32,768 ids are shuffled, not ids; the ids of unequal buckets alone
+are grouped.
 """
 
 from __future__ import annotations
@@ -11,8 +15,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Ids of a bitmap bucket (fixed by Spark), and how many of them must be in use on
+#: average for its 4 KB to be fewer than the ids' own 8 bytes each.
+BUCKET_IDS, LEAST_IN_USE = 32_768, 512
 
 
 def not_null_failures(df: DataFrame, column: str) -> DataFrame:
@@ -20,10 +29,29 @@ def not_null_failures(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
 
 
-def unique_failures(df: DataFrame, column: str) -> DataFrame:
-    """Q02: values of ``column`` occurring more than once (NULLs ignored)."""
-    return (df.filter(F.col(column).isNotNull()).groupBy(column)
-            .agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1))
+def unique_failures(df: DataFrame, column: str, dense: bool | None = None) -> DataFrame:
+    """Q02: values of ``column`` occurring more than once (NULLs ignored).
+
+    ``dense`` says that a whole-number column fills its range well enough for
+    bitmaps; by default one aggregation over the column decides. Task by task the
+    bitmaps stay small if rows lie roughly in id order, as staged rows do.
+    """
+    known = df.filter(F.col(column).isNotNull())
+    whole = isinstance(df.schema[column].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+    if whole and dense is None:
+        span = known.agg((F.max(column).cast("decimal(20,0)") - F.min(column).cast("decimal(20,0)")).alias("span"), F.count(F.lit(1)).alias("n")).first()
+        dense = bool(span["n"]) and int(span["span"]) + 1 <= span["n"] * (BUCKET_IDS // LEAST_IN_USE)
+    if whole and dense:
+        known = known.join(repeated_buckets(known, column), F.bitmap_bucket_number(F.col(column).cast("long")) == F.col("_bucket"), "left_semi")
+    return known.groupBy(column).agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1)
+
+
+def repeated_buckets(df: DataFrame, column: str) -> DataFrame:
+    """The id buckets that hold more rows than different ids."""
+    value = F.col(column).cast("long")
+    return (df.groupBy(F.bitmap_bucket_number(value).alias("_bucket"))
+            .agg(F.count(F.lit(1)).alias("_rows"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(value))).alias("_ids"))
+            .filter("_rows > _ids").select("_bucket"))
 
 
 def accepted_values_failures(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
@@ -53,31 +81,62 @@ def _failures_row(check: str, table: str, column: str | None, failures: Column)
                     failures.cast("long").alias("failures"))
 
 
-def check_report(tables: Sequence[TableChecks]) -> DataFrame:
-    """Q05: one row per check: ``check_name, table_name, column_name, failures, passed``."""
-    parts = []
-    for t in tables:
-        rows = []
-        for c in t.not_null:
-            rows.append(_failures_row("not_null", t.table, c, F.count_if(F.col(c).isNull())))
-        for c, vals in t.accepted.items():
-            bad = F.col(c).isNotNull() & ~F.col(c).isin(list(vals))
-            rows.append(_failures_row("accepted_values", t.table, c, F.count_if(bad)))
-        for name, pred in t.custom.items():
-            rows.append(_failures_row(name, t.table, None, F.count_if(pred)))
-        if rows:
-            parts.append(t.df.agg(F.array(*rows).alias("r"))
-                         .select(F.explode("r").alias("r")).select("r.*"))
-        for c in t.unique:
-            dup = unique_failures(t.df, c).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(dup.select(_failures_row("unique", t.table, c, F.col("n")).alias("r"))
-                         .select("r.*"))
+def _row_checks(t: TableChecks) -> list[tuple[str, str | None, Column]]:
+    """(check, column, failing-row predicate) of the checks that look at one row at a time."""
+    out = [("not_null", c, F.col(c).isNull()) for c in t.not_null]
+    out += [("accepted_values", c, F.col(c).isNotNull() & ~F.col(c).isin(list(vals))) for c, vals in t.accepted.items()]
+    return out + [(name, None, pred) for name, pred in t.custom.items()]
+
+
+def _unique_rows(t: TableChecks) -> list[DataFrame]:
+    return [unique_failures(t.df, c).agg(F.count(F.lit(1)).alias("n"))
+            .select(_failures_row("unique", t.table, c, F.col("n")).alias("r")).select("r.*") for c in t.unique]
+
+
+def _reported(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("passed", F.col("failures") == 0)
 
 
+def check_report(tables: Sequence[TableChecks]) -> DataFrame:
+    """Q05: one row per check: ``check_name, table_name, column_name, failures, passed``."""
+    parts = []
+    for t in tables:
+        if rows := [_failures_row(name, t.table, c, F.count_if(bad)) for name, c, bad in _row_checks(t)]:
+            parts.append(t.df.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*"))
+        parts += _unique_rows(t)
+    return _reported(parts)
+
+
+@dataclass
+class Observed:
+    """Checks whose counts come with the next job that runs over ``df`` in full (its write)."""
+    checks: TableChecks
+    observation: Observation
+    df: DataFrame
+
+
+def observed(checks: TableChecks) -> Observed:
+    """The table with its one-row checks counted as it passes by."""
+    obs = Observation(f"checks_{checks.table}")
+    counts = [F.count_if(bad).alias(f"c{i}") for i, (_, _, bad) in enumerate(_row_checks(checks))]
+    return Observed(checks, obs, checks.df.observe(obs, F.count(F.lit(1)).alias("rows"), *counts))
+
+
+def observed_report(spark: SparkSession, tables: Sequence[Observed], stored: Sequence[TableChecks] = ()) -> DataFrame:
+    """Q05 after the writes: counts that came with them, and the ``unique`` checks
+    of ``stored`` tables as queries. A stage that ran again after a lost executor
+    may count a failing row twice; it never turns a failure into a pass."""
+    rows = []
+    for t in tables:
+        found = t.observation.get
+        rows += [(name, t.checks.table, c, int(found[f"c{i}"])) for i, (name, c, _) in enumerate(_row_checks(t.checks))]
+    counted = spark.createDataFrame(rows, "check_name string, table_name string, column_name string, failures long")
+    return _reported([counted, *[p for t in stored for p in _unique_rows(t)]])
+
+
 def run_passed(report: DataFrame) -> DataFrame:
     """One row: does the whole run pass (every check has zero failures)?"""
     return report.agg(F.coalesce(F.min(F.col("passed").cast("int")), F.lit(1)).cast("boolean")
@@ -105,3 +164,11 @@ def freshness(staging: DataFrame, dead_letters: DataFrame | None, now: Column,
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("passed", F.col("failures") == 0)
+
+
+def failed_runs(runs: DataFrame, now: Column, window: str = "5 minutes") -> DataFrame:
+    """Q06: the alert on pipeline errors: runs that failed within ``window`` before
+    ``now``, one row like those of :func:`freshness`. ``runs``: current run states."""
+    recent = (F.col("status") == "failed") & (F.col("finished_at") > now - F.expr(f"INTERVAL {window}")) & (F.col("finished_at") <= now)
+    return (runs.agg(F.count_if(recent).cast("long").alias("failures"))
+            .select(F.lit("failed_runs").alias("check_name"), "failures").withColumn("passed", F.col("failures") == 0))

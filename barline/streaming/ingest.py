@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.operators.dedupe import anti_join, new_rows
+from barline.operators.dedupe import anti_join, new_rows, update_marks
 from barline.schemas import CANDLE_KEY, DEAD_LETTER, MESSAGE_ENVELOPE, RAW_OHLCV
 from barline.sources.messages import dead_letters, message_id, parse_messages, to_raw_rows, valid_records
 from barline.streaming.manifest import TARGET_BYTES, FileTable, compact
@@ -83,12 +83,13 @@ def _spans(parsed: DataFrame) -> tuple[dict, tuple[int, int] | None]:
 
 def ingest_batch(batch: DataFrame, staging: FileTable, letters: FileTable, batch_id: int = 0,
                  ingested_at: str | None = None, dead_letter_format: str | None = None,
-                 dead_letter_options: Mapping[str, str] | None = None) -> dict[str, list[str]]:
+                 dead_letter_options: Mapping[str, str] | None = None,
+                 marks_path: str | None = None) -> dict[str, list[str]]:
     """Process one micro-batch (S04 body): two idempotent appends.
 
     With ``dead_letter_format`` (any Spark sink, e.g. ``kafka``) the rejects also go
-    there as ``key, value, headers``, once for each try of the batch. Returns the
-    files that were opened, by table.
+    there as ``key, value, headers``, once for each try of the batch. ``marks_path``
+    keeps the high-water marks by symbol. Returns the files that were opened, by table.
     """
     # Both outputs read the same parse: cache it for the life of the batch.
     parsed = parse_messages(drop_tombstones(batch)).persist()
@@ -103,6 +104,8 @@ def ingest_batch(batch: DataFrame, staging: FileTable, letters: FileTable, batch
             opened["staging"] = [e.file for e in near]
             fresh = new_rows(rows, staging.read(near) if near else None, CANDLE_KEY, ("timestamp_ms", "id"))
             staging.append(fresh, batch_id)
+            if marks_path:
+                update_marks(batch.sparkSession, marks_path, rows)
         if offsets:
             rejects = dead_letters(parsed, (*DLQ_KEY, "timestamp"))
             if dead_letter_format:
@@ -122,7 +125,8 @@ def start_ingest(spark: SparkSession, source: str, checkpoint: str, staging_path
                  ingested_at: str | None = None, before_batch: Callable[[int], None] | None = None,
                  compact_every: int | None = None, target_bytes: int = TARGET_BYTES,
                  after_batch: Callable[[int, dict], None] | None = None,
-                 dead_letter_format: str | None = None, dead_letter_options: Mapping[str, str] | None = None):
+                 dead_letter_format: str | None = None, dead_letter_options: Mapping[str, str] | None = None,
+                 marks_path: str | None = None):
     """Start the ingest query (T01/T02). ``source`` is a path for file formats,
     ignored for ``kafka`` (give ``subscribe``/``kafka.bootstrap.servers`` and
     ``startingOffsets=earliest`` in ``source_options``).
@@ -143,7 +147,7 @@ def start_ingest(spark: SparkSession, source: str, checkpoint: str, staging_path
     def run_batch(df: DataFrame, batch_id: int) -> None:
         if before_batch is not None:
             before_batch(batch_id)
-        opened = ingest_batch(df, staging, letters, batch_id, ingested_at, dead_letter_format, dead_letter_options)
+        opened = ingest_batch(df, staging, letters, batch_id, ingested_at, dead_letter_format, dead_letter_options, marks_path)
         if compact_every and batch_id % compact_every == compact_every - 1:
             for table in (staging, letters):
                 compact(table, target_bytes)
