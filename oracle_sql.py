@@ -363,12 +363,11 @@ ORACLE["k04_latest_runs"] = q([RUNS], """SELECT started_at AS time, run_id,
   CASE status WHEN 'success' THEN 1.0 WHEN 'running' THEN 0.5 ELSE 0.0 END::DOUBLE AS status
 FROM cur ORDER BY started_at DESC, run_id DESC LIMIT 10""", ["status"])
 
-ORACLE["a08_table_counts"] = q([RUNS], """
-SELECT 'raw_ohlcv' AS table_name, count(*) AS row_count FROM raw_e
+A08_STORAGE = """SELECT 'raw_ohlcv' AS table_name, count(*) AS row_count FROM raw_e
 UNION ALL SELECT 'ohlcv_hourly', count(*) FROM (SELECT DISTINCT symbol, exchange, date_trunc('hour', epoch_ms(timestamp_ms)) FROM raw_e) h
 UNION ALL SELECT 'ohlcv_daily', count(*) FROM (SELECT DISTINCT symbol, exchange, CAST(epoch_ms(timestamp_ms) AS DATE) FROM raw_e) d
-UNION ALL SELECT 'technical_indicators', count(*) FROM (SELECT DISTINCT symbol, exchange, CAST(epoch_ms(timestamp_ms) AS DATE) FROM raw_e) i
-UNION ALL SELECT 'pipeline_runs', count(*) FROM cur""")
+UNION ALL SELECT 'technical_indicators', count(*) FROM (SELECT DISTINCT symbol, exchange, CAST(epoch_ms(timestamp_ms) AS DATE) FROM raw_e) i"""
+ORACLE["a08_table_counts"] = q([RUNS], A08_STORAGE + " UNION ALL SELECT 'pipeline_runs', count(*) FROM cur")
 ORACLE["a09_high_water_mark"] = q([], """SELECT symbol, max(timestamp_ms) AS last_timestamp_ms FROM raw_e GROUP BY symbol
 UNION ALL SELECT 'UNKNOWN/PAIR', max(timestamp_ms) FROM raw_e WHERE symbol = 'UNKNOWN/PAIR'""")
 ORACLE["a10_ingest_rate"] = q([], f"""SELECT date_trunc('hour', ingested_at) AS time, count(*) AS rows_ingested
@@ -478,3 +477,25 @@ ORACLE["w02_w13_macros_split_series"] = q([], """SELECT id, symbol, exchange,
     / nullif(lag(close, 1) OVER (PARTITION BY symbol, exchange ORDER BY timestamp_ms, id), 0) AS pct_1
 FROM raw_e""", ["sma_5", "std_20", "close_lag_1", "pct_1"])
 ORACLE["w11_all_indicators_split_series"] = ORACLE["w11_all_indicators"]
+COARSE = "CAST(1024 AS DOUBLE)"
+ORACLE["w11_indicators_resumed"] = ORACLE["w11_all_indicators"].replace(GRID, COARSE)
+ORACLE["s04_compacted_staging"] = ORACLE["s04_micro_batch_ingest"]
+ORACLE["q06_failed_runs"] = q([RUNS], f"""SELECT 'failed_runs' AS check_name, n AS failures, n = 0 AS passed FROM (
+  SELECT count(*) AS n FROM cur WHERE status = 'failed' AND finished_at > {NOW} - INTERVAL 20 DAY AND finished_at <= {NOW}) f""")
+ORACLE["a08_health"] = q([RUNS, "counts AS (" + A08_STORAGE + ")",
+                          f"bad AS (SELECT count(*) AS n, (SELECT count(*) FROM cur) AS runs FROM cur WHERE status = 'failed' "
+                          f"AND finished_at > {NOW} - INTERVAL 20 DAY AND finished_at <= {NOW})"],
+                         "SELECT 'storage' AS component, table_name, row_count, 'up' AS status, CAST(NULL AS VARCHAR) AS error FROM counts "
+                         "UNION ALL SELECT 'runs', 'pipeline_runs', CASE WHEN n = 0 THEN runs END, CASE WHEN n = 0 THEN 'up' ELSE 'down' END, "
+                         "CASE WHEN n > 0 THEN n || ' failed runs' END FROM bad "
+                         "UNION ALL SELECT 'overall', NULL, NULL, CASE WHEN n = 0 THEN 'up' ELSE 'down' END, "
+                         "CASE WHEN n > 0 THEN '1 of 5 components down' END FROM bad")
+STAGED_E = f"staged AS ({STAGED_SQL})"
+STG_S = STG_E.replace("raw_e", "staged").replace("stg_e AS", "stg_s AS", 1)
+INT_S = INT_E.replace("stg_e", "stg_s").replace("int_e AS", "int_s AS", 1)
+DS = "ds AS (" + candle_sql("staged", "day", "timestamp_ms, id") + ")"
+ORACLE["r03_incremental_run"] = q([STAGED_E, STG_S, INT_S, DS, indicators_sql("ds", "symbol, exchange")], """SELECT d.symbol, d.exchange, d.date, d.open, d.close, d.volume,
+  d.candle_count, i.sma_25, i.ema_26, i.macd_signal, i.obv,
+  CASE WHEN i.rsi_14 < 30 THEN 'oversold' WHEN i.rsi_14 > 70 THEN 'overbought' ELSE 'neutral' END AS rsi_signal
+FROM int_s d LEFT JOIN ind i ON i.symbol = d.symbol AND i.exchange = d.exchange AND i.date = d.date""",
+                                  ["open", "close", "volume", "sma_25", "ema_26", "macd_signal", "obv"], True)

@@ -12,9 +12,9 @@ def _now():
     return F.lit(dt.datetime(2024, 1, 2, 12, 0))
 
 
-def test_health_rows(spark):
+def test_health_rows_of_frames(spark):
     t = {"raw_ohlcv": spark.range(5), "ohlcv_daily": spark.range(2)}
-    rows = {r["table_name"]: (r["row_count"], r["status"]) for r in MON.health(t).collect()}
+    rows = {r["table_name"]: (r["row_count"], r["status"]) for r in MON.health(spark, t).collect() if r["table_name"]}
     assert rows == {"raw_ohlcv": (5, "up"), "ohlcv_daily": (2, "up")}
 
 
