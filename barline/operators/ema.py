@@ -20,7 +20,7 @@ Spans share one block size as long as their decay rates lie within a factor
 ``RATE_RATIO`` of each other, which keeps ``K <= 8``; others get a group of
 their own. The rule depends on the spans alone.
 
-A series in one task (``position_block=None``) takes the ends from RANGE frames
+A series in one task (the default) takes the ends from RANGE frames
 over ``c``: one exchange on the series key, no join, and a filter on that key
 reaches the scan. With a split position no step holds a series: blocks hold
 ``B`` rows, each group sends its ends to the next ``K`` blocks, where they are
@@ -81,13 +81,12 @@ def with_emas(df: DataFrame, column: str, spans: Sequence[int],
               outs: Sequence[str] | None = None,
               partition_by: str | Sequence[str] = "symbol",
               order_by: str | Sequence[str] = "date",
-              position_block: Column | None = None,
+              split: bool = False,
               position: str | None = None) -> DataFrame:
     """Add one EMA column per span (default names ``ema_<span>``).
 
-    With ``position_block`` (a coarse time bucket such as the day) the row index
-    comes from :func:`barline.operators.series_blocks.with_series_position`
-    instead of a whole-series ``row_number``, and no step holds a whole series:
+    With ``split`` the row index comes from
+    :func:`barline.operators.series_blocks.with_series_position` instead of a whole-series ``row_number``, and no step holds a whole series:
     use it for intraday or hot series. ``position`` names an existing 0-based
     index and takes the split form too; then ``df`` should be a stored table,
     as the block ends read it again.
@@ -95,12 +94,12 @@ def with_emas(df: DataFrame, column: str, spans: Sequence[int],
     outs = list(outs) if outs else [f"ema_{n}" for n in spans]
     pb, ob = _names(partition_by), _names(order_by)
     i = "_ema_i"
-    split = position is not None or position_block is not None
+    split = split or position is not None
     if position is not None:
         rows = df.withColumn(i, F.col(position))
     elif split:
         from barline.operators.series_blocks import with_series_position
-        rows = with_series_position(df, pb, ob, position_block, i)
+        rows = with_series_position(df, pb, ob, i)
     else:
         rows = df.withColumn(i, (F.row_number().over(Window.partitionBy(*pb).orderBy(*ob)) - 1).cast("long"))
     x = F.col(column).cast("double")

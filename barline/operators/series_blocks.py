@@ -6,11 +6,12 @@ macro window (W02-W04) runs over intraday rows, where one symbol may hold a
 third of all rows. Here a series is cut into buckets of at most ``bucket_rows``
 rows plus a halo:
 
-1. **Global row position without a whole-series sort.** Rows are counted per
-   ``(series, block)`` (``block`` is a coarse time bucket such as the day;
-   partial aggregation). A running sum over that small count table (one row
-   per series and day) gives each block's first position. ``row_number()``
-   inside ``(series, block)`` adds the local position.
+1. **Global row position without a whole-series sort.** Rows are range-partitioned
+   by (series, order) and numbered inside their partition, so a hot series, or one
+   hot day of it, is spread over as many tasks as its size asks for. Counts per
+   (series, partition), one small row each, and a running sum over them give the
+   position at which each partition's share of a series begins. The dealt rows are
+   stored once, as both steps read them.
 2. **Buckets with a halo.** Bucket ``b = g div M`` (``M >= lookback``). A row
    that is among the last ``lookback`` rows of its bucket is also sent, as a
    halo row, to bucket ``b + 1``.
@@ -19,8 +20,9 @@ rows plus a halo:
    ``m <= lookback``, ``lag(k)`` with ``k <= lookback``) sees the same rows as
    over the whole series. Halo rows are dropped afterwards.
 
-No task holds more than ``M + lookback`` rows of one series, whatever the
-skew; the result is exact, not sampled.
+No window holds more than ``M + lookback`` rows of one series, and no sort more than
+a range partition (rows that tie in the whole order go together); the result is
+exact, not sampled.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from barline.session import stored
+
 
 def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -43,40 +47,36 @@ def _on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
-def with_series_position(df: DataFrame, partition_by, order_by, block: Column,
-                         out: str = "_g") -> DataFrame:
-    """Add ``out`` = 0-based position of the row in its series by ``order_by``.
-
-    ``block`` must be monotone in ``order_by`` (e.g. the day of the timestamp).
-    """
+def with_series_position(df: DataFrame, partition_by, order_by, out: str = "_g",
+                         partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = 0-based position of the row in its series by ``order_by``
+    (``partitions``: how many range partitions; by default as many as Spark makes)."""
     pb, ob = _cols(partition_by), _cols(order_by)
-    b = df.withColumn("_blk", block)
-    counts = b.groupBy(*pb, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*pb).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*pb, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0))
-                           .alias("_start"))
-    local = F.row_number().over(Window.partitionBy(*pb, "_blk").orderBy(*ob)) - 1
-    rows = b.withColumn("_loc", local)
-    joined = rows.join(starts, _on(rows, starts, [*pb, "_blk"]), "inner") \
-        .select(rows["*"], starts["_start"])
-    return joined.withColumn(out, F.col("_start") + F.col("_loc")).drop("_blk", "_loc", "_start")
+    dealt = df.repartitionByRange(partitions, *pb, *ob) if partitions else df.repartitionByRange(*pb, *ob)
+    # the id counts the rows of a partition in order, below the partition's number
+    rows = stored(dealt.sortWithinPartitions(*pb, *ob).withColumn("_at", F.monotonically_increasing_id()), "series_rows")
+    rows = rows.withColumn("_part", F.shiftright("_at", 33))
+    shares = rows.groupBy(*pb, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*pb).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = shares.select(*pb, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_start"))
+    joined = rows.join(starts, _on(rows, starts, [*pb, "_part"]), "inner").select(rows["*"], starts["_start"])
+    return joined.withColumn(out, F.col("_start") + F.col("_at")).drop("_at", "_part", "_start")
 
 
 def bounded_lookback(df: DataFrame, partition_by, order_by, lookback: int,
-                     columns: Callable[[WindowSpec], list[Column]], block: Column | None,
+                     columns: Callable[[WindowSpec], list[Column]],
                      bucket_rows: int = 1 << 20, position: str | None = None) -> DataFrame:
     """Add the window ``columns`` computed as if partitioned by the whole series.
 
     ``columns(w)`` receives ``w = partition by (series, bucket) order by
     position`` and returns aliased columns whose frames reach at most
     ``lookback`` rows back. ``position`` names an existing series-position
-    column (from :func:`with_series_position`); otherwise it is computed
-    from ``block``.
+    column (from :func:`with_series_position`); otherwise it is computed.
     """
     pb = _cols(partition_by)
     m = max(int(bucket_rows), int(lookback), 1)
     if position is None:
-        pos = with_series_position(df, partition_by, order_by, block, "_g")
+        pos = with_series_position(df, partition_by, order_by, "_g")
     else:
         pos = df.withColumn("_g", F.col(position))
     own = F.floor(F.col("_g") / m)

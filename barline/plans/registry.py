@@ -242,9 +242,7 @@ def w02s(spark, sf):
     raw = raw_e(spark, sf)
     lookback, cols = macro_columns("close", sma_periods=(5,), std_periods=(20,), lags=(1,),
                                    pct_periods=(1,))
-    day = F.to_date(F.timestamp_millis("timestamp_ms"))
-    out = bounded_lookback(raw, ("symbol", "exchange"), ("timestamp_ms", "id"), lookback, cols,
-                           day, bucket_rows=256)
+    out = bounded_lookback(raw, ("symbol", "exchange"), ("timestamp_ms", "id"), lookback, cols, bucket_rows=256)
     return rounded(out.select("id", "symbol", "exchange", "sma_5", "std_20", "close_lag_1", "pct_1"))
 
 
@@ -303,8 +301,7 @@ def w11(spark, sf):
 def w11s(spark, sf):
     """W11 with no whole-series step (buckets of 256 rows plus halo, split
     row index and OBV running sum): the form for series too large for a task."""
-    return rounded(IND.compute_all_indicators(daily_l(spark, sf), position_block=F.year("date"),
-                                              bucket_rows=256))
+    return rounded(IND.compute_all_indicators(daily_l(spark, sf), split=True, bucket_rows=256))
 
 
 @query("w11_indicators_resumed")

@@ -89,7 +89,7 @@ def test_ema_over_many_blocks_and_null_series(spark, split):
     close = 1e6 + rng.standard_normal(n).cumsum()
     df = spark.createDataFrame([(None, int(t), float(v)) for t, v in enumerate(close)],
                                "symbol string, date long, close double")
-    got = with_emas(df, "close", [2, 12, 26], position_block=F.floor(F.col("date") / 500) if split else None)
+    got = with_emas(df, "close", [2, 12, 26], split=split)
     got = got.toPandas().sort_values("date")
     for span in (2, 12, 26):
         want = pd.Series(close).ewm(span=span, adjust=False).mean()
@@ -124,7 +124,7 @@ def test_ema_split_series_position_matches_pandas(spark, span):
                         "close": 50 + rng.standard_normal(n).cumsum()})
     df = spark.createDataFrame(pdf)
     got = with_emas(df, "close", [span], partition_by="symbol", order_by="t",
-                    position_block=F.floor(F.col("t") / 1000)).toPandas().sort_values("t")
+                    split=True).toPandas().sort_values("t")
     want = pdf["close"].ewm(span=span, adjust=False).mean()
     assert np.allclose(got[f"ema_{span}"].to_numpy(), want.to_numpy(), rtol=1e-11, atol=1e-11)
 
@@ -135,7 +135,7 @@ def test_split_series_indicators_equal_per_series(spark, bucket_rows):
     from barline.sources.candle_views import L_BITS, L_ORDER, raw_l
     daily = daily_candles(raw_l(spark, "/root/testdata/sf0.001"), L_ORDER, L_BITS).cache()
     a = IND.compute_all_indicators(daily).toPandas().sort_values(["symbol", "date"])
-    b = IND.compute_all_indicators(daily, position_block=F.year("date"),
+    b = IND.compute_all_indicators(daily, split=True,
                                    bucket_rows=bucket_rows).toPandas().sort_values(["symbol", "date"])
     assert len(a) == len(b) > 0
     for c in INDICATOR_COLUMNS:

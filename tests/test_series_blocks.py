@@ -18,21 +18,34 @@ def hot(spark):
     return spark.createDataFrame(pdf)
 
 
-def day(c="timestamp_ms"):
-    return F.floor(F.col(c) / 86_400_000)
+@pytest.mark.parametrize("partitions", [None, 1, 40])
+def test_position_equals_row_number(hot, partitions):
+    got = with_series_position(hot, "symbol", "timestamp_ms", partitions=partitions)
+    ref = hot.withColumn("_g", F.row_number().over(SR.series_window("symbol", "timestamp_ms")) - 1)
+    assert got.exceptAll(ref.select(*got.columns)).count() == ref.select(*got.columns).exceptAll(got).count() == 0
 
 
-def test_position_equals_row_number(hot):
-    got = with_series_position(hot, "symbol", "timestamp_ms", day())
-    ref = hot.withColumn("_g", F.row_number().over(SR.series_window("symbol", "timestamp_ms")) - 1)
-    assert got.exceptAll(ref.select(*got.columns)).count() == 0
+def test_one_day_of_one_series_is_spread_over_tasks(spark, monkeypatch):
+    from barline.operators import series_blocks as SB
+    kept = []
+    real = SB.stored
+    monkeypatch.setattr(SB, "stored", lambda df, name: kept.append(out := real(df, name)) or out)
+    rows = [("HOT", 86_400_000 + 7 * i % 5003, i) for i in range(5000)] + [(None, i, i) for i in range(50)] + [("cold", None, 1), ("cold", 3, 2)]
+    df = spark.createDataFrame(rows, "symbol string, timestamp_ms long, id long")
+    got = with_series_position(df, "symbol", ("timestamp_ms", "id"), partitions=16)
+    ref = df.withColumn("_g", F.row_number().over(SR.series_window("symbol", ("timestamp_ms", "id"))) - 1)
+    assert got.exceptAll(ref.select(*got.columns)).count() == 0 and got.count() == len(rows)
+    sizes = [r["count"] for r in kept[0].filter("symbol = 'HOT'").groupBy(F.shiftright("_at", 33)).count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 1000   # one series, one day, many tasks
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan
 
 
 @pytest.mark.parametrize("bucket_rows", [1, 7, 64, 100000])
 def test_bounded_lookback_equals_whole_series_windows(hot, bucket_rows):
     lookback, cols = macro_columns("close", sma_periods=(5, 25), std_periods=(20,), lags=(1, 5),
                                    pct_periods=(1,))
-    got = bounded_lookback(hot, "symbol", "timestamp_ms", lookback, cols, day(), bucket_rows)
+    got = bounded_lookback(hot, "symbol", "timestamp_ms", lookback, cols, bucket_rows)
     ref = hot.select("*", SR.sma("close", 5, "symbol", "timestamp_ms").alias("sma_5"),
                      SR.sma("close", 25, "symbol", "timestamp_ms").alias("sma_25"),
                      SR.rolling_std("close", 20, "symbol", "timestamp_ms").alias("std_20"),
