@@ -36,10 +36,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import narrow, ship
+from .common import narrow, ship, slices
 from .tokens import tokenizer
 
 
+#: Rows of (source, partition) totals that are broadcast; beyond it Spark joins by key.
+BASES = 1_000_000
+
+
 class Phase:
     """Rounds with one set of active sources. ``sent[s]`` and ``position`` say
     what lay before; ``share[s] / den`` is the quantum, ``debt[s] / den`` the deficit."""
@@ -156,18 +160,15 @@ def tokenised(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: st
         tok = tokenizer(path)
         end = end_id.to_bytes(tok.width, "little")
         part, running = TaskContext.get().partitionId(), {}
-        for batch in batches:
-            texts, sources, ids = batch.column("text"), batch.column("source").to_pylist(), batch.column("doc_id")
-            for a in range(0, len(texts), 200):
-                packed = [tok.encode(t.as_py() or "") + end for t in texts[a:a + 200]]
-                first = []
-                for s, x in zip(sources[a:a + 200], packed, strict=True):
-                    first.append(running.get(s, 0))
-                    running[s] = first[-1] + len(x) // tok.width
-                n = len(packed)
-                yield pa.RecordBatch.from_arrays(
-                    [ids[a:a + 200], pa.array(sources[a:a + 200], pa.string()), pa.array(packed, pa.binary()), pa.array([len(x) // tok.width for x in packed]),
-                     pa.array(np.full(n, part)), pa.array(first, pa.int64())], ["doc_id", "source", "ids", "n", "part", "first"])
+        for batch, texts in slices(batches):
+            packed = [ids + end for ids in tok.encode_many(texts)]
+            first, sizes = [], [len(x) // tok.width for x in packed]
+            for s, n in zip(batch.column("source").to_pylist(), sizes, strict=True):
+                first.append(running.get(s, 0))
+                running[s] = first[-1] + n
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("source"), pa.array(packed, pa.binary()), pa.array(sizes, pa.int64()),
+                 pa.array(np.full(len(packed), part)), pa.array(first, pa.int64())], ["doc_id", "source", "ids", "n", "part", "first"])
 
     kind = df.schema["doc_id"].dataType.simpleString()
     return stored(df.mapInArrow(emit, f"doc_id {kind}, source string, ids binary, n long, part long, first long"), "tokens")
@@ -232,5 +233,7 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, target
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"] + ["ids"] * keep_ids
     schema = (f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long, source string"
               + ", ids array<int>" * keep_ids)
+    if sums.count() <= BASES:
+        bases = F.broadcast(bases)  # of a checked size: the token ids then stay where they are
     placed = rows.join(bases, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in")))
     return placed.select("doc_id", "source", "ids", "n", "first", "base").mapInArrow(cut, schema)

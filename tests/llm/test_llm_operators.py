@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -15,7 +16,7 @@ from barline.llm import (bpe, components, license_scan, packing, quality_model,
                          suffix_dedup, topk, url_filter)
 from barline.llm.common import grams as suffix_dedup_grams
 from barline.llm.queries import tokenizer_path
-from barline.llm.tokens import Cache, WordTokenizer
+from barline.llm.tokens import Cache, PieceTable, WordTokenizer
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key long, hashes string, n_words long, extra string"
@@ -273,6 +274,49 @@ def test_packing(docs, rows):
             assert has == {"s0": 192, "s1": 64}
 
 
+def played(totals, targets, window):
+    """Deficit round-robin played round by round: (source, first token, tokens, position) of every turn."""
+    left, sent, debt, at, out = dict(totals), dict.fromkeys(totals, 0), dict.fromkeys(totals, Fraction(0)), 0, []
+
+    def send(s, n):
+        nonlocal at
+        if n:
+            out.append((s, sent[s], n, at))
+        sent[s] += n
+        left[s] -= n
+        at += n
+
+    left = {s: n for s, n in left.items() if n}
+    while left:
+        weight = {s: Fraction(targets.get(s, 0)) if targets else Fraction(totals[s]) for s in left}
+        weight = {s: w for s, w in weight.items() if w > 0} or {s: Fraction(n) for s, n in left.items()}
+        quantum = {s: window * w / sum(weight.values()) for s, w in weight.items()}
+        while all(left[s] >= debt[s] + quantum[s] for s in quantum):
+            for s in sorted(quantum):
+                debt[s] += quantum[s]
+                n = int(debt[s])
+                debt[s] -= n
+                send(s, n)
+        for s in sorted(quantum):
+            if left[s] < debt[s] + quantum[s]:
+                send(s, left[s])
+                del left[s]
+    return out
+
+
+@pytest.mark.parametrize("totals,targets", [({"a": 1000, "b": 337, "c": 61}, None), ({"a": 1000, "b": 337, "c": 61, "d": 5}, {"a": 1, "b": 1, "c": 7}),
+                                            ({"a": 7}, None), ({"a": 50, "b": 0, "c": 900}, {"a": 3, "c": 2, "x": 9}), ({"a": 3, "b": 2}, {"z": 1})])
+def test_schedule_equals_played_rounds(totals, targets):
+    plan = packing.schedule(totals, targets, 32)
+    want = defaultdict(list)
+    for s, first, n, at in played(totals, targets, 32):
+        want[s] += [(first + i, at + i) for i in range(n)]
+    for s, total in totals.items():
+        for cuts in ([0, total], [0, total // 3, total // 3, total // 2, total]):
+            got = [(place + i, position + i) for a, z in zip(cuts, cuts[1:]) for place, n, position in packing.chunks(plan, s, a, z) for i in range(n)]
+            assert got == want[s], s
+
+
 def test_word_tokenizer_and_cache():
     from tokenizers import Tokenizer
 
@@ -282,6 +326,15 @@ def test_word_tokenizer_and_cache():
     for _ in range(500):
         t = "".join(rnd.choice(signs) for _ in range(rnd.randint(0, 20)))
         assert np.frombuffer(own.encode(t), "<u2").tolist() == whole.encode(t, add_special_tokens=False).ids
+    plain = ["a", "B", "é", "À", "ß", "µ", " ", "\n", "\t", "\xa0", "\x85", "1", "²", "½", "ª", "'", "'", "s", "re", "ve", "ll", "'m", "!", "...", "-", "\0", "word", "×", "x" * 70]
+    texts = [*("".join(rnd.choice(plain) for _ in range(rnd.randint(0, 30))) for _ in range(3000)), *("".join(rnd.choice(signs) for _ in range(rnd.randint(0, 20))) for _ in range(500)), "", "'", "a'", "it's", "''s", "'s's"]
+    for size in (1 << 21, 50):  # a table that is started anew again and again
+        own.table = PieceTable(own.table.dtype, size)
+        for a in range(0, len(texts), 700):
+            got = own.encode_many([t.encode() for t in texts[a:a + 700]])
+            assert [np.frombuffer(x, "<u2").tolist() for x in got] == [e.ids for e in whole.encode_batch(texts[a:a + 700], add_special_tokens=False)]
+            own.table.most = min(own.table.most, size)
+    assert own.encode_many([]) == [] and own.encode_many([b"", b""]) == [b"", b""]
     c = Cache(lambda k: k * 2, most=10)
     assert [c[i % 37] for i in range(500)] == [i % 37 * 2 for i in range(500)] and len(c) + len(c.older) <= 21
 
