@@ -457,8 +457,24 @@ def test_quality_rules(docs, rows):
     assert bag((r["doc_id"],) for r in kept.collect()) == bag((r["doc_id"],) for r in got if r["kept"])
 
 
-def test_rule_order_prefers_rejections_per_cost(docs):
+def test_rule_order_prefers_rejections_per_cost(spark, docs):
     assert sorted(quality_rules.ordered(docs)) == sorted(["few_words", "repeated_windows", "word_length", "symbols", "repeated_lines", "echoes", "capitals"])
+    order = quality_rules.by_rejections_per_cost
+    assert order(["a", "b", "c"], {0b001: 10, 0b010: 10, 0b100: 10}, {"a": 3.0, "b": 1.0, "c": 2.0}) == ["b", "c", "a"]
+    assert order(["a", "b", "c"], {0b011: 50, 0b100: 30, 0b010: 1}, {"a": 1.0, "b": 1.0, "c": 1.0}) == ["b", "c", "a"]  # what b leaves, a does not reject
+    assert order(["a", "b"], {}, {"a": 2.0, "b": 1.0}) == ["b", "a"]
+
+    texts = spark.createDataFrame([("word " * (30 + i % 7) + ("x" if i % 2 else "") + ("y" if i % 10 == 0 else ""),) for i in range(3000)], "text string").coalesce(1)
+
+    def given(f):
+        dear = F.aggregate(F.sequence(F.lit(1), F.lit(3000)), F.lit(0).cast("long"), lambda a, i: a + i * f["n_words"] % 7) >= 0  # always true
+        half, tenth = f["word_chars"] % 2 == 1, f["n_words"] % 5 == 0
+        return [quality_rules.Rule("dear_tenth", dear & tenth), quality_rules.Rule("dear_half", dear & half),
+                quality_rules.Rule("never", f["n_words"] < 0), quality_rules.Rule("cheap_half", half)]
+
+    for at_hand in ((), ("n_words", "word_chars")):
+        found = quality_rules.ordered(texts, at_hand=at_hand, given=given)
+        assert found[:2] == ["cheap_half", "dear_tenth"] and set(found[2:]) == {"never", "dear_half"}, found
 
 
 def dice(a, b):
