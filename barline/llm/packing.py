@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .common import narrow, ship, slices
-from .tokens import tokenizer
+from .tokens import id_width, tokenizer
 
 
 #: Rows of (source, partition) totals that are broadcast; beyond it Spark joins by key.
@@ -193,9 +193,9 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, target
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     whole_windows = total // window * window
+    width = id_width(path)
 
     def cut(batches):
-        width = tokenizer(path).width
         for batch in batches:
             cols = [batch.column(x).to_pylist() for x in ("source", "n", "first", "base")]
             ids, last = batch.column("ids"), batch.num_rows - 1

@@ -6,7 +6,7 @@ character: runs of letters, single digits, runs of other signs, contractions. A
 piece is known by two independent 64-bit hashes in a table whose entries point
 into one array of ids, so a known word costs a few vectorised steps and no Python;
 only a new piece goes through the BPE model. The table is emptied when full
-(PIECES entries, about 100 MB), so memory stays bounded.
+(PIECES entries, about 50 MB), so memory stays bounded.
 
 Other texts, and texts with added tokens or odd control characters, are encoded
 chunk by chunk with a bounded cache, or by the whole tokenizer.
@@ -26,9 +26,9 @@ import numpy as np
 from .common import word_hashes
 
 #: Chunks kept by a worker: up to twice as many before the older half is dropped.
-CACHE = 200_000
+CACHE = 100_000
 #: Pieces kept by a worker before the table starts anew.
-PIECES = 1 << 21
+PIECES = 1 << 20
 #: Control characters that Python's split() takes for white space and the tokenizer does not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -142,6 +142,17 @@ def cut_pieces(raw: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, breaks[np.searchsorted(breaks, starts, "right")]
 
 
+def _top(spec: dict) -> int:
+    return max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
+
+
+@functools.cache
+def id_width(path: str) -> int:
+    """Bytes of a packed id."""
+    with open(path, encoding="utf-8") as f:
+        return 2 if _top(json.load(f)) < 65536 else 4
+
+
 class WordTokenizer:
     """Ids of the given tokenizer (add_special_tokens=False), as packed unsigned
     integers of ``width`` bytes. Texts are split at white space only if the file's
@@ -157,8 +168,7 @@ class WordTokenizer:
         self.whole.no_truncation()
         self.whole.no_padding()
         spec = json.load(open(path, encoding="utf-8"))
-        top = max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
-        self.kind, self.width = ("H", 2) if top < 65536 else ("I", 4)
+        self.kind, self.width = ("H", 2) if _top(spec) < 65536 else ("I", 4)
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
         norms = (spec.get("normalizer") or {}).get("normalizers", [])
         self.split = [n["type"] for n in norms] == ["NFC", "Replace", "Lowercase"] and [s["type"] for s in steps] == ["Split", "ByteLevel"] \
