@@ -35,7 +35,7 @@ from barline.plans.monitoring import health, table_counts
 from barline.plans.quality import TableChecks, observed, observed_report, run_passed
 from barline.plans.runlog import current_runs, single_event
 from barline.schemas import INDICATOR_COLUMNS
-from barline.session import stored
+from barline.session import discard, stored
 from barline.sources.tables import write_table
 from barline.streaming.manifest import FileTable, read_if_any
 
@@ -123,6 +123,7 @@ def _update(spark, staging, entries, dates, out_dir, run_id, mark, last, series,
     _write(made.filter("is_new").select(*series, "date", *INDICATOR_COLUMNS), at("technical_indicators"), "date")
     state_path = f"{at('series_state')}/{run_id}-{mark}"
     last_rows(made, series).write.mode("overwrite").parquet(state_path)
+    discard(made)
 
     keys = (*series, "date")
     inter, ind = read_dates(spark, at("int_ohlcv_daily"), onward), read_dates(spark, at("technical_indicators"), onward)

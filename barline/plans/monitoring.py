@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barline.functions.signals import run_status_code
 from barline.plans.quality import failed_runs
+from barline.plans.runlog import current_runs
 
 # The tables a health count may name.
 COUNTABLE_TABLES = ("raw_ohlcv", "ohlcv_hourly", "ohlcv_daily", "technical_indicators",
@@ -136,3 +137,12 @@ def latest_runs(runs: DataFrame, n: int = LATEST_RUNS) -> DataFrame:
     return (runs.orderBy(F.col("started_at").desc(), F.col("run_id").desc()).limit(n)
             .select(F.col("started_at").alias("time"), "run_id",
                     run_status_code().alias("status")))
+
+
+def panels(spark: SparkSession, out_dir: str, symbol: str) -> dict[str, DataFrame]:
+    """K01-K04 over the tables that a run stored under ``out_dir``: scans of a few
+    columns, filtered by symbol in the scan, and a top-90."""
+    read = lambda name: spark.read.parquet(f"{out_dir}/{name}")
+    ind = read("technical_indicators")
+    return {"closes": latest_closes(read("ohlcv_daily"), symbol), "moving_averages": latest_moving_averages(ind, symbol),
+            "rsi": latest_rsi(ind, symbol), "runs": latest_runs(current_runs(read("pipeline_runs")))}

@@ -219,6 +219,12 @@ def indicators_l(spark, sf):
     return IND.compute_all_indicators(daily_l(spark, sf))
 
 
+def stored_indicators_l(spark, sf):
+    """The indicator table, written as a run does: the panels scan it."""
+    from barline.session import stored
+    return stored(indicators_l(spark, sf), "technical_indicators")
+
+
 @query("w01_sma")
 def w01(spark, sf):
     s = IND.Series()
@@ -521,12 +527,12 @@ def k01(spark, sf):
 
 @query("k02_latest_moving_averages")
 def k02(spark, sf):
-    return rounded(MON.latest_moving_averages(indicators_l(spark, sf), LONG_SYMBOL))
+    return rounded(MON.latest_moving_averages(stored_indicators_l(spark, sf), LONG_SYMBOL))
 
 
 @query("k03_latest_rsi")
 def k03(spark, sf):
-    return rounded(MON.latest_rsi(indicators_l(spark, sf), LONG_SYMBOL))
+    return rounded(MON.latest_rsi(stored_indicators_l(spark, sf), LONG_SYMBOL))
 
 
 @query("k04_latest_runs")

@@ -100,4 +100,16 @@ def stored(df, name: str):
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df) -> None:
+    """Delete the folder of a :func:`stored` table that nothing will read again
+    (an earlier round, a run's scratch); other tables are left alone."""
+    at = getattr(df, "_stored_at", None)
+    if at:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

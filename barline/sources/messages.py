@@ -7,7 +7,7 @@ Kafka source): no per-row Python.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +48,15 @@ def encode_messages(records: DataFrame, topic: str = "raw_ohlcv",
         F.lit(topic).alias("topic"))
 
 
+def publish_messages(records: DataFrame, format: str = "kafka", options: Mapping[str, str] | None = None,  # noqa: A002
+                     topic: str = "raw_ohlcv") -> None:
+    """S08 to a sink by format name: normalised (S09) and encoded records, appended.
+    For ``kafka`` give ``kafka.bootstrap.servers`` in ``options``; the key deals
+    messages to partitions by symbol and time."""
+    encoded = encode_messages(normalise_records(records), topic)
+    encoded.write.format(format).options(**dict(options or {})).mode("append").save()
+
+
 _AS_TEXT = "struct<" + ",".join(f"{f}:string" for f in _TYPES) + ">"
 
 

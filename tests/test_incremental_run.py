@@ -110,3 +110,28 @@ def test_later_steps_read_no_raw_files(spark):
     plan = candles_of(merge_states(state))._jdf.queryExecution().executedPlan().toString()
     assert "staging" not in plan and "PartitionFilters: [isnotnull(candle_date" in plan
     assert candles_of(merge_states(state)).count() == 1
+
+
+def test_panels_scan_stored_tables(spark):
+    base = work_path(spark, "panels")
+    out = f"{base}/out"
+    staging, letters = ING.staging_table(spark, f"{base}/staging"), ING.dead_letter_table(spark, f"{base}/dlq")
+    rows = [message(100 * i + k, T0 + i * DAY, s, 10.0 + i) for i in range(95) for k, s in enumerate("AB")]
+    ING.ingest_batch(spark.createDataFrame(rows, MESSAGE_ENVELOPE), staging, letters, 0)
+    IR.incremental_run(spark, staging, out, "r1", clock=lambda: NOW)
+    from barline.plans.monitoring import panels
+    shown = panels(spark, out, "A")
+    assert {k: df.count() for k, df in shown.items()} == {"closes": 90, "moving_averages": 90, "rsi": 90, "runs": 1}
+    assert shown["closes"].first()["close"] == 104.0
+    plan = panels(spark, out, "A")["rsi"]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "EqualTo(symbol,A)" in plan
+
+
+def test_discard_removes_only_stored_folders(spark):
+    from barline.session import discard, stored
+    kept, gone = stored(spark.range(3), "kept"), stored(spark.range(3), "gone")
+    discard(gone)
+    discard(spark.range(3))
+    assert kept.count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(gone._stored_at).count()

@@ -96,3 +96,15 @@ def test_repeated_key_keeps_last_and_arrays_are_invalid(spark):
     p = MSG.parse_messages(envelope(spark, [dup, b"[1, 2]", b"null"])).orderBy("offset").collect()
     assert p[0]["reason"] is None and p[0]["symbol"] == "B"
     assert [r["reason"] for r in p[1:]] == ["invalid_json", "invalid_json"]
+
+
+def test_publish_to_a_sink_by_format(spark):
+    from barline.session import work_path
+    path = work_path(spark, "topic")
+    df = spark.createDataFrame([CANDLE, dict(CANDLE, symbol="ETH/USDT")])
+    for _ in range(2):
+        MSG.publish_messages(df, "parquet", {"path": path}, topic="t")
+    got = spark.read.parquet(path)
+    assert got.columns == ["key", "value", "topic"] and got.count() == 4
+    assert {bytes(r["key"]).decode() for r in got.collect()} == {"BTC/USDT:1704067200000", "ETH/USDT:1704067200000"}
+    assert json.loads(bytes(got.first()["value"]))["timeframe"] == "1m"
