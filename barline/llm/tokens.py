@@ -6,7 +6,7 @@ character: runs of letters, single digits, runs of other signs, contractions. A
 piece is known by two independent 64-bit hashes in a table whose entries point
 into one array of ids, so a known word costs a few vectorised steps and no Python;
 only a new piece goes through the BPE model. The table is emptied when full
-(PIECES entries, about 50 MB), so memory stays bounded.
+(PIECES entries, about 100 MB), so memory stays bounded.
 
 Other texts, and texts with added tokens or odd control characters, are encoded
 chunk by chunk with a bounded cache, or by the whole tokenizer.
@@ -26,9 +26,9 @@ import numpy as np
 from .common import word_hashes
 
 #: Chunks kept by a worker: up to twice as many before the older half is dropped.
-CACHE = 100_000
+CACHE = 400_000
 #: Pieces kept by a worker before the table starts anew.
-PIECES = 1 << 20
+PIECES = 1 << 21
 #: Control characters that Python's split() takes for white space and the tokenizer does not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -177,8 +177,8 @@ class WordTokenizer:
             self.pattern = regex.compile(steps[0]["pattern"]["Regex"])
             self.marks = [t["content"] for t in spec["added_tokens"]]
             self.model = self.whole.model
-            self.pieces = Cache(self._piece)
-            self.chunks = Cache(self._chunk)
+            self.pieces = Cache(self._piece, CACHE // 4)
+            self.chunks = Cache(self._chunk, CACHE // 4)
             self.table = PieceTable(np.dtype(f"<u{self.width}"))
             self.classes = sign_classes()
 
