@@ -1,10 +1,10 @@
 """A table as a list of its files (S04, S06, T01): what each file holds, who wrote it.
 
 A table lives in ``root/files`` and its manifest in ``root/manifest``, a small
-append-only Parquet table with one row per file: the part (candle date), rows,
+append-only JSON table with one row per file: the part (candle date), rows,
 bytes, the range of one key column, and the batch that added it. A commit is one
-manifest file, so it is seen whole or not at all; files that no commit names (of
-a batch that failed half-way) are never read.
+manifest file, put in place by one rename, so it is seen whole or not at all; files
+that no commit names (of a batch that failed half-way) are never read.
 
 * A batch opens by name just the files whose part and key range it reaches into.
   No folder is listed, and files of other dates or times are not touched, so a
@@ -20,6 +20,7 @@ driver: metadata, about 200 bytes a file, bounded by compaction.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
@@ -78,10 +79,17 @@ class FileTable:
 
     # ---- manifest
     def _load(self) -> None:
-        log = read_if_any(self.spark, f"{self.root}/manifest", f"{LOG_SCHEMA}, generation long")
-        if log is None:
+        try:
+            log = self.spark.read.schema(f"{LOG_SCHEMA}, generation long").json(f"{self.root}/manifest")
+        except AnalysisException as exc:  # nothing committed yet
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
             return
-        rows = log.filter(F.col("generation") == log.agg(F.max("generation")).scalar()).collect()
+        every = log.collect()
+        if not every:
+            return
+        newest = max(r["generation"] for r in every)
+        rows = [r for r in every if r["generation"] == newest]
         gone = {r["file"] for r in rows if r["op"] == "drop"}
         for r in rows:
             self.generation, self.commits = r["generation"], max(self.commits, r["touched"])
@@ -92,9 +100,20 @@ class FileTable:
         self.live.setdefault(entry.part, {})[entry.file] = entry
 
     def _log(self, rows: list[tuple], generation: int) -> None:
-        """Append one file to the manifest: a commit."""
-        df = self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
-        df.write.mode("append").parquet(f"{self.root}/manifest/generation={generation}")
+        """One more file in the manifest: a commit. Written aside, then renamed."""
+        names = [x.split()[0] for x in LOG_SCHEMA.split(", ")]
+        text = "".join(json.dumps(dict(zip(names, r, strict=True))) + "\n" for r in rows)
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest/generation={generation}")
+        aside = jvm.org.apache.hadoop.fs.Path(folder, f".{uuid.uuid4().hex}.tmp")
+        fs = folder.getFileSystem(conf)
+        out = fs.create(aside)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        if not fs.rename(aside, jvm.org.apache.hadoop.fs.Path(folder, f"{uuid.uuid4().hex}.json")):
+            raise RuntimeError(f"commit to {folder} failed")
 
     @staticmethod
     def _row(op: str, e: Entry) -> tuple:
