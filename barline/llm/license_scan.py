@@ -16,7 +16,12 @@ projection over the row: no shuffle, no join; the templates are a literal of a
 fixed, small size.
 
 Edge cases: a null text counts as empty and has no units; rows are judged one
-by one; of equal scores the licence that sorts first wins.
+by one, so repeated rows and null doc_ids change nothing; of equal scores the
+licence that sorts first wins; an empty table gives no rows; other columns are
+ignored. A text of any length is judged whole, in the memory of its own row.
+A window has exactly a template's number of bigrams: a notice with a word put in
+is found on a line or paragraph of its own, within a sentence only if it still
+reaches the least coefficient at that length.
 """
 
 from __future__ import annotations
@@ -80,7 +85,7 @@ _BSD = ("Redistribution and use in source and binary forms, with or without modi
 _NEITHER = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
             "software without specific prior written permission. ")
 
-#: Full texts of the short licences, and of the long ones their heading and opening; families that TEMPLATES lacks.
+# Full texts of the short licences, and of the long ones their heading and opening; families that TEMPLATES lacks.
 MORE = {
     "MIT": [
         "Licensed under the MIT License.", "Distributed under the MIT License.",
@@ -145,10 +150,8 @@ def template_words(text: str) -> list[str]:
     return re.sub("[^a-z0-9]+", " ", text.lower()).split()
 
 
-def template_rows(templates: dict[str, list[str]]) -> list[tuple[str, list[str]]]:
-    """(licence, bigrams), licences in order."""
-    return [(name, [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)])
-            for name in sorted(templates) for w in map(template_words, templates[name]) if len(w) > 1]
+def all_templates() -> dict[str, list[str]]:
+    return {name: TEMPLATES.get(name, []) + MORE.get(name, []) for name in {*TEMPLATES, *MORE}}
 
 
 def template_marks(words: list[str]) -> list[str]:
@@ -196,11 +199,10 @@ def shared(a: Column, b: Column) -> Column:
 def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, least: int = LEAST,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_units, n_candidates (pairs of a unit and a
-    template within the size bound; of the default templates TEMPLATES alone, as
-    the query's SQL counts them), and of the best match of a unit or window at or
+    template within the size bound), and of the best match of a unit or window at or
     above ``least`` hundredths its license, shared (bigrams) and total (bigrams of
     both), else null. The default is to look for TEMPLATES and MORE."""
-    names = templates or {name: TEMPLATES.get(name, []) + MORE.get(name, []) for name in {*TEMPLATES, *MORE}}
+    names = templates or all_templates()
     rows = [(name, len(w) - 1, [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)], template_marks(w))
             for name in sorted(names) for w in map(template_words, names[name]) if len(w) > 1]
     rows = [(*r, anchors(r[2], least)) for r in rows]
@@ -209,7 +211,7 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, least:
                       for name, m, b, own, some in rows])
     every = sorted({g for r in rows for g in r[4]})
     anchored = " (?:" + "|".join(f"{c}(?:{'|'.join(g[1:] for g in every if g[0] == c)})" for c in sorted({g[0] for g in every})) + ") "
-    counted = F.array(*[F.lit(len(b)) for _, b in template_rows(templates or TEMPLATES)])
+    counted = F.array(*[F.lit(m) for _, m, *_ in rows])
     bounded = lambda n, m: F.least(n, m) * 200 >= (n + m) * least
     kind = "struct<shared:int,total:int,name:string>"
     none = F.array().cast(f"array<{kind}>")

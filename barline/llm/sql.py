@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import url_filter
-from .license_scan import LEAST, TEMPLATES, template_rows
+from .license_scan import LEAST, VARIANTS, VERSION, all_templates, template_marks, template_words
 
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -13,31 +13,55 @@ def literal(text: str) -> str:
 
 
 def _licences() -> str:
-    known = ", ".join(f"({i}, {literal(name)}, [{', '.join(map(literal, b))}])" for i, (name, b) in enumerate(template_rows(TEMPLATES)))
+    """Operator 1: every unit within the size bound, and every window of a template's
+    length, against every template; marks (variant words, versions) must agree."""
+    names = all_templates()
+    rows = [(name, template_words(text)) for name in sorted(names) for text in names[name]]
+    strings = lambda x: f"[{', '.join(map(literal, x))}]::VARCHAR[]"
+    known = ", ".join(f"({i}, {literal(name)}, {strings([f'{a} {b}' for a, b in zip(w, w[1:])])}, {strings(template_marks(w))})"
+                      for i, (name, w) in enumerate(rows) if len(w) > 1)
+    marks = lambda w: (f"list_sort(list_distinct(list_concat(list_filter({w}, lambda y: list_contains({strings(VARIANTS)}, y)), "
+                       f"regexp_extract_all(array_to_string({w}, ' '), {literal(VERSION)}, 1))))")
     return rf"""
-WITH known AS (SELECT tid, name, grams, len(grams) AS m FROM (VALUES {known}) t(tid, name, grams)),
-clean AS (SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^a-z0-9\n]+', ' ', 'g') AS t FROM documents),
+WITH known AS (SELECT tid, name, grams, marks, len(grams) AS m FROM (VALUES {known}) t(tid, name, grams, marks)),
+clean AS (SELECT row_number() OVER () AS rid, doc_id, regexp_replace(lower(coalesce(text, '')), '[^a-z0-9
+]+', ' ', 'g') AS t FROM documents),
 units AS (
-  SELECT doc_id, list_distinct(list_filter(list_transform(list_concat(string_split(t, chr(10)),
-    list_transform(string_split_regex(t, '\n(?: *\n)+'), lambda p: replace(p, chr(10), ' ')), [replace(t, chr(10), ' ')]),
-    lambda u: trim(regexp_replace(u, ' +', ' ', 'g'))), lambda u: u <> '')) AS units FROM clean),
-unit AS (SELECT doc_id, unnest(units) AS u FROM units),
-words AS (SELECT doc_id, row_number() OVER () AS uid, string_split(u, ' ') AS w FROM unit),
+  SELECT rid, doc_id, list_distinct(list_filter(list_transform(list_concat(string_split(t, chr(10)),
+    list_transform(string_split_regex(t, '
+(?: *
+)+'), lambda p: replace(p, chr(10), ' ')), [replace(t, chr(10), ' ')]),
+    lambda u: trim(regexp_replace(u, ' +', ' ', 'g'))), lambda u: u <> '')) AS units,
+    trim(regexp_replace(replace(t, chr(10), ' '), ' +', ' ', 'g')) AS whole FROM clean),
+unit AS (SELECT rid, unnest(units) AS u FROM units),
+words AS (SELECT rid, row_number() OVER () AS uid, string_split(u, ' ') AS w FROM unit),
 pairs AS (
-  SELECT doc_id, uid, w, tid, name, grams, m, len(w) - 1 AS n FROM words, known
+  SELECT rid, uid, w, tid, name, marks, m, len(w) - 1 AS n FROM words, known
   WHERE least(len(w) - 1, m) * 200 >= (len(w) - 1 + m) * {LEAST}),
-grams AS (
-  SELECT uid, tid, g, count(*) AS c FROM (SELECT uid, tid, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM pairs) GROUP BY ALL),
 template_grams AS (SELECT tid, g, count(*) AS c FROM (SELECT tid, unnest(grams) AS g FROM known) GROUP BY ALL),
-common AS (SELECT uid, tid, sum(least(a.c, b.c)) AS shared FROM grams a JOIN template_grams b USING (tid, g) GROUP BY ALL),
-scored AS (SELECT doc_id, name, coalesce(shared, 0) AS shared, n + m AS total FROM pairs LEFT JOIN common USING (uid, tid)),
+unit_grams AS (SELECT uid, g, count(*) AS c FROM (SELECT uid, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
+  FROM words WHERE uid IN (SELECT uid FROM pairs)) GROUP BY ALL),
+common AS (SELECT p.uid, p.tid, sum(least(a.c, b.c)) AS shared FROM (SELECT DISTINCT uid, tid FROM pairs) p
+  JOIN unit_grams a ON a.uid = p.uid JOIN template_grams b ON b.tid = p.tid AND b.g = a.g GROUP BY ALL),
+in_units AS (SELECT rid, name, shared, n + m AS total FROM pairs p JOIN common USING (uid, tid)
+  WHERE shared * 200 >= (n + m) * {LEAST} AND {marks('w')} = marks),
+text AS (SELECT rid, string_split(whole, ' ') AS w FROM units WHERE whole <> ''),
+places AS (SELECT rid, pos, w[pos] || ' ' || w[pos + 1] AS g FROM (SELECT rid, w, unnest(range(1, len(w))) AS pos FROM text)),
+hits AS (SELECT rid, tid, pos, g, b.c FROM places JOIN template_grams b USING (g)),
+enough AS (SELECT rid, tid, m FROM hits JOIN known USING (tid) GROUP BY rid, tid, m HAVING count(*) * 200 >= 2 * m * {LEAST}),
+starts AS (SELECT DISTINCT rid, tid, m, s FROM (SELECT rid, tid, m, unnest(range(pos - m + 1, pos + 1)) AS s FROM hits JOIN enough USING (rid, tid))
+  JOIN text USING (rid) WHERE s >= 1 AND s + m <= len(w)),
+in_window AS (SELECT rid, tid, s, m, g, count(*) AS n, any_value(c) AS c FROM starts JOIN hits USING (rid, tid) WHERE pos BETWEEN s AND s + m - 1 GROUP BY ALL),
+windows AS (SELECT rid, tid, s, m, sum(least(n, c)) AS shared FROM in_window GROUP BY ALL HAVING sum(least(n, c)) * 200 >= 2 * m * {LEAST}),
+in_windows AS (SELECT rid, k.name, shared, 2 * k.m AS total FROM windows x JOIN known k USING (tid) JOIN text USING (rid)
+  WHERE {marks('w[s:s + k.m]')} = marks),
 best AS (
-  SELECT doc_id, name, shared, total FROM scored WHERE shared * 200 >= total * {LEAST}
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY shared / total DESC, name, total DESC) = 1),
-tried AS (SELECT doc_id, count(*) AS n FROM pairs GROUP BY 1)
+  SELECT rid, name, shared, total FROM (SELECT * FROM in_units UNION ALL SELECT * FROM in_windows)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY shared::DOUBLE / total DESC, name, total DESC) = 1),
+tried AS (SELECT rid, count(*) AS n FROM pairs GROUP BY 1)
 SELECT u.doc_id, len(units)::BIGINT AS n_units, coalesce(tried.n, 0)::BIGINT AS n_candidates, best.name AS license,
   best.shared::BIGINT AS shared, best.total::BIGINT AS total
-FROM units u LEFT JOIN tried USING (doc_id) LEFT JOIN best USING (doc_id)
+FROM units u LEFT JOIN tried USING (rid) LEFT JOIN best USING (rid)
 """
 
 

@@ -498,7 +498,7 @@ def test_license_scan(spark):
     assert got[0]["license"] == "MIT" and got[6]["license"] == "Apache-2.0" and got[8]["license"] == "CC-BY-NC-4.0" and got[10]["license"] is None
 
 
-def test_license_notices_in_prose(spark):
+def prose():
     gnu, more = "This work is licensed under the GNU {}General Public License, version {}.", license_scan.MORE
     cases = [("Copyright 2020 Foo. Released under the MIT License.", "MIT"), ("The toolkit is released under the MIT License.", "MIT"),
              ("some words before it " * 30 + "Licensed under the\n * Apache License,\n * Version 2.0. " + "and after it " * 30, "Apache-2.0"),
@@ -508,7 +508,11 @@ def test_license_notices_in_prose(spark):
              ("Licensed under CC BY-SA 3.0.", None), ("Copyright\n\n" + more["BSD-2-Clause"][2].replace(", ", ",\n"), "BSD-2-Clause"),
              ("Copyright\n\n" + more["BSD-3-Clause"][2].replace(", ", ",\n"), "BSD-3-Clause"), ("a b c " * 100 + more["MIT"][2] + " d e f" * 100, "MIT"),
              ("The mit license of released work, under the sea.", None)]
-    cases += [(f"He wrote: {t} And so on.", name) for name, texts in more.items() for t in texts]
+    return cases + [(f"He wrote: {t} And so on.", name) for name, texts in more.items() for t in texts]
+
+
+def test_license_notices_in_prose(spark):
+    cases = prose()
     got = license_scan.scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["license"] for r in got} == {i: name for i, (_, name) in enumerate(cases)}
 

@@ -33,6 +33,19 @@ def test_oracle(spark, con, name):
     assert Counter(tuple(r) for r in df.select(*names).collect()) == Counter(want.fetchall())
 
 
+def test_licences_in_sql(spark):
+    from test_llm_operators import prose
+    from barline.llm import license_scan
+    rows = [(i, t) for i, (t, _) in enumerate(prose())] + [(1000, None), (1001, ""), (1002, "go go go go"), (None, "Released under the MIT License."), (0, "x\n\n\n  \n y")]
+    c = duckdb.connect()
+    c.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    c.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = c.execute(ORACLE["op1_license_scans"])
+    names = [d[0] for d in want.description]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).select(*names).collect()
+    assert Counter(map(tuple, got)) == Counter(want.fetchall())
+
+
 def test_aliases_in_sql(spark):
     from test_llm_operators import PAGES, RAW_PATHS
     PAGES = PAGES + [(100 + i, *x[:2]) for i, x in enumerate(RAW_PATHS)] + [(200, "http://s.com/1/./2", '<meta http-equiv=refresh content="0; url=../x/../../net/">'), (201, "http://s.com/net/", '<link rel=canonical href=//z.net/../q>')]
