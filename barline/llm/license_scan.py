@@ -211,7 +211,8 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, least:
                       for name, m, b, own, some in rows])
     every = sorted({g for r in rows for g in r[4]})
     anchored = " (?:" + "|".join(f"{c}(?:{'|'.join(g[1:] for g in every if g[0] == c)})" for c in sorted({g[0] for g in every})) + ") "
-    counted = F.array(*[F.lit(m) for _, m, *_ in rows])
+    longest = max(m for _, m, *_ in rows) * (200 - least) // least  # of a unit within any template's bound
+    counted = F.array(*[F.lit(sum(min(n, m) * 200 >= (n + m) * least for _, m, *_ in rows)) for n in range(longest + 1)])
     bounded = lambda n, m: F.least(n, m) * 200 >= (n + m) * least
     kind = "struct<shared:int,total:int,name:string>"
     none = F.array().cast(f"array<{kind}>")
@@ -257,7 +258,7 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, least:
         return F.when(wins, x).otherwise(best)
 
     df = narrow(docs, doc_id=id_col, text=text_col).select("doc_id", units(F.coalesce(F.col("text"), F.lit(""))).alias("units"))
-    pairs = F.aggregate("units", F.lit(0).cast("long"), lambda k, u: k + let(F.size(F.split(u, " ")) - 1, lambda n: F.size(F.filter(counted, lambda m: bounded(n, m)))))
+    pairs = F.aggregate("units", F.lit(0).cast("long"), lambda k, u: k + F.coalesce(F.get(counted, F.size(F.split(u, " ")) - 1), F.lit(0)))
     whole = F.coalesce(F.try_element_at("units", F.lit(-1)), F.lit(""))  # the last unit
     found = F.concat(F.flatten(F.transform("units", in_unit)), let(F.split(whole, " "), lambda words: let(bigrams(words), lambda grams: in_windows(words, grams))))
     best = F.when(F.concat(F.lit(" "), whole, F.lit(" ")).rlike(anchored), F.aggregate(found, F.lit(None).cast(kind), better))
