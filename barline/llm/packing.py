@@ -19,8 +19,10 @@ a running sum over one row for each source and partition.
 
 Edge cases: a null text counts as empty (only the end id); a null source is a
 source of its own; repeated rows are packed each; doc_id may be null; no rows
-give no pieces; other columns are ignored. The number of distinct sources is
-taken to be small (a mixture's targets): their totals go to the driver.
+give no pieces; other columns are ignored. A text of any length is tokenised
+whole, in a batch of its own beyond 1 MB, and cut into as many pieces as it has
+rounds. The number of distinct sources is taken to be small (a mixture's
+targets): their totals go to the driver.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ rows of a batch walk them together, one numpy step a level.
 Edge cases: a null text counts as empty and gets a score like any other text;
 a doc_id that is null or has no label is scored but not learnt from; repeated
 labels of a doc_id count by majority (a tie is 0), null labels are left out;
-without labels of both kinds the score is the share of 1 (0.5 without any).
+without labels of both kinds the score is the share of 1 (0.5 without any); an
+empty table gives no rows; other columns are ignored. A text of any length is
+measured whole: a task holds one text, its words and their counts.
 """
 
 from __future__ import annotations

@@ -22,7 +22,9 @@ stars of all tasks go through distributed connected components.
 
 Edge cases: a null or empty text has fingerprint zero and is linked like any
 other; fewer than ``shingle`` words are one shingle; a component with null
-doc_ids only has component_id null; repeated rows are linked to each other.
+doc_ids only has component_id null; repeated rows are linked to each other; an
+empty table gives no rows; other columns are ignored. A text of any length is
+hashed whole: one longer than a batch (1 MB) goes alone.
 """
 
 from __future__ import annotations

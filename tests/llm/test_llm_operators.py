@@ -609,6 +609,38 @@ def test_dot_segments(spark):
     assert {r["u"]: r["a"] for r in df.collect()} == {f"HTTP://X.com{p}?../q#/../f": f"http://x.com{plain(p)}?../q" for p in paths}
 
 
+def test_very_long_texts(spark):
+    """One text beyond a batch among short ones, against brute force or the library."""
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(12)
+    say = lambda n: " ".join(f"w{rnd.randrange(10**7)}é" for _ in range(n))
+    passage = say(40)
+    texts = ["short text", f"{say(150_000)} {passage}\n{say(60_000)} released under the MIT License.\n", f"{say(10)}\n{passage} {say(10)}", None, "x " * 30]
+    assert len(texts[1]) > 1_500_000
+    df = spark.createDataFrame([(i, t, "s", 1) for i, t in enumerate(texts)], "doc_id long, text string, source string, words int").coalesce(2)
+    assert {r["doc_id"]: r["license"] for r in license_scan.scan(df).collect()} == {0: None, 1: "MIT", 2: None, 3: None, 4: None}
+    got = {r["doc_id"]: tuple(r)[1:6] for r in quality_rules.verdicts(df).collect()}
+    assert got == {i: base_statistics(t) for i, t in enumerate(texts)}
+    words, path = tokenizer_path("word_bpe_49k.json"), tokenizer_path("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(words)
+    want = {i: [*whole.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    ids = defaultdict(list)
+    for r in sorted(packing.pack(df, words, keep_ids=True).collect(), key=lambda r: r["start"]):
+        ids[r["doc_id"]] += r["ids"]
+    assert ids == want
+    whole = Tokenizer.from_file(path)
+    coded = {r["doc_id"]: r for r in bpe.decode(bpe.encode(df, path), path).collect()}
+    assert all(coded[i]["decoded"] == (t or "") and coded[i]["n_tokens"] == len(whole.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts))
+    labels = spark.createDataFrame([(0, 1), (2, 0)], "doc_id long, quality int")
+    assert all(0 <= r["score"] <= 1 for r in quality_model.score(df, quality_model.train(df, labels)).collect())
+    near = {r["doc_id"]: r for r in simhash.near_duplicates(df).collect()}
+    assert all(near[i]["fp"] % 2**64 == fingerprint(t) for i, t in enumerate(texts))
+    size = len(passage.encode())
+    cut = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffix_dedup.remove_repeats(df).collect()}
+    assert size <= cut[1][0] <= size + 4 and cut[1][1] == 1 and cut[1] == cut[2] and cut[0] == (0, 0)
+
+
 def test_empty_tables(spark, empty):
     words, path = tokenizer_path("word_bpe_49k.json"), tokenizer_path("byte_bpe_50k.json")
     for df in (substring_dedup.remove_repeats(empty), suffix_dedup.remove_repeats(empty), simhash.near_duplicates(empty), packing.pack(empty, words),
