@@ -5,7 +5,8 @@ before it kept; ``run`` writes every stage as Parquet to the shared folder and
 reads it again, so a lost executor costs at most one stage. All stages but the
 last return the columns of ``documents``, under any further columns' names too.
 
-Null doc_ids, repeated rows and empty texts pass as the operators define.
+Null doc_ids, repeated rows, empty and very long texts pass as the operators
+define: every stage works on whole texts, and an empty table gives empty stages.
 ORACLE_SQL is None: the classifier's trees and XXH64 fingerprints have no SQL;
 tests compare rules, near-duplicates and repeated passages with brute force on
 their own inputs, the classifier and packing with their operators.
