@@ -689,13 +689,17 @@ def s12(spark, sf):
 # ---------------------------------------------------------------- streaming
 
 MESSAGE_FILES = 4
+#: A scan gives a whole row group to one task. The default (128 MB) is 1.5 million messages,
+#: so that one task decoded a batch of one file; 2 MB is some 25,000, a second's work.
+MESSAGE_ROW_GROUP = 2 << 20
 
 
 def message_files(spark, sf) -> str:
-    """Write the message view as a few Parquet files: the stream's source."""
+    """Write the message view as a few Parquet files, of row groups that a batch's tasks share: the stream's source."""
     from barline.session import work_path
     path = work_path(spark, "messages")
-    V.messages(spark, sf).repartition(MESSAGE_FILES, "partition", "offset").write.parquet(path)
+    (V.messages(spark, sf).repartition(MESSAGE_FILES, "partition", "offset").write
+     .option("parquet.block.size", MESSAGE_ROW_GROUP).parquet(path))
     return path
 
 

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from barline.operators.dedupe import in_batch_range
 from barline.plans.registry import QUERIES, message_files
@@ -61,3 +62,20 @@ def test_dead_letters_are_read_by_offset_range(spark):
     batch = spark.createDataFrame([(10,), (12,)], "offset long")
     kept = in_batch_range(spark.read.parquet(path), batch, "offset")
     assert sorted(r[0] for r in kept.collect() if r[0] is not None) == [10, 11, 12] and kept.count() == 4
+
+
+def test_a_large_message_file_is_shared_by_the_tasks_of_its_batch(spark, tmp_path):
+    (spark.range(300_000).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + id) AS ts", "id % 1500 AS user_id", "'view' AS event_type",
+        "CAST(id % 1000 AS DOUBLE) AS value", "CAST(NULL AS STRING) AS props").write.parquet(f"{tmp_path}/events.parquet"))
+    src = message_files(spark, str(tmp_path))
+    files = spark.read.parquet(src).groupBy(F.col("_metadata.file_path").alias("file")).count().collect()
+    assert len(files) == 4 and sum(r["count"] for r in files) == 300_000
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        for r in files:
+            tasks = spark.read.parquet(r["file"]).groupBy(F.spark_partition_id()).count().collect()
+            assert max(t["count"] for t in tasks) < 0.8 * r["count"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
